@@ -11,8 +11,13 @@ STAMP_FORMAT = "yyyyMMdd HH:mm:ss"
 
 
 def lookup_key(fields: Column, left_field: str, key_expr: str) -> Column:
-    """Key text from one field; a missing field is formatted as `null`."""
-    return F.format_string(key_expr, F.element_at(fields, F.lit(left_field)))
+    """Key text from one field of a map; a missing field is formatted as `null`."""
+    return format_key(F.element_at(fields, F.lit(left_field)), key_expr)
+
+
+def format_key(value: Column, key_expr: str) -> Column:
+    """Key text from a value; NULL is formatted as `null`."""
+    return F.format_string(key_expr, value)
 
 
 def merge(source: Column, dim: Column) -> Column:

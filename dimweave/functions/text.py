@@ -134,6 +134,16 @@ class KeyValue:
             )
         )
 
+    def field(self, line: Column, name: str) -> Column:
+        """One field, without building the map; NULL where the line lacks it."""
+        separator = self.field_separator
+        tokens = F.filter(
+            F.split(F.coalesce(line, F.lit("")), _separator_regex(self.pair_separators), -1),
+            lambda t: F.startswith(t, F.lit(name)) & (F.instr(t, separator) == len(name) + 1),
+        )
+        start = F.lit(len(name) + len(separator) + 1)
+        return F.substr(F.get(tokens, F.size(tokens) - 1), start)
+
 
 @dataclass(frozen=True)
 class Delimited:
@@ -214,6 +224,12 @@ class Delimited:
             fields = F.map_from_entries(F.filter(pairs, lambda p: p["key"].isNotNull()))
         return F.coalesce(fields, empty_fields())
 
+    def field(self, line: Column, name: str) -> Column:
+        """One field, without building the map; NULL where the line lacks it."""
+        tokens = self.tokens(line)
+        found = [F.get(tokens, F.lit(i)) for i, n in enumerate(self._names()) if n == name]
+        return F.coalesce(*reversed(found)) if found else F.lit(None).cast("string")
+
     def columns(self, line: Column) -> list[Column]:
         """One column per named token, NULL where a line is too short."""
         tokens = self.tokens(line)

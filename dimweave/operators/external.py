@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimweave.operators.lookup import _DIM, _KEY, Lookup
+from dimweave.operators.lookup import _DIM, _KEY, Lookup, join_unique
 from dimweave.session import configure
 
 BATCH_SIZE = 2000
@@ -102,13 +102,12 @@ def external_lookup_join(
     lookup = lookup or Lookup(**options)
     keyed = lookup.keyed(lines)
     settings = {"dim_kind": lookup.dim_kind, "batch_size": batch_size, "on_error": on_error}
-    column = "dim_fields" if lookup.dim_kind == "hash" else "dim_value"
     if distinct_keys:
-        keys = keyed.select(_KEY).distinct()
-        found = lookup.dimension(fetch(keys, open_store, output=column, **settings))
-        return lookup.emit(keyed.join(found, _KEY, lookup.join))
-    fetched = fetch(keyed, open_store, output=column, **settings)
-    found = fetched.withColumn(_DIM, lookup.dim_fields(F.col(column))).drop(column)
+        fetched = fetch(lookup.keys(lines), open_store, output=lookup.stored, **settings)
+        found = lookup.dimension(fetched)
+        return lookup.emit(join_unique(keyed, found, [_KEY], lookup.join))
+    fetched = fetch(keyed, open_store, output=lookup.stored, **settings)
+    found = lookup.with_entry(fetched)
     if lookup.miss == "drop":
         found = found.where(F.col(_DIM).isNotNull())
     return lookup.emit(found)

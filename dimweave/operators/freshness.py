@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimweave.functions.fields import floor_to, micros
-from dimweave.operators.lookup import _DIM, _KEY, Lookup
+from dimweave.operators.lookup import _DIM, _KEY, Lookup, join_unique
 from dimweave.session import configure
 
 # Seconds a value may be reused when only its update rhythm is known.
@@ -110,31 +110,22 @@ def fresh_lookup_join(
     seconds = resolve_ttl(ttl, refresh)
     width = (seconds or grid) * 1_000_000
 
-    stored = F.col("dim_fields" if lookup.dim_kind == "hash" else "dim_value")
-    history = versions.select(
-        _KEY,
-        micros(F.col("effective_ts")).alias(_AT),
-        F.struct(lookup.dim_fields(stored).alias(_DIM)).alias(_SEEN),
+    history = lookup.with_entry(versions.select(_KEY, "effective_ts", lookup.stored)).select(
+        _KEY, micros(F.col("effective_ts")).alias(_AT), F.struct(_DIM).alias(_SEEN)
     )
-    keyed = lookup.keyed(lines).withColumn(_AT, micros(F.col(ts)))
-    keyed = keyed.withColumn(_CELL, floor_to(F.col(_AT), width))
-    carried = _carried(keyed.select(_KEY, _CELL).distinct(), history, width)
+    at = micros(F.col(ts))
+    cells = lookup.keys(lines, **{_CELL: floor_to(at, width)})
+    carried = _carried(cells, history, width)
+    keyed = lookup.keyed(lines).withColumn(_AT, at).withColumn(_CELL, floor_to(at, width))
 
     if seconds is not None and negative_cache:
-        found = keyed.join(carried, [_KEY, _CELL], "left")
+        found = join_unique(keyed, carried, [_KEY, _CELL], "left")
     else:
         spans = _intervals(carried, history, width, only_misses=seconds is not None)
-        spans = spans.select(
-            F.col(_KEY).alias("__k"), F.col(_CELL).alias("__c"), _FROM, _TO, _SEEN
+        within = (F.col(_AT) >= F.col(_FROM)) & (
+            F.col(_TO).isNull() | (F.col(_AT) < F.col(_TO))
         )
-        found = keyed.join(
-            spans,
-            (F.col(_KEY) == F.col("__k"))
-            & (F.col(_CELL) == F.col("__c"))
-            & (F.col(_AT) >= F.col(_FROM))
-            & (F.col(_TO).isNull() | (F.col(_AT) < F.col(_TO))),
-            "left",
-        ).drop("__k", "__c", _FROM, _TO)
+        found = join_unique(keyed, spans, [_KEY, _CELL], "left", within).drop(_FROM, _TO)
     found = found.withColumn(_DIM, F.col(_SEEN)[_DIM]).drop(_SEEN, _AT, _CELL)
     if lookup.miss == "drop":
         found = found.where(F.col(_DIM).isNotNull())

@@ -3,8 +3,7 @@
 All joins are equi-joins on `dim_key` against a side with one row per key.  None of them
 carries a broadcast hint: Spark broadcasts a dimension only when its size, estimated or
 measured at run time, is under `spark.sql.autoBroadcastJoinThreshold`, and otherwise shuffles
-both sides, where adaptive skew handling splits the partitions of hot keys (only the line side
-can be hot, as the dimension side is unique).
+both sides, see `join_unique`.
 """
 
 from __future__ import annotations
@@ -14,7 +13,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimweave.functions.fields import is_null_hash, is_null_text, lookup_key, merge
+from dimweave.functions.fields import (
+    format_key,
+    is_null_hash,
+    is_null_text,
+    lookup_key,
+    merge,
+)
 from dimweave.functions.text import (
     Delimited,
     KeyValue,
@@ -69,6 +74,27 @@ def text_of(lines: DataFrame, decode, line: str = "line") -> DataFrame:
     return lines.withColumn(line, decode_bytes(F.col(line), line_format(decode).encoding))
 
 
+def join_unique(
+    lines: DataFrame, side: DataFrame, on: list[str], how: str, within: Column | None = None
+) -> DataFrame:
+    """Join to a side with one row per `on` (and per `within`, a condition on a range).
+
+    When both sides are shuffled, a hot key must be split over tasks.  Adaptive skew handling
+    does so, but only where each side comes straight from an exchange of the join itself.  A
+    side that was grouped by the same key would be joined as it lies; the hash as one more key
+    makes Spark exchange it once more, which is little next to the lines.
+    """
+    names = {c: f"__r{i}" for i, c in enumerate(on)}
+    side = side.withColumnsRenamed(names).withColumn("__rh", F.xxhash64(*names.values()))
+    lines = lines.withColumn("__lh", F.xxhash64(*on))
+    same = F.col("__lh") == F.col("__rh")
+    for left, right in names.items():
+        same = same & (F.col(left) == F.col(right))
+    if within is not None:
+        same = same & within
+    return lines.join(side, same, how).drop("__lh", "__rh", *names.values())
+
+
 @dataclass(frozen=True)
 class Lookup:
     """What a lookup does, apart from where the dimension comes from.
@@ -123,36 +149,71 @@ class Lookup:
             _KEY, lookup_key(F.col(_FIELDS), self.left_field, self.key_expr)
         )
 
-    def dim_fields(self, stored: Column) -> Column:
-        """Decoded fields of a stored value, NULL where it counts as absent."""
-        if self.dim_kind == "hash":
-            present = ~is_null_hash(stored) if self.miss == "drop" else stored.isNotNull()
-            return F.when(present, stored)
-        fields = KeyValue(self.dim_separator1, self.dim_separator2).decode(stored)
-        drop_blank = self.miss == "drop" and self.blank_is_miss
-        return F.when(~is_null_text(stored) if drop_blank else stored.isNotNull(), fields)
+    def keys(self, lines: DataFrame, **extra: Column) -> DataFrame:
+        """The distinct lookup keys of the lines, together with further columns.
 
-    def dimension(self, dim: DataFrame, *extra: str) -> DataFrame:
-        """`(dim_key, fields)` decoded once per dimension row, absent values left out.
-
-        Keeping them would not change a left join, but they would be shuffled for nothing.
+        Reduced before the shuffle; only the key field is taken from a line.
         """
-        stored = F.col("dim_fields" if self.dim_kind == "hash" else "dim_value")
-        present = stored.isNotNull()
+        lines = text_of(lines, self.decode, self.line)
+        value = line_format(self.decode).field(F.col(self.line), self.left_field)
+        return (
+            decodable(lines, self.decode, self.line)
+            .select(
+                format_key(value, self.key_expr).alias(_KEY),
+                *[column.alias(name) for name, column in extra.items()],
+            )
+            .distinct()
+        )
+
+    @property
+    def stored(self) -> str:
+        """Name of the column a dimension holds its values in."""
+        return "dim_fields" if self.dim_kind == "hash" else "dim_value"
+
+    def counts(self, stored: Column) -> Column:
+        """False where a stored value is treated as absent."""
         if self.miss == "drop" and self.dim_kind == "hash":
-            present = ~is_null_hash(stored)
-        elif self.miss == "drop" and self.blank_is_miss:
-            present = ~is_null_text(stored)
-        fields = stored
+            return ~is_null_hash(stored)
+        if self.miss == "drop" and self.blank_is_miss:
+            return ~is_null_text(stored)
+        return stored.isNotNull()
+
+    def with_entry(self, frame: DataFrame) -> DataFrame:
+        """Replace the stored value by its fields and their text, NULL where absent."""
+        value = F.col(self.stored)
+        fields = value
         if self.dim_kind == "kv":
-            fields = KeyValue(self.dim_separator1, self.dim_separator2).decode(stored)
-        return dim.where(present).select(_KEY, *extra, fields.alias(_DIM))
+            fields = KeyValue(self.dim_separator1, self.dim_separator2).decode(value)
+        decoded = frame.withColumn("__decoded", F.when(self.counts(value), fields))
+        fields = F.col("__decoded")
+        entry = F.struct(fields.alias("fields"), render(fields).alias("text"))
+        return decoded.withColumn(_DIM, F.when(fields.isNotNull(), entry)).drop(
+            "__decoded", self.stored
+        )
+
+    def dimension(self, dim: DataFrame) -> DataFrame:
+        """`(dim_key, entry)` decoded once per dimension row, absent values left out.
+
+        Keeping them would not change a left join, but they would be shuffled for nothing.
+        """
+        rows = dim.select(_KEY, self.stored).where(self.counts(F.col(self.stored)))
+        return self.with_entry(rows)
 
     def emit(self, joined: DataFrame) -> DataFrame:
-        """Merge and render; `joined` has the fields and, NULL on a miss, the dimension's."""
-        text = render(merge(F.col(_FIELDS), F.col(_DIM)))
+        """Merge and render; `joined` has the fields and, NULL on a miss, the entry.
+
+        Without a common field the merge is one text after the other, and the text of the
+        entry is at hand.
+        """
+        own, entry = F.col(_FIELDS), F.col(_DIM)
+        common = F.coalesce(
+            F.arrays_overlap(F.map_keys(own), F.map_keys(entry["fields"])), F.lit(False)
+        )
+        text = F.when(common, render(merge(own, entry["fields"]))).otherwise(
+            F.concat_ws("|", render(own), F.nullif(entry["text"], F.lit("")))
+        )
         if self.miss == "blank_row":
-            text = F.when(F.col(_DIM).isNull(), F.lit("")).otherwise(text)
+            text = F.when(entry.isNull(), F.lit("")).otherwise(text)
         return joined.withColumn(self.output, text).drop(_FIELDS, _DIM, _KEY)
 
 
@@ -173,8 +234,8 @@ def lookup_join(
     keyed = lookup.keyed(lines)
     fields = lookup.dimension(dim)
     if dedup:
-        fields = keyed.select(_KEY).distinct().join(fields, _KEY)
-    return lookup.emit(keyed.join(fields, _KEY, lookup.join))
+        fields = lookup.keys(lines).join(fields, _KEY)
+    return lookup.emit(join_unique(keyed, fields, [_KEY], lookup.join))
 
 
 def raw_lookup(
@@ -188,5 +249,5 @@ def raw_lookup(
     stored = dim.where("dim_value IS NOT NULL").select(
         F.col("dim_key").alias(line), F.col("dim_value").alias(_DIM)
     )
-    joined = drop_blank_lines(lines, line).join(stored, line, "inner")
+    joined = join_unique(drop_blank_lines(lines, line), stored, [line], "inner")
     return joined.withColumn(output, render_pair(F.col(line), F.col(_DIM))).drop(line, _DIM)

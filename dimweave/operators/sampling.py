@@ -11,15 +11,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimweave.functions.fields import draw, floor_to, micros
+from dimweave.operators.grouped import map_groups
 from dimweave.session import configure
 
 _SEGMENT, _T = "__segment", "__t"
+_RUN = ("first", "last", "leave", "step")
 _NEVER = np.iinfo(np.int64).min // 2
 MIN_SEGMENT_MS = 600_000
 MIN_SEGMENT_INTERVALS = 8
@@ -42,7 +43,7 @@ def _chain_exits(times: np.ndarray, interval: int) -> np.ndarray:
         jump = further
 
 
-def segment_runs(times: np.ndarray, start: int, interval: int) -> pd.DataFrame:
+def segment_runs(times: np.ndarray, start: int, interval: int) -> dict[str, np.ndarray]:
     """Runs `(first, last, leave, step)` of the records a chain may enter the segment at.
 
     Entering within a run with step 0 leaves at `leave`; with step 1 the run covers every
@@ -53,21 +54,18 @@ def segment_runs(times: np.ndarray, start: int, interval: int) -> pd.DataFrame:
     step_in, step_out = np.diff(entries), np.diff(leave)
     # 0: chains have met, 1: neighbours moving alike, 2: a new run begins.
     kind = np.where(step_out == 0, 0, np.where((step_in == 1) & (step_out == 1), 1, 2))
-    begins = np.concatenate([[True], (kind == 2) | np.concatenate([[False], kind[1:] != kind[:-1]])])
-    first = np.flatnonzero(begins)
-    last = np.concatenate([first[1:], [len(entries)]]) - 1
-    step = np.array([kind[f] if f < l else 0 for f, l in zip(first, last, strict=True)], dtype=int)
-    return pd.DataFrame(
-        {"first": entries[first], "last": entries[last], "leave": leave[first], "step": step}
-    )
-
-
-def follow_segments(runs: pd.DataFrame, interval: int) -> pd.DataFrame:
-    """Last emitted time before each segment; `runs` are those of one key."""
-    runs = runs.sort_values([_SEGMENT, "first"])
-    segments, starts = np.unique(runs[_SEGMENT].to_numpy(), return_index=True)
-    first, last, leave, step = (runs[c].to_numpy() for c in ("first", "last", "leave", "step"))
-    ends = np.append(starts[1:], len(runs))
+    turns = np.concatenate([[False], kind[1:] != kind[:-1]]) if len(kind) else kind
+    first = np.flatnonzero(np.concatenate([[True], (kind == 2) | turns]))
+    last = np.append(first[1:], len(entries)) - 1
+    step = np.where(last > first, np.append(kind, 0)[first], 0)
+    return {"first": entries[first], "last": entries[last], "leave": leave[first], "step": step}
+
+
+def follow_segments(runs: dict[str, np.ndarray], interval: int) -> dict[str, np.ndarray]:
+    """Last emitted time before each segment, from the ordered runs of one key."""
+    segments, starts = np.unique(runs[_SEGMENT], return_index=True)
+    first, last, leave, step = (runs[c] for c in ("first", "last", "leave", "step"))
+    ends = np.append(starts[1:], len(first))
     entering = np.empty(len(segments), dtype=np.int64)
     emitted = _NEVER
     for i, (lo, hi) in enumerate(zip(starts, ends, strict=True)):
@@ -76,7 +74,7 @@ def follow_segments(runs: pd.DataFrame, interval: int) -> pd.DataFrame:
         at = lo + np.searchsorted(last[lo:hi], allowed, side="left")
         if at < hi:
             emitted = leave[at] + step[at] * max(0, allowed - first[at])
-    return pd.DataFrame({_SEGMENT: segments, "__entering": entering})
+    return {_SEGMENT: segments, _T: entering}
 
 
 def emit_segment(times: np.ndarray, emitted: int, interval: int) -> np.ndarray:
@@ -104,42 +102,25 @@ def sample_greedy(
     ticks = timed.select(*keys, _T).distinct()
     ticks = ticks.withColumn(_SEGMENT, floor_to(F.col(_T), width))
 
-    key_fields = [frame.schema[k] for k in keys]
-    long = T.LongType()
-
-    def runs(pdf: pd.DataFrame) -> pd.DataFrame:
-        start = int(pdf[_SEGMENT].iat[0])
-        out = segment_runs(np.sort(pdf[_T].to_numpy()), start, interval_ms)
-        for k in [*keys, _SEGMENT]:
-            out[k] = pdf[k].iat[0]
-        return out[[*keys, _SEGMENT, "first", "last", "leave", "step"]]
-
-    def follow(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = follow_segments(pdf, interval_ms)
-        for k in keys:
-            out[k] = pdf[k].iat[0]
-        return out[[*keys, _SEGMENT, "__entering"]]
-
-    def emit(times: pd.DataFrame, entering: pd.DataFrame) -> pd.DataFrame:
-        emitted = int(entering["__entering"].iat[0])
-        chosen = emit_segment(np.sort(times[_T].to_numpy()), emitted, interval_ms)
-        out = pd.DataFrame({_T: chosen})
-        for k in keys:
-            out[k] = times[k].iat[0]
-        return out[[*keys, _T]]
-
-    run_fields = [T.StructField(c, long) for c in (_SEGMENT, "first", "last", "leave", "step")]
-    summary = ticks.groupBy(*keys, _SEGMENT).applyInPandas(
-        runs, T.StructType(key_fields + run_fields)
-    )
-    entering = summary.groupBy(*keys).applyInPandas(
-        follow,
-        T.StructType(key_fields + [T.StructField(c, long) for c in (_SEGMENT, "__entering")]),
+    longs = {c: T.StructField(c, T.LongType()) for c in (_SEGMENT, _T, *_RUN)}
+
+    def runs(group: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        times = group[_T]
+        return segment_runs(times, int(times[0] - times[0] % width), interval_ms)
+
+    def follow(group: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        return follow_segments(group, interval_ms)
+
+    def emit(group: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        # The time emitted last sorts before the times of the segment itself.
+        return {_T: emit_segment(group[_T][1:], int(group[_T][0]), interval_ms)}
+
+    summary = map_groups(ticks, [*keys, _SEGMENT], [_T], runs, [longs[c] for c in _RUN])
+    entering = map_groups(
+        summary, keys, [_SEGMENT, "first"], follow, [longs[_SEGMENT], longs[_T]]
     )
-    chosen = (
-        ticks.groupBy(*keys, _SEGMENT)
-        .cogroup(entering.groupBy(*keys, _SEGMENT))
-        .applyInPandas(emit, T.StructType(key_fields + [T.StructField(_T, long)]))
+    chosen = map_groups(
+        ticks.unionByName(entering), [*keys, _SEGMENT], [_T], emit, [longs[_T]]
     )
     return _first_of_each(timed, chosen, [*keys, _T], order).drop(_T)
 
@@ -181,27 +162,28 @@ def sample_every_n(
     """Every n-th record by the integer column `order`, counted per bucket.
 
     Rows are numbered within cells of `width` consecutive `order` values, and cells get their
-    offset from the counts before them, so a bucket is never numbered by one task.
+    offset from the counts before them, so a bucket is never numbered by one task.  `order`
+    must be unique within a bucket and not NULL.
     """
     configure(frame.sparkSession)
     buckets = list(buckets)
     rows = frame.withColumn("__cell", floor_to(F.col(order).cast("bigint"), width))
-    before = Window.partitionBy(*buckets).orderBy("__cell").rowsBetween(
+    earlier = Window.partitionBy(*buckets).orderBy("__cell").rowsBetween(
         Window.unboundedPreceding, -1
     )
     offsets = (
         rows.groupBy(*buckets, "__cell")
         .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-        .select(*[F.col(b).alias(f"__b{i}") for i, b in enumerate(buckets)],
-                F.col("__cell").alias("__c"), "__before")
+        .withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+        .drop("__n")
+    )
+    # The offset of a cell enters the numbering as a row ahead of the cell's own, so that the
+    # records are shuffled once.
+    cell = Window.partitionBy(*buckets, "__cell").orderBy(F.col(order).asc_nulls_first())
+    numbered = rows.unionByName(offsets, allowMissingColumns=True).withColumns(
+        {"__number": F.first("__before").over(cell) + F.row_number().over(cell) - 1}
     )
-    same = F.col("__cell") == F.col("__c")
-    for i, b in enumerate(buckets):
-        same = same & F.col(b).eqNullSafe(F.col(f"__b{i}"))
-    within = Window.partitionBy(*buckets, "__cell").orderBy(order)
-    numbered = rows.withColumn("__rank", F.row_number().over(within)).join(offsets, same)
-    return numbered.where((F.col("__before") + F.col("__rank")) % every == 0).select(
+    return numbered.where(F.col("__before").isNull() & (F.col("__number") % every == 0)).select(
         *frame.columns
     )
 

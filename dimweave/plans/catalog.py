@@ -92,7 +92,7 @@ def kv_render(spark, sf_dir):
         F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")),
         F.lit("cust"), F.col("o_custkey").cast("string"),
     )
-    return fx.table(spark, sf_dir, "orders").select("o_orderkey", render(kinds).alias("line"))
+    return fx.facts(spark, sf_dir, "orders").select("o_orderkey", render(kinds).alias("line"))
 
 
 @query
@@ -130,7 +130,7 @@ def key_expr(spark, sf_dir):
 @query
 def json_path_default(spark, sf_dir):
     nested = F.concat(F.lit('{"a":{"b":'), F.col("props"), F.lit("}}"))
-    return fx.table(spark, sf_dir, "events").select(
+    return fx.facts(spark, sf_dir, "events").select(
         "event_id",
         json_path(F.col("props"), "k", "none").alias("leaf"),
         json_path(nested, "a.b.k", "none").alias("deep"),
@@ -141,7 +141,7 @@ def json_path_default(spark, sf_dir):
 
 @query
 def bytes_decode(spark, sf_dir):
-    docs = fx.table(spark, sf_dir, "documents")
+    docs = fx.facts(spark, sf_dir, "documents")
     return docs.select(
         "doc_id",
         decode_bytes(F.encode("text", "UTF-8"), "UTF8").alias("utf8"),
@@ -299,7 +299,7 @@ def live_lookup(spark, sf_dir):
 
 
 def _orders(spark, sf_dir) -> DataFrame:
-    return fx.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
+    return fx.facts(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
 
 
 @query
@@ -389,7 +389,7 @@ def sample_rate_greedy(spark, sf_dir):
 
 @query
 def sample_one_in_n(spark, sf_dir):
-    orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    orders = fx.facts(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     return sample_every_n(orders, "o_orderkey", 1000, ["o_orderstatus"], width=4096)
 
 

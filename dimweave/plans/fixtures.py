@@ -9,7 +9,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimweave.functions import Delimited
-from dimweave.sources import hash_dim, string_dim
+from dimweave.sources import hash_dim, spread, string_dim
+
+# The unique columns of the tables that lines are made of.
+IDS = {
+    "events": ["event_id"],
+    "orders": ["o_orderkey"],
+    "lineitem": ["l_orderkey", "l_linenumber", "l_partkey"],
+    "documents": ["doc_id"],
+}
 
 LINE_FORMAT = Delimited.of("partkey", "returnflag", "gap", "status")
 REGEX_FORMAT = Delimited.of("head", "tail", separator="[0-9]", regex_fallback=True)
@@ -19,13 +27,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def facts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table that lines are made of."""
+    return spread(table(spark, sf_dir, name), *IDS[name])
+
+
 def _text(*parts: str | Column) -> Column:
     """Concatenation: strings are literals, columns are cast to text."""
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
 
 def _events(spark: SparkSession, sf_dir: str, line: Column) -> DataFrame:
-    return table(spark, sf_dir, "events").select("event_id", "ts", "event_type", line.alias("line"))
+    return facts(spark, sf_dir, "events").select("event_id", "ts", "event_type", line.alias("line"))
 
 
 def source_kv(spark, sf_dir):
@@ -68,7 +81,7 @@ def source_delimited(spark, sf_dir):
         .when(F.col("l_linenumber") == 2, _text(full, "|extra"))
         .otherwise(full)
     )
-    items = table(spark, sf_dir, "lineitem")
+    items = facts(spark, sf_dir, "lineitem")
     return items.select("l_orderkey", "l_linenumber", line.alias("line"))
 
 
@@ -135,7 +148,7 @@ def orders_raw(spark, sf_dir):
     line = F.when(F.col("o_orderpriority") == "5-LOW", F.lit(" ")).otherwise(
         _text("c", F.col("o_custkey"))
     )
-    return table(spark, sf_dir, "orders").select("o_orderkey", line.alias("line"))
+    return facts(spark, sf_dir, "orders").select("o_orderkey", line.alias("line"))
 
 
 def customer_versions(spark, sf_dir):
@@ -164,4 +177,4 @@ def checked_lines(spark, sf_dir):
     )
     stamp = F.when(F.col("event_type") == "signup", F.lit("")).otherwise(updated)
     line = _text("mykey=", F.col("user_id"), "|id=", ident, "|update_time=", stamp)
-    return table(spark, sf_dir, "events").select("event_id", "ts", line.alias("line"))
+    return facts(spark, sf_dir, "events").select("event_id", "ts", line.alias("line"))

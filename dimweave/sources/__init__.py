@@ -7,7 +7,7 @@ from dimweave.sources.generators import (
     skewed_key,
     skewed_text,
 )
-from dimweave.sources.lines import as_lines, read_lines, stream_lines, stream_table
+from dimweave.sources.lines import as_lines, read_lines, spread, stream_lines, stream_table
 
 __all__ = [
     "as_lines",
@@ -21,6 +21,7 @@ __all__ = [
     "sequential_text",
     "skewed_key",
     "skewed_text",
+    "spread",
     "stream_lines",
     "stream_table",
     "string_dim",
