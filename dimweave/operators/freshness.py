@@ -95,14 +95,15 @@ def fresh_lookup_join(
     ttl: int | None = None,
     refresh: str | None = None,
     negative_cache: bool = True,
-    grid: int = 3600,
+    grid: int = 60,
     **options,
 ) -> DataFrame:
     """Enrich each line with the dimension value its time and the staleness bound allow.
 
     `negative_cache=False` lets a miss at the start of the interval be looked up again at the
     line's own time.  Without `ttl` and `refresh` every line sees the version of its own time;
-    `grid` (seconds) is then only the width of the internal intervals.  A NULL value in
+    `grid` (seconds) is then only the width of the internal intervals: what one key brings
+    within it, lines and versions, is compared with each other in one place.  A NULL value in
     `versions` deletes the key from that time on.  `(dim_key, effective_ts)` should be unique.
     """
     configure(lines.sparkSession)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 # LAST_WIN keeps the first position and the last value of a repeated field, in decode and in
@@ -22,7 +24,12 @@ SETTINGS = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the session settings; safe to call any number of times."""
+    """Apply the session settings; safe to call any number of times.
+
+    Functions of this package travel to the Python workers by value, so that the package need
+    not be installed on the executors.
+    """
+    cloudpickle.register_pickle_by_value(sys.modules["dimweave"])
     for name, value in SETTINGS.items():
         if spark.conf.get(name, None) != value:
             spark.conf.set(name, value)

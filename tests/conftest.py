@@ -1,0 +1,57 @@
+import os
+import sys
+
+import pytest
+from pyspark.sql import SparkSession
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    from dimweave.session import configure
+
+    session = (
+        SparkSession.builder.master("local[8]")
+        .appName("tests")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", "8g")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoint")))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield configure(session)
+    session.stop()
+
+
+@pytest.fixture
+def conf(spark):
+    """Set session options for one test."""
+    saved = {}
+
+    def set_option(name, value):
+        saved.setdefault(name, spark.conf.get(name, None))
+        spark.conf.set(name, value)
+
+    yield set_option
+    for name, value in saved.items():
+        if value is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, value)
+
+
+@pytest.fixture(scope="session")
+def column(spark):
+    """Evaluate a column expression over a list of values of one column `x`."""
+    from pyspark.sql import functions as F
+
+    def run(values, build, kind="string"):
+        frame = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, x {kind}")
+        rows = frame.select("i", build(F.col("x")).alias("y")).collect()
+        return [r["y"] for r in sorted(rows)]
+
+    return run
