@@ -27,6 +27,9 @@ HEADLINE = [
     "dedup_lookup",
     "external_lookup",
     "skewed_lookup",
+    "skewed_lookup_wide",
+    "skewed_left_lookup",
+    "skewed_dedup_lookup",
     "ttl_lookup",
     "ttl_lookup_no_negative",
     "live_lookup",

@@ -336,20 +336,37 @@ def skew_profile(spark, sf_dir):
     )
 
 
+SKEWED = {
+    "decode": fx.Delimited.of("userId", "age", "country"),
+    "left_field": "userId",
+    "key_expr": "th_%s",
+}
+
+
+def _skewed(spark, sf_dir, bound: int, **options) -> DataFrame:
+    """Skewed lines looked up in the parts: the first keys are hot, many others miss."""
+    lines = _orders(spark, sf_dir).select("id", skewed_text(F.col("id"), bound).alias("line"))
+    return lookup_join(lines, fx.part_kv(spark, sf_dir), **SKEWED, **options)
+
+
 @query
 def skewed_lookup(spark, sf_dir):
-    """Skewed lines looked up in the parts: the first keys are hot, most others miss."""
-    lines = _orders(spark, sf_dir).select(
-        "id", skewed_text(F.col("id"), 50_000).alias("line")
-    )
-    return lookup_join(
-        lines,
-        fx.part_kv(spark, sf_dir),
-        decode=fx.Delimited.of("userId", "age", "country"),
-        left_field="userId",
-        key_expr="th_%s",
-        how="inner_join",
-    )
+    return _skewed(spark, sf_dir, 50_000, how="inner_join")
+
+
+@query
+def skewed_lookup_wide(spark, sf_dir):
+    return _skewed(spark, sf_dir, 1_000_000, how="inner_join")
+
+
+@query
+def skewed_left_lookup(spark, sf_dir):
+    return _skewed(spark, sf_dir, 50_000)
+
+
+@query
+def skewed_dedup_lookup(spark, sf_dir):
+    return _skewed(spark, sf_dir, 50_000, dedup=True)
 
 
 # Sampling, throughput and checks

@@ -95,6 +95,17 @@ def _skewed(bound: int) -> str:
         ELSE {bound * 3 // 10} + {_draw("key", bound * 7 // 10)} END"""
 
 
+def _skewed_lookup(bound: int, join: str) -> str:
+    return f"""
+    WITH k AS (
+        SELECT o_orderkey AS id, {_skewed(bound)} AS key, {_draw("age", 100)} AS age
+        FROM orders
+    )
+    SELECT id, 'userId=' || key || '|age=' || age || '|country=CN'
+                   || coalesce('|p_name=' || p_name || '|p_brand=' || p_brand, '') AS enriched
+    FROM k {join} part ON p_partkey = key"""
+
+
 def _windows(seconds: int, message: str, closed_only: bool = False) -> str:
     start = f"epoch_us(ts) // 1000000 // {seconds} * {seconds}"
     having = (
@@ -254,14 +265,10 @@ ORACLES: dict[str, str] = {
                     ELSE 'cold' END AS band,
                count(*) AS records, count(DISTINCT key) AS distinct_keys
         FROM k GROUP BY band""",
-    "skewed_lookup": f"""
-        WITH k AS (
-            SELECT o_orderkey AS id, {_skewed(50_000)} AS key, {_draw("age", 100)} AS age
-            FROM orders
-        )
-        SELECT id, 'userId=' || key || '|age=' || age || '|country=CN|p_name=' || p_name
-                   || '|p_brand=' || p_brand AS enriched
-        FROM k JOIN part ON p_partkey = key""",
+    "skewed_lookup": _skewed_lookup(50_000, "JOIN"),
+    "skewed_lookup_wide": _skewed_lookup(1_000_000, "JOIN"),
+    "skewed_left_lookup": _skewed_lookup(50_000, "LEFT JOIN"),
+    "skewed_dedup_lookup": _skewed_lookup(50_000, "LEFT JOIN"),
     "throughput_10s": _windows(10, _KV),
     "throughput_10m": _windows(600, _KV),
     "sample_rate_bucketed": f"""
