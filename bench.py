@@ -36,13 +36,13 @@ HEADLINE = [
     "kv_decode",
     "delimited_decode",
     "gen_skewed_text",
-    "lookup_statistics",
+    "lookup_stats",
     "throughput_10s",
-    "sample_rate_bucketed",
-    "sample_rate_greedy",
-    "sample_one_in_n",
+    "sample_bucketed",
+    "sample_greedy",
+    "sample_every_n",
     "check_all",
-    "error_count_windows",
+    "error_counts",
 ]
 
 

@@ -54,11 +54,13 @@ ENRICHED = ["event_id", "enriched"]
 
 
 def query(build: Query) -> Query:
+    """Register under the function's name, less the `_query` that keeps it off an operator's."""
+
     @wraps(build)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return build(configure(spark), sf_dir)
 
-    QUERIES[build.__name__] = run
+    QUERIES[build.__name__.removesuffix("_query")] = run
     return run
 
 
@@ -259,7 +261,7 @@ def external_lookup_distinct(spark, sf_dir):
 
 
 @query
-def lookup_statistics(spark, sf_dir):
+def lookup_stats_query(spark, sf_dir):
     """Per 2000 consecutive events, the size of a batch."""
     lookup = Lookup(**BY_USER)
     keyed = lookup.keyed(fx.source_kv(spark, sf_dir))
@@ -391,21 +393,21 @@ def throughput_10m(spark, sf_dir):
 
 
 @query
-def sample_rate_bucketed(spark, sf_dir):
+def sample_bucketed_query(spark, sf_dir):
     lines = fx.source_kv(spark, sf_dir)
     picked = sample_bucketed(lines, ["event_type"], "ts", 3_600_000, ["ts", "event_id"])
     return picked.select("event_id", "event_type", "line")
 
 
 @query
-def sample_rate_greedy(spark, sf_dir):
+def sample_greedy_query(spark, sf_dir):
     lines = fx.source_kv(spark, sf_dir)
     picked = sample_greedy(lines, ["event_type"], "ts", 3_600_000, ["ts", "event_id"])
     return picked.select("event_id", "event_type", "line")
 
 
 @query
-def sample_one_in_n(spark, sf_dir):
+def sample_every_n_query(spark, sf_dir):
     orders = fx.facts(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     return sample_every_n(orders, "o_orderkey", 1000, ["o_orderstatus"], width=4096)
 
@@ -436,7 +438,7 @@ def check_unparseable(spark, sf_dir):
 
 
 @query
-def error_count_windows(spark, sf_dir):
+def error_counts_query(spark, sf_dir):
     counts = error_counts(_checked(spark, sf_dir))
     return counts.select(_epoch("window_start"), "records", "errors")
 
@@ -465,7 +467,7 @@ def stream_left_lookup(spark, sf_dir):
 
 
 @query
-def stream_throughput_10m(spark, sf_dir):
+def stream_throughput_query(spark, sf_dir):
     folder = fresh_folder(spark, "stream-throughput")
     counted = stream_throughput(
         stream_table(spark, f"{sf_dir}/events.parquet"),

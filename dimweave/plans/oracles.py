@@ -234,7 +234,7 @@ ORACLES: dict[str, str] = {
     "dedup_lookup": _part_lookup("LEFT JOIN"),
     "external_lookup": _part_lookup("LEFT JOIN"),
     "external_lookup_distinct": _part_lookup("JOIN"),
-    "lookup_statistics": """
+    "lookup_stats": """
         SELECT event_id // 2000 AS batch, count(*) AS rows,
                count(DISTINCT user_id) AS distinct_keys,
                count(*) - count(DISTINCT user_id) AS fetches_saved,
@@ -271,11 +271,11 @@ ORACLES: dict[str, str] = {
     "skewed_dedup_lookup": _skewed_lookup(50_000, "LEFT JOIN"),
     "throughput_10s": _windows(10, _KV),
     "throughput_10m": _windows(600, _KV),
-    "sample_rate_bucketed": f"""
+    "sample_bucketed": f"""
         SELECT event_id, event_type, {_KV} AS line FROM events
         QUALIFY row_number() OVER (
             PARTITION BY event_type, epoch_ms(ts) // {_HOUR_MS} ORDER BY ts, event_id) = 1""",
-    "sample_rate_greedy": f"""
+    "sample_greedy": f"""
         WITH RECURSIVE ticks AS (
             SELECT event_type, epoch_ms(ts) AS tick, arg_min(event_id, (ts, event_id)) AS event_id
             FROM events GROUP BY event_type, tick
@@ -294,14 +294,14 @@ ORACLES: dict[str, str] = {
         )
         SELECT event_id, event_type, {_KV} AS line
         FROM chain JOIN events USING (event_id, event_type)""",
-    "sample_one_in_n": """
+    "sample_every_n": """
         SELECT o_orderkey, o_orderstatus FROM orders
         QUALIFY row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) % 1000 = 0""",
     "check_all": _CHECKED + "SELECT event_id, violation FROM judged",
     "check_key_id": _CHECKED + "SELECT event_id FROM judged WHERE violation = 'key_mismatch'",
     "check_staleness": _CHECKED + "SELECT event_id FROM judged WHERE violation = 'stale'",
     "check_unparseable": _CHECKED + "SELECT event_id FROM judged WHERE violation = 'unparseable'",
-    "error_count_windows": _CHECKED
+    "error_counts": _CHECKED
     + """
         SELECT epoch_us(ts) // 1000000 // 10 * 10 AS window_start, count(*) AS records,
                count(violation) AS errors
@@ -310,5 +310,5 @@ ORACLES: dict[str, str] = {
         SELECT 'event_id=' || event_id || '|' || {_KV} || coalesce('|' || {_SUPPLIER}, '')
                    AS enriched
         FROM events LEFT JOIN supplier ON s_suppkey = user_id""",
-    "stream_throughput_10m": _windows(600, "event_type", closed_only=True),
+    "stream_throughput": _windows(600, "event_type", closed_only=True),
 }

@@ -28,4 +28,4 @@ def test_query(spark, con, name):
     rows, difference = oracle.compare(con, entry.queries()[name](spark, SF), entry.ORACLES[name])
     assert difference is None
     # A thousand orders of one status are more than the smallest tables have.
-    assert rows > 0 or name == "sample_one_in_n"
+    assert rows > 0 or name == "sample_every_n"

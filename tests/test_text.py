@@ -164,8 +164,8 @@ def test_thirty_fields(column):
         "product_sort": "A",
         "product_collect": "0",
         "product_price": "123.123",
-        "product_url": "http://test.datahubweb.wsd.com/config?type=testa",
-        "product_url_encode": "http://test.datahubweb.wsd.com/config?type=testa&product_id=001",
+        "product_url": "http://test.example.com/config?type=testa",
+        "product_url_encode": "http://test.example.com/config?type=testa&product_id=001",
         "product_json": '{"param":{"platform":"Android","sub_tab_info":[{"product_id":"001",'
         '"product_name":"testa","product_price":123.123}]}}',
         "product_kv": "product_id_kv=001#product_name_kv=testa#product_price_kv=123.123",
