@@ -22,7 +22,7 @@ def stream_lines(spark: SparkSession, path: str, files_per_batch: int | None = N
 
 
 def spread(frame: DataFrame, *by: str) -> DataFrame:
-    """Spread an input that comes in fewer pieces than there are cores.
+    """Spread a source, as it was read, that comes in fewer pieces than there are cores.
 
     One large row group or one compressed text file is read by a single task, and everything
     up to the next exchange would run in it.  An input with enough pieces is left as it is, and
