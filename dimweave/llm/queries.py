@@ -5,12 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from dimweave.llm import oracles
 from dimweave.llm.common import read
+from dimweave.llm.decontamination import contaminated, contamination
 from dimweave.llm.packing import pack
+from dimweave.llm.toxicity import fit, held_out, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = oracles.ORACLES
 
 
 def query(build):
@@ -21,3 +25,26 @@ def query(build):
 @query
 def op4_packing(spark, sf_dir):
     return pack(read(spark, sf_dir, "documents"))
+
+
+@query
+def op8_decontamination(spark, sf_dir):
+    found = contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
+        "longest",
+    )
+
+
+@query
+def op9_toxicity(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    scored = toxicity(docs, fit(docs, read(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "passages"
+    )
