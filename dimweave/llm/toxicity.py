@@ -4,8 +4,8 @@ Each word gets the log-odds of toxic against other labelled documents with an in
 Dirichlet prior (the background of both classes).  A linear-time scan (Ruzzo and Tompa) finds all
 maximal-scoring segments of a document.  Segment scores of documents without toxic passages follow
 an extreme-value law, fitted on labelled documents; it says how surprising the best segment of a
-text of that length is, and which segments are significant.  A logistic curve over the evidence
-gives the score.
+text of that length is, which segments are significant, and how surprising several are together.  A
+logistic curve over this evidence gives the score.
 
 Words are features themselves and through their beginnings of 5 to 7 characters, which covers
 inflected and compound forms; the feature that tells most decides.  Features are hashed into
@@ -44,9 +44,11 @@ BEGINNINGS = (7, 6, 5)
 TRAIN_ROWS = 20_000
 PRIOR = 2_000.0
 FLOOR = 4.0
-Z_LEAST = 2.0
-DRIFT = 0.35
+Z_LEAST = 4.0
+DRIFT = 2.0
 SIGNIFICANT = 0.01
+SHORTEST = 30  # shorter texts count as so long: a few words have no room for chance
+NOTHING = -5.0
 KNOWN_WORDS = 300_000
 
 
@@ -110,17 +112,22 @@ class Model:
     curve: tuple[float, ...] = ()
     share: float = 0.0
 
-    def evidence(self, scores: np.ndarray) -> tuple[float, float, list[tuple[int, int, float]]]:
-        """How surprising the best segment is, the log of what significant ones add up to, and
-        the significant ones."""
-        found = segments(scores)
-        if not found:
-            return 0.0, 0.0, []
-        space = math.log(self.scale * len(scores))
-        beyond = [(s, e, self.decay * x - space) for s, e, x in found]
-        level = -math.log(SIGNIFICANT)
-        kept = [x for x in beyond if x[2] >= level]
-        return max(beyond[0][2], -5.0), math.log1p(sum(x[2] for x in kept)), kept
+    def surprise(self, score: float, words: int) -> float:
+        """-log of the number of segments this good that a clean text of that length has."""
+        return self.decay * score - math.log(self.scale * max(words, SHORTEST))
+
+    def evidence(self, found: list[float], words: int) -> tuple[float, float]:
+        """How surprising the best segment is, and the r best together for the r that is most so.
+
+        Of segments as good as the r-th, a clean text has E on average; r or more come with a
+        probability of at most exp(-(r ln(r / E) - r + E))."""
+        together = 0.0
+        rated = [self.surprise(x, words) for x in found]
+        for r, x in enumerate(rated, 1):
+            expected = math.exp(min(-x, 50.0))
+            if expected < r:
+                together = max(together, r * (math.log(r) + x) - r + expected)
+        return max([NOTHING, *rated[:1]]), math.log1p(together)
 
     def probability(self, best: float, added: float) -> float:
         if not self.curve:
@@ -224,25 +231,22 @@ def fit(docs: DataFrame, labels: DataFrame, *, train_rows: int = TRAIN_ROWS) ->
     # at most `train_rows` rows of a label, a length and the best scores
     parts = map_rows(
         sample.filter("part = 1").select("text", "toxic"),
-        _scored(spark.sparkContext.broadcast(model), label=True),
+        _scored(spark.sparkContext.broadcast(model)),
         "toxic int, length long, scores array<double>",
     ).toPandas()
     if parts["toxic"].nunique() < 2:
         return model
     clean = parts[(parts["toxic"] == 0) & (parts["length"] > 0)]
     best = np.array([s[0] if len(s) else 0.0 for s in clean["scores"]])
-    model.decay, model.scale = extreme_values(best, clean["length"].to_numpy(float))
-    evidence = []
-    for n, scores in zip(parts["length"], parts["scores"], strict=True):
-        space, level = math.log(model.scale * max(n, 1)), -math.log(SIGNIFICANT)
-        beyond = [model.decay * s - space for s in scores]
-        top = max(beyond[0], -5.0) if beyond else 0.0
-        evidence.append((top, math.log1p(sum(b for b in beyond if b >= level))))
+    lengths = np.maximum(clean["length"].to_numpy(float), SHORTEST)
+    model.decay, model.scale = extreme_values(best, lengths)
+    pairs = zip(parts["scores"], parts["length"], strict=True)
+    evidence = [model.evidence(list(s), n) for s, n in pairs]
     model.curve = logistic(np.array(evidence), parts["toxic"].to_numpy(float))
     return model
 
 
-def _scored(model: Broadcast, *, label: bool):
+def _scored(model: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         of = WordScores(model.value.odds, model.value.certain)
         for batch in batches:
@@ -266,8 +270,11 @@ def _judge(model: Model):
     def judge(text: str | None) -> tuple[float, list[tuple[int, int, float]]]:
         if model.odds is None:
             return model.share, []
-        best, added, kept = model.evidence(word_scores(text, of))
-        return model.probability(best, added), kept
+        scores = word_scores(text, of)
+        found = segments(scores)
+        rated = [(s, e, model.surprise(x, len(scores))) for s, e, x in found]
+        kept = [x for x in rated if x[2] >= -math.log(SIGNIFICANT)]
+        return model.probability(*model.evidence([x[2] for x in found], len(scores))), kept
 
     return judge
 
