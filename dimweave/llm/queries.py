@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from dimweave.llm import oracles
 from dimweave.llm.common import read
 from dimweave.llm.decontamination import contaminated, contamination
+from dimweave.llm.html_extraction import extract
 from dimweave.llm.packing import pack
 from dimweave.llm.toxicity import fit, held_out, toxicity
 
@@ -22,6 +23,12 @@ def query(build):
     return build
 
 
+@query
+def op1_html_extraction(spark, sf_dir):
+    found = extract(read(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query
 def op4_packing(spark, sf_dir):
     return pack(read(spark, sf_dir, "documents"))
