@@ -54,3 +54,62 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM words LEFT JOIN covered USING (row_id) LEFT JOIN found USING (row_id)
   LEFT JOIN runs USING (row_id)
 """
+
+_PATTERNS = [
+    ("assign", 0, r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 1, 12),
+    ("access", 1, r"AKIA[A-Z0-9]{14,}", 0, 18),
+    ("hex", 2, r"[0-9a-f]{16,}", 0, 16),
+    ("bearer", 3, r"[Bb]earer\x20+([A-Za-z0-9+/_.=-]{20,})", 1, 20),
+    ("prefixed", 4, r"(?:gh[pousr]_|xox[abprs]-|sk_live_|sk-|glpat-|AIza)[A-Za-z0-9_-]+", 0, 20),
+    ("jwt", 5, r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 30),
+    ("userinfo", 6, r"://[^\s/:@]+:([^\s/:@]+)@", 1, 8),
+    ("digits", 7, r"[0-9]{13,}", 0, 13),
+    ("mixed", 8, r"[A-Za-z0-9+/_-]{24,}", 0, 24),
+]
+
+
+def _matches(kind: str, rank: int, pattern: str, group: int, least: int) -> str:
+    """Matches of one kind: split the text at them and add up the lengths before each."""
+    return f"""
+  SELECT row_id, source, '{kind}' AS kind, {rank} AS rank, value,
+    list_sum(list_transform(gaps[1:k], lambda g: length(g)))::BIGINT
+      + coalesce(list_sum(list_transform(hits[1:k - 1], lambda h: length(h))), 0)::BIGINT AS a,
+    length(hit) AS size
+  FROM (SELECT row_id, source, gaps, hits, unnest(hits) AS hit, unnest(groups) AS value,
+          unnest(range(1, len(hits) + 1)) AS k
+        FROM (SELECT row_id, source, string_split_regex(t, '{pattern}') AS gaps,
+                regexp_extract_all(t, '{pattern}', 0) AS hits,
+                regexp_extract_all(t, '{pattern}', {group}) AS groups
+              FROM texts WHERE regexp_matches(t, '{pattern}')))
+  WHERE length(value) >= {least}"""
+
+
+def secrets_sql(texts: str) -> str:
+    """Common table expressions `texts`, `owners` (per value) and `told` (the spans reported)."""
+    every = "\n  UNION ALL".join(_matches(*p) for p in _PATTERNS)
+    return f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row_id, *, coalesce(text, '') AS t FROM {texts}
+), found AS ({every}
+), owners AS (
+  SELECT value, count(DISTINCT coalesce('=' || source, '')) AS n FROM found GROUP BY value
+), told AS (
+  SELECT row_id, kind, rank, a, a + size AS z, n FROM found JOIN owners USING (value)
+  WHERE rank < 3 OR n = 1
+)"""
+
+
+ORACLES["op2_secret_scans"] = f"""{secrets_sql("documents")}
+, joined AS (
+  SELECT row_id, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access,
+    count(*) FILTER (rank = 2) AS n_hex,
+    string_agg(kind || ':' || a || ':' || z, ',' ORDER BY a, rank) FILTER (rank < 3) AS base,
+    string_agg(kind || ':' || a || ':' || z, ',' ORDER BY a, rank) AS spans,
+    count(*) FILTER (n = 1) AS n_live, count(*) FILTER (n >= 3) AS n_example
+  FROM told GROUP BY row_id
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+  coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+FROM texts LEFT JOIN joined USING (row_id)
+"""

@@ -12,6 +12,7 @@ from dimweave.llm.common import read
 from dimweave.llm.decontamination import contaminated, contamination
 from dimweave.llm.html_extraction import extract
 from dimweave.llm.packing import pack
+from dimweave.llm.secrets import scan
 from dimweave.llm.toxicity import fit, held_out, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +30,11 @@ def op1_html_extraction(spark, sf_dir):
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+@query
+def op2_secret_scans(spark, sf_dir):
+    return scan(read(spark, sf_dir, "documents"))
+
+
 @query
 def op4_packing(spark, sf_dir):
     return pack(read(spark, sf_dir, "documents"))
