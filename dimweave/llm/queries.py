@@ -13,6 +13,7 @@ from dimweave.llm.decontamination import contaminated, contamination
 from dimweave.llm.html_extraction import extract
 from dimweave.llm.packing import pack
 from dimweave.llm.secrets import scan
+from dimweave.llm.simhash import near_duplicates
 from dimweave.llm.toxicity import fit, held_out, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +36,16 @@ def op2_secret_scans(spark, sf_dir):
     return scan(read(spark, sf_dir, "documents"))
 
 
+@query
+def op3_simhash(spark, sf_dir):
+    found = near_duplicates(read(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        "component_id",
+    )
+
+
 @query
 def op4_packing(spark, sf_dir):
     return pack(read(spark, sf_dir, "documents"))
