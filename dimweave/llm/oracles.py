@@ -113,3 +113,20 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
   coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
 FROM texts LEFT JOIN joined USING (row_id)
 """
+
+ORACLES["op6_warc"] = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n,
+    sha1(encode(coalesce(html, ''))) AS h
+  FROM pages
+), first AS (
+  SELECT h, min(page_id) AS page FROM p GROUP BY h
+)
+SELECT page_id, n::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    (('0x' || substr(h, 5 * (k // 4)::INT + 1, 5))::INT >> (15 - 5 * (k % 4))::INT) % 32 + 1, 1)),
+    '') AS payload_digest,
+  CASE WHEN page_id = page THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> page THEN page END AS refers_to
+FROM p JOIN first USING (h)
+"""

@@ -15,6 +15,8 @@ from dimweave.llm.packing import pack
 from dimweave.llm.secrets import scan
 from dimweave.llm.simhash import near_duplicates
 from dimweave.llm.toxicity import fit, held_out, toxicity
+from dimweave.llm.warc import read_back, write
+from dimweave.session import fresh_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = oracles.ORACLES
@@ -51,6 +53,20 @@ def op4_packing(spark, sf_dir):
     return pack(read(spark, sf_dir, "documents"))
 
 
+@query
+def op6_warc(spark, sf_dir):
+    pages, folder = read(spark, sf_dir, "pages"), fresh_folder(spark, "warc")
+    records = read_back(write(pages, folder), folder, payload=False)
+    kind = pages.schema["page_id"].dataType
+    return records.select(
+        F.col("page").cast(kind).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers").cast(kind).alias("refers_to"),
+    )
+
+
 @query
 def op8_decontamination(spark, sf_dir):
     found = contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
