@@ -11,6 +11,7 @@ from dimweave.llm import oracles
 from dimweave.llm.common import read
 from dimweave.llm.decontamination import contaminated, contamination
 from dimweave.llm.html_extraction import extract
+from dimweave.llm.neighbours import nearest
 from dimweave.llm.packing import pack
 from dimweave.llm.secrets import scan
 from dimweave.llm.simhash import near_duplicates
@@ -88,3 +89,8 @@ def op9_toxicity(spark, sf_dir):
     return scored.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "passages"
     )
+
+
+@query
+def op10_nearest_neighbours(spark, sf_dir):
+    return nearest(read(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
