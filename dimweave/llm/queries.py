@@ -15,6 +15,7 @@ from dimweave.llm.neighbours import nearest
 from dimweave.llm.packing import pack
 from dimweave.llm.secrets import scan
 from dimweave.llm.simhash import near_duplicates
+from dimweave.llm.suffixes import repeated_passages
 from dimweave.llm.toxicity import fit, held_out, toxicity
 from dimweave.llm.warc import read_back, write
 from dimweave.session import fresh_folder
@@ -68,6 +69,11 @@ def op6_warc(spark, sf_dir):
     )
 
 
+@query
+def op7_suffix_array(spark, sf_dir):
+    return repeated_passages(read(spark, sf_dir, "documents"))
+
+
 @query
 def op8_decontamination(spark, sf_dir):
     found = contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
