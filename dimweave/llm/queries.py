@@ -16,6 +16,7 @@ from dimweave.llm.packing import pack
 from dimweave.llm.secrets import scan
 from dimweave.llm.simhash import near_duplicates
 from dimweave.llm.suffixes import repeated_passages
+from dimweave.llm.token_counts import token_counts
 from dimweave.llm.toxicity import fit, held_out, toxicity
 from dimweave.llm.warc import read_back, write
 from dimweave.session import fresh_folder
@@ -55,6 +56,11 @@ def op4_packing(spark, sf_dir):
     return pack(read(spark, sf_dir, "documents"))
 
 
+@query
+def op5_token_counts(spark, sf_dir):
+    return token_counts(read(spark, sf_dir, "documents"))
+
+
 @query
 def op6_warc(spark, sf_dir):
     pages, folder = read(spark, sf_dir, "pages"), fresh_folder(spark, "warc")
