@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from dimweave.llm import oracles
 from dimweave.llm.common import read
 from dimweave.llm.decontamination import contaminated, contamination
@@ -106,3 +107,8 @@ def op9_toxicity(spark, sf_dir):
 @query
 def op10_nearest_neighbours(spark, sf_dir):
     return nearest(read(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+@query
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)

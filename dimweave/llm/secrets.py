@@ -50,7 +50,6 @@ ADDED = [
 KINDS = [*BASE, *ADDED]
 BASE_KINDS = {k for k, *_ in BASE}
 OWNERS_OF_EXAMPLE = 3
-MASK = "[REDACTED:%s]"
 
 
 def spans_of(text: Column, kind: str, pattern: str, group: int, least: int) -> Column:
@@ -183,3 +182,38 @@ def scan(
         count("verdict", "live").alias("n_live"),
         count("verdict", "example").alias("n_example"),
     )
+
+
+def masked(text: Column, spans: Column) -> Column:
+    """The text with each stretch of overlapping spans replaced by a mask that names the first."""
+
+    def step(done: Column, s: Column) -> Column:
+        mask = F.concat(F.lit("[REDACTED:"), s["kind"], F.lit(":"), s["verdict"], F.lit("]"))
+        gap = F.substring(text, done["at"] + 1, s["at"] - done["at"])
+        return F.when(
+            s["at"] >= done["at"],
+            F.struct(s["till"].alias("at"), F.concat(done["out"], gap, mask).alias("out")),
+        ).otherwise(
+            F.struct(F.greatest(done["at"], s["till"]).alias("at"), done["out"].alias("out"))
+        )
+
+    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    return F.aggregate(
+        spans,
+        begin,
+        step,
+        lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text))),
+    )
+
+
+def redact(
+    docs: DataFrame, text_col: str = "text", owner_col: str = "source",
+    owners_of_example: int = OWNERS_OF_EXAMPLE,
+) -> DataFrame:
+    """All rows and columns, with every reported span masked by its kind and verdict."""
+    found, spans = judged(docs, docs.columns, text_col, owner_col, owners_of_example)
+    text = F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(
+        masked(F.col(text_col), F.col("__spans"))
+    )
+    rows = found.drop("__found", "__owner").join(spans, "__row", "left")
+    return rows.withColumn(text_col, text).select(*docs.columns)
