@@ -1,0 +1,67 @@
+import random
+import re
+
+from dimweave.llm.decontamination import contamination, remove_contaminated
+
+
+def brute(text, items, window=13):
+    def words(t):
+        t = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t)
+
+    doc, hit, found = words(text), set(), set()
+    for item, item_text in items:
+        own = words(item_text)
+        width = min(window, len(own))
+        for j in range(len(own) - width + 1 if own else 0):
+            for i in range(len(doc) - width + 1):
+                if doc[i : i + width] == own[j : j + width]:
+                    hit.update(range(i, i + width))
+                    found.add(str(item))
+    longest = run = 0
+    for i in range(len(doc)):
+        run = run + 1 if i in hit else 0
+        longest = max(longest, run)
+    return len(doc), len(hit), longest, sorted(found)
+
+
+def rows():
+    rng = random.Random(5)
+    letters = ["Aa", "bé", "c9", "d", "日本"]
+    items = [(i, " ".join(rng.choices(letters, k=rng.choice([0, 1, 2, 14, 30])))) for i in range(12)]
+    items += [(12, items[5][1]), (13, None), (14, "...")]
+    texts = []
+    for i in range(40):
+        parts = [rng.choice(items)[1] or "" for _ in range(rng.randint(0, 2))]
+        parts += [" ".join(rng.choices([*letters, "zz", "q"], k=20)) for _ in range(2)]
+        rng.shuffle(parts)
+        texts.append((i, " - ".join(parts).upper() if i % 3 else "; ".join(parts)))
+    return items, [*texts, (90, None), (91, ""), (92, "?!"), (93, "w " * 200_000)]
+
+
+def test_against_brute_force(docs, table):
+    items, texts = rows()
+    benchmark = table([(i, t, 1) for i, t in items], "item_id long, text string, doc_id int")
+    for block in (2_000_000, 20):
+        found = contamination(docs([*texts, texts[0]]), benchmark, block_words=block).collect()
+        assert len(found) == len(texts) + 1
+        want = {i: brute(t, items) for i, t in texts}
+        got = {r.doc_id: (r.n_words, r.n_hit, r.longest, list(r.items)) for r in found}
+        assert got == want
+
+
+def test_removal_keeps_the_rest(docs, table):
+    items, texts = rows()
+    benchmark = table(items, "item_id long, text string")
+    frame = docs(texts)
+    kept = remove_contaminated(frame, benchmark)
+    assert kept.columns == frame.columns
+    clean = {i for i, t in texts for n, h, *_ in [brute(t, items)] if not (h and 20 * h >= n)}
+    assert {r.doc_id for r in kept.collect()} == clean
+
+
+def test_empty_tables(docs, table):
+    nothing = table([], "item_id long, text string")
+    found = contamination(docs([(1, "a b c")]), nothing).collect()
+    assert [(r.n_words, r.n_hit, list(r.items)) for r in found] == [(3, 0, [])]
+    assert contamination(docs([]), nothing).count() == 0
