@@ -4,6 +4,7 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry
+from dimweave.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,7 +15,9 @@ def con():
 
 
 def test_registry():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(entry.ORACLES)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):
@@ -23,9 +26,9 @@ def test_entry(spark):
     assert frame.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    rows, difference = oracle.compare(con, entry.queries()[name](spark, SF), entry.ORACLES[name])
+    rows, difference = oracle.compare(con, QUERIES[name](spark, SF), entry.ORACLES[name])
     assert difference is None
     # A thousand orders of one status are more than the smallest tables have.
     assert rows > 0 or name == "sample_every_n"
