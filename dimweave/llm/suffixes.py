@@ -39,7 +39,7 @@ GRAM = 16
 GROUP = 20_000
 BITMAP_BITS = 27
 BLOCK_BITS = 19
-CHUNK = 20_000
+CHUNK = 10_000
 
 WEIGHTS = np.random.default_rng(11).integers(0, 1 << 63, 4096, dtype=np.uint64) * np.uint64(
     2
@@ -187,18 +187,20 @@ def common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return same.argmin(axis=1)
 
 
-def matches(hashes: np.ndarray, right: np.ndarray, left: np.ndarray, rows: np.ndarray,
-            least: int) -> list[tuple[int, int, int]]:
-    """(suffix, words before, words from it on) that also stand in another document.
-
-    The suffixes are sorted by hash and by what follows."""
-    found = []
-    linked = (hashes[1:] == hashes[:-1]) & (rows[1:] != rows[:-1])
-    at = np.flatnonzero(linked)
-    after, before = common(right[at], right[at + 1]), common(left[at], left[at + 1])
-    good = after + before >= least
-    for i, x, y in zip(at[good].tolist(), before[good].tolist(), after[good].tolist(), strict=True):
-        found += [(i, x, y), (i + 1, x, y)]
+def matches(
+    hashes: np.ndarray, right: np.ndarray, left: np.ndarray, rows: np.ndarray, least: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """How many words before each suffix, and from it on, stand in passages of another document.
+
+    The suffixes are sorted by hash and by what follows.  All passages around a suffix hold its
+    first words, so their union is given by the farthest ends."""
+    before, after = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
+    at = np.flatnonzero((hashes[1:] == hashes[:-1]) & (rows[1:] != rows[:-1]))
+    y, x = common(right[at], right[at + 1]), common(left[at], left[at + 1])
+    good = x + y >= least
+    for pair in (at[good], at[good] + 1):
+        np.maximum.at(before, pair, x[good])
+        np.maximum.at(after, pair, y[good])
     starts = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
     sizes = np.diff(np.concatenate([starts, [len(hashes)]]))
     crowd = np.flatnonzero(np.repeat(sizes > 2, sizes))
@@ -207,18 +209,30 @@ def matches(hashes: np.ndarray, right: np.ndarray, left: np.ndarray, rows: np.nd
         spread = group.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         for a, keys in windows(left[crowd], right[crowd], least):
             some = np.flatnonzero(keys)
+            if not len(some):
+                continue
             keys = keys[some] ^ spread[some]
             order = np.argsort(keys, kind="stable")
             keys, which = keys[order], crowd[some[order]]
-            if not len(keys):
-                continue
             first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
             several = np.minimum.reduceat(rows[which], first) != np.maximum.reduceat(
                 rows[which], first
             )
             counts = np.diff(np.concatenate([first, [len(keys)]]))
-            found += ((i, a, least - a) for i in which[np.repeat(several, counts)].tolist())
-    return found
+            hit = which[np.repeat(several, counts)]
+            before[hit] = np.maximum(before[hit], a)
+            after[hit] = np.maximum(after[hit], least - a)
+    return before, after
+
+
+def words_from(column: pa.ChunkedArray, width: int) -> np.ndarray:
+    """Binary values of `width` words each, as a matrix."""
+    parts = []
+    for chunk in column.chunks:
+        data = np.frombuffer(chunk.buffers()[2], np.uint8)
+        start = chunk.offset * 4 * width
+        parts.append(data[start : start + len(chunk) * 4 * width].view(np.uint32))
+    return np.concatenate(parts).reshape(-1, width)
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -239,21 +253,20 @@ def compared(found: DataFrame, least: int, gram: int) -> DataFrame:
     def chunk(parts: list[pa.RecordBatch]) -> list[tuple]:
         table = pa.Table.from_batches(parts).combine_chunks()
         right, left = (
-            np.frombuffer(b"".join(table.column(c).to_pylist()), np.uint32).reshape(-1, n)
-            for c, n in (("right", least), ("left", least - gram))
+            words_from(table.column(c), n) for c, n in (("right", least), ("left", least - gram))
         )
         rows = table.column("row").to_numpy()
-        places = table.column("places").to_pylist()
-        ids = table.column("id").to_pylist()
+        before, after = matches(table.column("hash").to_numpy(), right, left, rows, least)
+        hit = np.flatnonzero(after)
+        found = table.select(["row", "id", "places"]).take(pa.array(hit)).to_pydict()
         spans: dict[int, list[tuple[int, int]]] = {}
         named = {}
-        hits = matches(table.column("hash").to_numpy(), right, left, rows, least)
-        for i, before, after in hits:
-            named[rows[i]] = ids[i]
-            spans.setdefault(rows[i], []).extend((p - before, p + after) for p in places[i])
-        return [
-            (int(r), named[r], s, e) for r, found in spans.items() for s, e in merged(found)
-        ]
+        for r, doc, places, x, y in zip(
+            *found.values(), before[hit].tolist(), after[hit].tolist(), strict=True
+        ):
+            named[r] = doc
+            spans.setdefault(r, []).extend((p - x, p + y) for p in places)
+        return [(r, named[r], s, e) for r, found in spans.items() for s, e in merged(found)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         parts, size = [], 0
