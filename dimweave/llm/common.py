@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from dimweave.session import fresh_folder
 
 OUT_ROWS = 20_000
+BATCH_ROWS = 1_000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def materialize(frame: DataFrame, name: str) -> DataFrame:
@@ -35,6 +37,15 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python in batches of BATCH_ROWS rows, unless the session sets a number.
+
+    Spark's default of 10 000 rows counts on narrow ones; a batch of whole texts is held several
+    times over, by the executor and by Python.  No result depends on the setting."""
+    if spark.conf.get(BATCH_SETTING) == "10000":
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+
+
 def map_rows(
     frame: DataFrame,
     function: Callable[[Iterator[pa.RecordBatch]], Iterator[list[tuple]]],
@@ -44,6 +55,7 @@ def map_rows(
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
+    small_batches(frame.sparkSession)
     struct = StructType.fromDDL(schema)
     arrow = to_arrow_schema(struct)
 

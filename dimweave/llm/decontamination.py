@@ -29,11 +29,11 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimweave.llm.common import map_rows
+from dimweave.llm.common import map_rows, small_batches
 
 WINDOW = 13
 BLOCK_WORDS = 2_000_000
-SHARD_BYTES = 8_000_000
+SHARD_BYTES = 1_000_000
 
 # ASCII letters are lower-cased, digits and bytes of other characters are parts of
 # words, every other ASCII character separates them.
@@ -234,4 +234,5 @@ def remove_contaminated(
                 keep = [not contaminated(hit, n) for n, hit, *_ in rows]
                 yield shard.filter(pa.array(keep, pa.bool_()))
 
+    small_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)

@@ -10,8 +10,9 @@ what meets in a bucket is verified on all 64 bits.
 
 Equal fingerprints are one node from the start, so copies are never paired.  A bucket gives the
 edges of a spanning forest of its links, not all pairs.  A bucket of over `BUCKET` fingerprints is
-split by the plain pigeonhole principle on its remaining bits, as often as needed, which keeps the
-result exact; fewer than 13 remaining bits cannot fill a bucket.  All statistics (bit correlations,
+split by the plain pigeonhole principle on its remaining bits, up to `SPLITS` times, which keeps the
+result exact.  What is over `BUCKET` still is dense: its fingerprints agree in about half of their
+bits, nearly all are reached from the first few, and a task takes 8 bytes for each.  All statistics (bit correlations,
 value counts) cover all distinct fingerprints; what the driver gets has a fixed size.
 
 Null and empty texts have fingerprint zero and are linked like any other.  Repeated rows share a
@@ -39,6 +40,7 @@ SEED = 42
 LAYOUTS = (5, 4, 3)
 BLOCK_BITS = 11
 BUCKET = 8192
+SPLITS = 2
 PROBE_COST = 500.0  # one shuffled row, in verified pairs
 FEW = 48
 
@@ -240,10 +242,14 @@ def postings(distinct: DataFrame, parts: list[tuple[list[int], int]]) -> DataFra
         rows.append(F.array(_posting(k, own, False)))
         if flips:
             around = F.array(*(F.lit(f).cast("long") for f in flips))
-            rows.append(F.transform(around, lambda f, k=k, own=own: _posting(k, own.bitwiseXOR(f), True)))
+            rows.append(_around(k, own, around))
     return distinct.select("fp", F.explode(F.concat(*rows)).alias("p")).select("p.*", "fp")
 
 
+def _around(part: int, own: Column, flips: Column) -> Column:
+    return F.transform(flips, lambda f: _posting(part, own.bitwiseXOR(f), True))
+
+
 def _posting(part: int, value: Column, probe: bool) -> Column:
     return F.struct(
         F.lit(part).alias("part"), value.cast("long").alias("value"), F.lit(probe).alias("probe")
@@ -251,16 +257,18 @@ def _posting(part: int, value: Column, probe: bool) -> Column:
 
 
 def divide(rows: DataFrame, parts: list[tuple[list[int], int]], distance: int, bucket: int):
-    """Split buckets of over `bucket` rows on their remaining bits until none is left."""
+    """Split buckets of over `bucket` rows on their remaining bits, `SPLITS` times at most."""
     masks = {str(k): mask_of(bits) for k, (bits, _) in enumerate(parts)}
     rows = rows.withColumn("part", F.col("part").cast("string"))
-    done, level = None, rows
+    done, level, splits = None, rows, 0
     while True:
         level = materialize(level, "postings")
         hot = level.groupBy("part", "value").count().filter(F.col("count") > bucket)
         hot = materialize(hot.drop("count"), "hot")
         splittable = {p for (p,) in hot.select("part").distinct().collect()}
-        splittable = {p for p in splittable if 64 - masks[p].bit_count() > 12}
+        if splits == SPLITS:
+            splittable = set()
+        splits += 1
         cool = level.join(hot.filter(F.col("part").isin(*splittable)), ["part", "value"], "left_anti")
         done = (level if not splittable else cool) if done is None else done.union(cool)
         if not splittable:

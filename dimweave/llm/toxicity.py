@@ -36,7 +36,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimweave.llm.common import map_rows, materialize
+from dimweave.llm.common import map_rows, materialize, small_batches
 from dimweave.llm.decontamination import WORD_BYTES
 
 BUCKETS = 1 << 20
@@ -49,7 +49,7 @@ DRIFT = 2.0
 SIGNIFICANT = 0.01
 SHORTEST = 30  # shorter texts count as so long: a few words have no room for chance
 NOTHING = -5.0
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 100_000
 
 
 def features(word: bytes) -> list[int]:
@@ -314,4 +314,5 @@ def remove_toxic(docs: DataFrame, model: Model) -> DataFrame:
             keep = [judge(t.as_py())[0] < 0.5 for t in batch.column(text)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
+    small_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)
