@@ -56,6 +56,8 @@ def parse_stamp(text: Column, pattern: str = STAMP_FORMAT) -> Column:
 
 def draw(number: Column, salt: str, bound: int) -> Column:
     """Repeatable pseudo-random integer in [0, bound) derived from a number and a salt."""
+    if not 0 < bound <= 1 << 32:
+        raise ValueError("bound must be from 1 to 2**32, a draw has 32 bits")
     digest = F.md5(F.concat(number.cast("string"), F.lit("-" + salt)))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % F.lit(bound)
 

@@ -7,11 +7,12 @@ from __future__ import annotations
 
 import base64
 import binascii
-import codecs
 import json
 import re
 from dataclasses import dataclass
 
+from pyspark import SparkContext
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -267,12 +268,15 @@ def _text_or(node: dict, name: str, default: str) -> str:
 
 
 def decode_bytes(data: Column, charset: str = "UTF8") -> Column:
-    """Text of a BINARY column; malformed bytes become U+FFFD, an unknown charset gives NULL."""
+    """Text of a BINARY column; malformed bytes become U+FFFD.
+
+    The JVM knows which charsets there are; one it does not know is an error."""
+    charsets = SparkContext._active_spark_context._jvm.java.nio.charset.Charset
     try:
-        name = codecs.lookup(charset).name
-    except LookupError:
-        return F.lit(None).cast("string")
-    if name == "utf-8":
+        name = charsets.forName(charset).name()
+    except IllegalArgumentException as e:
+        raise ValueError(f"unknown charset {charset!r}") from e
+    if name == "UTF-8":
         return F.make_valid_utf8(data.cast("string"))
     return F.decode(data, charset)
 

@@ -44,7 +44,7 @@ def _fetch_batches(
                     if on_error == "fail":
                         raise
                     log.warning("fetch of %d keys failed, taken as misses", len(part), exc_info=1)
-            yield pd.Series([found.get(k) for k in keys], index=keys.index, dtype=object)
+            yield keys.map(found.get).astype(object)
     finally:
         if close is not None:
             close()

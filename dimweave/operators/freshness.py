@@ -24,7 +24,7 @@ from dimweave.session import configure
 # Seconds a value may be reused when only its update rhythm is known.
 REFRESH_SECONDS = {"minute": 15, "hour": 300, "day": 1800, "random": None, "always": None}
 
-_AT, _CELL, _FROM, _TO, _SEEN = "__at", "__cell", "__from", "__to", "__seen"
+_AT, _CELL, _SEEN = "__at", "__cell", "__seen"
 
 
 def resolve_ttl(ttl: int | None = None, refresh: str | None = None) -> int | None:
@@ -47,7 +47,7 @@ def _carried(cells: DataFrame, versions: DataFrame, width: int) -> DataFrame:
     newest = (
         versions.withColumn(_CELL, visible)
         .groupBy(_KEY, _CELL)
-        .agg(F.max_by(_SEEN, _AT).alias(_SEEN))
+        .agg(F.max_by(_SEEN, F.struct(_AT, F.col(_SEEN)[_DIM]["text"])).alias(_SEEN))
         .withColumn("__wanted", F.lit(0))
     )
     wanted = cells.withColumn(_SEEN, F.lit(None).cast(newest.schema[_SEEN].dataType)).withColumn(
@@ -66,24 +66,37 @@ def _carried(cells: DataFrame, versions: DataFrame, width: int) -> DataFrame:
     )
 
 
-def _intervals(
-    carried: DataFrame, versions: DataFrame, width: int, only_misses: bool
+def _as_of(
+    wanted: DataFrame, carried: DataFrame, versions: DataFrame, width: int, only_misses: bool
 ) -> DataFrame:
-    """Split each (key, cell) at the versions that start within it."""
+    """For each distinct (key, time) of `wanted` the version current at that time.
+
+    The version carried into a cell, those that start within it and the wanted times are one
+    sequence, in which every time takes the last version before it.  With `only_misses` a value
+    carried in stays for the whole cell."""
     inside = versions.withColumn(_CELL, floor_to(F.col(_AT), width)).where(
         F.col(_CELL) < F.col(_AT)
     )
-    points = carried.withColumn(_FROM, F.col(_CELL)).unionByName(
-        inside.withColumnRenamed(_AT, _FROM)
+    columns = [_KEY, _CELL, _AT, _SEEN]
+    nothing = F.lit(None).cast(versions.schema[_SEEN].dataType)
+    points = (
+        carried.withColumn(_AT, F.col(_CELL)).select(*columns, F.lit(0).alias("__turn"))
+        .unionByName(inside.select(*columns, F.lit(1).alias("__turn")))
+        .unionByName(
+            wanted.withColumn(_SEEN, nothing).select(*columns, F.lit(2).alias("__turn"))
+        )
     )
-    order = Window.partitionBy(_KEY, _CELL).orderBy(_FROM)
+    so_far = (
+        Window.partitionBy(_KEY, _CELL)
+        .orderBy(_AT, "__turn")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    seen = F.last(_SEEN, ignorenulls=True).over(so_far)
     if only_misses:
-        # A value found at the start of the interval stays for the whole of it.
-        start = F.first(F.col(_SEEN)[_DIM].isNotNull()).over(order)
-        points = points.withColumn("__hit", start).where(
-            ~F.coalesce(F.col("__hit"), F.lit(False)) | (F.col(_FROM) == F.col(_CELL))
-        ).drop("__hit")
-    return points.withColumn(_TO, F.lead(_FROM).over(order))
+        # the carried row is the first of its cell
+        start = F.first(_SEEN).over(so_far)
+        seen = F.when(start[_DIM].isNotNull(), start).otherwise(seen)
+    return points.withColumn(_SEEN, seen).where("__turn = 2").select(_KEY, _AT, _SEEN)
 
 
 def fresh_lookup_join(
@@ -102,8 +115,8 @@ def fresh_lookup_join(
 
     `negative_cache=False` lets a miss at the start of the interval be looked up again at the
     line's own time.  Without `ttl` and `refresh` every line sees the version of its own time;
-    `grid` (seconds) is then only the width of the internal intervals: what one key brings
-    within it, lines and versions, is compared with each other in one place.  A NULL value in
+    `grid` (seconds) is then only the width of the internal intervals: the distinct times and
+    the versions that one key brings within it are put in order by one task.  A NULL value in
     `versions` deletes the key from that time on.  `(dim_key, effective_ts)` should be unique.
     """
     configure(lines.sparkSession)
@@ -122,11 +135,9 @@ def fresh_lookup_join(
     if seconds is not None and negative_cache:
         found = join_unique(keyed, carried, [_KEY, _CELL], "left")
     else:
-        spans = _intervals(carried, history, width, only_misses=seconds is not None)
-        within = (F.col(_AT) >= F.col(_FROM)) & (
-            F.col(_TO).isNull() | (F.col(_AT) < F.col(_TO))
-        )
-        found = join_unique(keyed, spans, [_KEY, _CELL], "left", within).drop(_FROM, _TO)
+        wanted = lookup.keys(lines, **{_AT: at, _CELL: floor_to(at, width)})
+        current = _as_of(wanted, carried, history, width, only_misses=seconds is not None)
+        found = join_unique(keyed, current, [_KEY, _AT], "left")
     found = found.withColumn(_DIM, F.col(_SEEN)[_DIM]).drop(_SEEN, _AT, _CELL)
     if lookup.miss == "drop":
         found = found.where(F.col(_DIM).isNotNull())

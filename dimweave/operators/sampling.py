@@ -94,12 +94,20 @@ def sample_greedy(
 
     The clock has milliseconds, so of equal ones only the first can be emitted, the first by
     `order`.  That reduction runs before the shuffle and bounds what a segment can hold.
+
+    Records without a time are one interval of their own, as in `sample_bucketed`.  Python sees
+    keys as two hashes that are never NULL, since numbers next to NULLs would turn into doubles.
     """
     configure(frame.sparkSession)
-    keys = list(keys)
+    names = list(keys)
+    values = [x for k in names for x in (F.col(k).isNull(), F.col(k))] or [F.lit(0)]
+    keys = ["__k0", "__k1"]
+    codes = [F.xxhash64(*values), F.hash(F.lit(1), *values).cast("bigint")]
     width = _segment_width(interval_ms)
-    timed = frame.withColumn(_T, F.unix_millis(F.col(ts).cast("timestamp")))
-    ticks = timed.select(*keys, _T).distinct()
+    timed = frame.withColumns(
+        {_T: F.unix_millis(F.col(ts).cast("timestamp"))} | dict(zip(keys, codes, strict=True))
+    )
+    ticks = timed.where(F.col(_T).isNotNull()).select(*keys, _T).distinct()
     ticks = ticks.withColumn(_SEGMENT, floor_to(F.col(_T), width))
 
     longs = {c: T.StructField(c, T.LongType()) for c in (_SEGMENT, _T, *_RUN)}
@@ -122,7 +130,10 @@ def sample_greedy(
     chosen = map_groups(
         ticks.unionByName(entering), [*keys, _SEGMENT], [_T], emit, [longs[_T]]
     )
-    return _first_of_each(timed, chosen, [*keys, _T], order).drop(_T)
+    groups = [F.col(k) for k in names] or [F.lit("")]
+    untimed = _first_per(frame.where(F.col(ts).isNull()), groups, order)
+    picked = _first_of_each(timed, chosen, [*keys, _T], order).drop(_T, *keys)
+    return picked.unionByName(untimed)
 
 
 def _first_of_each(

@@ -35,6 +35,7 @@ from dimweave.plans import fixtures as fx
 from dimweave.plans.store import ParquetStore
 from dimweave.session import configure, fresh_folder
 from dimweave.sources import (
+    as_lines,
     sequential_kv,
     sequential_text,
     skewed_key,
@@ -42,7 +43,7 @@ from dimweave.sources import (
     stream_lines,
     stream_table,
 )
-from dimweave.streaming import AgingDim, enrich_stream, parquet_sink, stream_throughput
+from dimweave.streaming import AgingDim, enrich_stream, latest_windows, parquet_sink, stream_throughput
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -94,7 +95,7 @@ def kv_render(spark, sf_dir):
         F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")),
         F.lit("cust"), F.col("o_custkey").cast("string"),
     )
-    return fx.facts(spark, sf_dir, "orders").select("o_orderkey", render(kinds).alias("line"))
+    return fx.table(spark, sf_dir, "orders").select("o_orderkey", render(kinds).alias("line"))
 
 
 @query
@@ -132,7 +133,7 @@ def key_expr(spark, sf_dir):
 @query
 def json_path_default(spark, sf_dir):
     nested = F.concat(F.lit('{"a":{"b":'), F.col("props"), F.lit("}}"))
-    return fx.facts(spark, sf_dir, "events").select(
+    return fx.table(spark, sf_dir, "events").select(
         "event_id",
         json_path(F.col("props"), "k", "none").alias("leaf"),
         json_path(nested, "a.b.k", "none").alias("deep"),
@@ -143,7 +144,7 @@ def json_path_default(spark, sf_dir):
 
 @query
 def bytes_decode(spark, sf_dir):
-    docs = fx.facts(spark, sf_dir, "documents")
+    docs = fx.table(spark, sf_dir, "documents")
     return docs.select(
         "doc_id",
         decode_bytes(F.encode("text", "UTF-8"), "UTF8").alias("utf8"),
@@ -301,7 +302,7 @@ def live_lookup(spark, sf_dir):
 
 
 def _orders(spark, sf_dir) -> DataFrame:
-    return fx.facts(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
+    return fx.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
 
 
 @query
@@ -408,7 +409,7 @@ def sample_greedy_query(spark, sf_dir):
 
 @query
 def sample_every_n_query(spark, sf_dir):
-    orders = fx.facts(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     return sample_every_n(orders, "o_orderkey", 1000, ["o_orderstatus"], width=4096)
 
 
@@ -447,25 +448,63 @@ def error_counts_query(spark, sf_dir):
 
 
 @query
-def stream_left_lookup(spark, sf_dir):
-    folder = fresh_folder(spark, "stream-lookup")
+def bytes_lookup(spark, sf_dir):
+    """GBK lines of a message queue, those of errors with a byte that is no character."""
+    line = F.encode("line", "GBK")
+    broken = F.when(F.col("event_type") == "error", F.concat(line, F.unhex(F.lit("FF"))))
+    messages = fx.source_kv(spark, sf_dir).select("event_id", F.coalesce(broken, line).alias("value"))
+    lookup = Lookup(**BY_USER, decode=KeyValue(encoding="GBK"))
+    return lookup_join(as_lines(messages), fx.supplier_kv(spark, sf_dir), lookup).select(*ENRICHED)
+
+
+def _stream(spark, sf_dir, name: str, files: int, dim, **settings) -> DataFrame:
+    """Enriched event lines of a folder of `files` text files, one file in each micro-batch."""
+    folder = fresh_folder(spark, name)
     numbered = fx.source_kv(spark, sf_dir).select(
         F.concat(F.lit("event_id="), F.col("event_id"), F.lit("|"), F.col("line")).alias("value")
     )
-    numbered.write.text(f"{folder}/in")
-    dim = AgingDim(lambda: fx.supplier_kv(spark, sf_dir), ttl=300)
+    numbered.repartition(files, "value").write.text(f"{folder}/in")
     running = enrich_stream(
-        stream_lines(spark, f"{folder}/in"),
+        stream_lines(spark, f"{folder}/in", files_per_batch=1),
         dim,
         parquet_sink(f"{folder}/out"),
         f"{folder}/checkpoint",
         Lookup(**BY_USER),
         trigger=None,
+        **settings,
     ).start()
     running.awaitTermination()
     return spark.read.parquet(f"{folder}/out").select("enriched")
 
 
+@query
+def stream_left_lookup(spark, sf_dir):
+    dim = AgingDim(lambda: fx.supplier_kv(spark, sf_dir), ttl=300)
+    return _stream(spark, sf_dir, "stream-lookup", 1, dim)
+
+
+@query
+def stream_ttl_lookup(spark, sf_dir):
+    dim = AgingDim(lambda: fx.supplier_kv(spark, sf_dir), refresh="hour")
+    return _stream(spark, sf_dir, "stream-ttl", 4, dim)
+
+
+@query
+def stream_dedup_lookup(spark, sf_dir):
+    dim = AgingDim(lambda: fx.supplier_kv(spark, sf_dir))
+    return _stream(spark, sf_dir, "stream-dedup", 3, dim, dedup=True)
+
+
+@query
+def stream_external_lookup(spark, sf_dir):
+    def open_store() -> ParquetStore:
+        return ParquetStore(f"{sf_dir}/supplier.parquet", "s_suppkey", "tp_", ["s_name", "s_nationkey"])
+
+    return _stream(
+        spark, sf_dir, "stream-external", 3, None, open_store=open_store, batch_size=500
+    )
+
+
 @query
 def stream_throughput_query(spark, sf_dir):
     folder = fresh_folder(spark, "stream-throughput")
@@ -474,13 +513,24 @@ def stream_throughput_query(spark, sf_dir):
         message="event_type",
         order=("ts", "event_id"),
         width="10 minutes",
+        late="1 day",
     )
     running = (
-        counted.writeStream.format("parquet")
+        counted.writeStream.outputMode("update")
+        .foreachBatch(parquet_sink(f"{folder}/out"))
         .option("checkpointLocation", f"{folder}/checkpoint")
         .trigger(availableNow=True)
-        .start(f"{folder}/out")
+        .start()
     )
     running.awaitTermination()
-    windows = spark.read.parquet(f"{folder}/out")
+    windows = latest_windows(spark.read.parquet(f"{folder}/out"))
     return windows.select(_epoch("window_start"), "records", "message")
+
+
+@query
+def sample_greedy_by_number(spark, sf_dir):
+    """Keys beyond 2 ** 53, which no double holds, next to NULLs."""
+    key = F.when(F.col("event_type") != "error", F.lit(1 << 60) + F.length("event_type"))
+    lines = fx.source_kv(spark, sf_dir).withColumn("number", key)
+    picked = sample_greedy(lines, ["number"], "ts", 3_600_000, ["ts", "event_id"])
+    return picked.select("event_id", "number")

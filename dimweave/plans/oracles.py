@@ -106,17 +106,38 @@ def _skewed_lookup(bound: int, join: str) -> str:
     FROM k {join} part ON p_partkey = key"""
 
 
-def _windows(seconds: int, message: str, closed_only: bool = False) -> str:
+def _windows(seconds: int, message: str) -> str:
     start = f"epoch_us(ts) // 1000000 // {seconds} * {seconds}"
-    having = (
-        f"HAVING window_start + {seconds} <= (SELECT max(epoch_us(ts)) / 1e6 FROM events)"
-        if closed_only
-        else ""
-    )
     return f"""
     SELECT {start} AS window_start, count(*) AS records,
            arg_min({message}, (ts, event_id)) AS message
-    FROM events GROUP BY window_start {having}"""
+    FROM events GROUP BY window_start"""
+
+
+def _greedy(key: str, columns: str) -> str:
+    """The greedy chain of each value of `key`, a NULL one included."""
+    return f"""
+        WITH RECURSIVE keyed AS (
+            SELECT *, {key} AS key FROM events
+        ),
+        ticks AS (
+            SELECT key, coalesce(key::VARCHAR, 'no key') AS name, epoch_ms(ts) AS tick,
+                   arg_min(event_id, (ts, event_id)) AS event_id
+            FROM keyed GROUP BY key, tick
+        ),
+        following AS (
+            SELECT a.name, a.tick, a.event_id, b.tick AS next_tick
+            FROM ticks AS a ASOF LEFT JOIN ticks AS b
+                ON a.name = b.name AND a.tick + {_HOUR_MS} <= b.tick
+        ),
+        chain AS (
+            SELECT * FROM following
+            QUALIFY row_number() OVER (PARTITION BY name ORDER BY tick) = 1
+            UNION ALL
+            SELECT f.* FROM chain AS c JOIN following AS f
+                ON f.name = c.name AND f.tick = c.next_tick
+        )
+        SELECT {columns} FROM chain JOIN keyed USING (event_id)"""
 
 
 _CHECKED = """
@@ -275,25 +296,11 @@ ORACLES: dict[str, str] = {
         SELECT event_id, event_type, {_KV} AS line FROM events
         QUALIFY row_number() OVER (
             PARTITION BY event_type, epoch_ms(ts) // {_HOUR_MS} ORDER BY ts, event_id) = 1""",
-    "sample_greedy": f"""
-        WITH RECURSIVE ticks AS (
-            SELECT event_type, epoch_ms(ts) AS tick, arg_min(event_id, (ts, event_id)) AS event_id
-            FROM events GROUP BY event_type, tick
-        ),
-        following AS (
-            SELECT a.event_type, a.tick, a.event_id, b.tick AS next_tick
-            FROM ticks AS a ASOF LEFT JOIN ticks AS b
-                ON a.event_type = b.event_type AND a.tick + {_HOUR_MS} <= b.tick
-        ),
-        chain AS (
-            SELECT * FROM following
-            QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY tick) = 1
-            UNION ALL
-            SELECT f.* FROM chain AS c JOIN following AS f
-                ON f.event_type = c.event_type AND f.tick = c.next_tick
-        )
-        SELECT event_id, event_type, {_KV} AS line
-        FROM chain JOIN events USING (event_id, event_type)""",
+    "sample_greedy": _greedy("event_type", f"event_id, event_type, {_KV} AS line"),
+    "sample_greedy_by_number": _greedy(
+        "CASE WHEN event_type <> 'error' THEN (1::BIGINT << 60) + length(event_type) END",
+        "event_id, key AS number",
+    ),
     "sample_every_n": """
         SELECT o_orderkey, o_orderstatus FROM orders
         QUALIFY row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) % 1000 = 0""",
@@ -306,9 +313,16 @@ ORACLES: dict[str, str] = {
         SELECT epoch_us(ts) // 1000000 // 10 * 10 AS window_start, count(*) AS records,
                count(violation) AS errors
         FROM judged GROUP BY window_start""",
-    "stream_left_lookup": f"""
+    "bytes_lookup": f"""
+        SELECT event_id, {_KV} || CASE WHEN event_type = 'error' THEN chr(65533) ELSE '' END
+                   || coalesce('|' || {_SUPPLIER}, '') AS enriched
+        FROM events LEFT JOIN supplier ON s_suppkey = user_id""",
+    **dict.fromkeys(
+        ["stream_left_lookup", "stream_ttl_lookup", "stream_dedup_lookup", "stream_external_lookup"],
+        f"""
         SELECT 'event_id=' || event_id || '|' || {_KV} || coalesce('|' || {_SUPPLIER}, '')
                    AS enriched
         FROM events LEFT JOIN supplier ON s_suppkey = user_id""",
-    "stream_throughput": _windows(600, "event_type", closed_only=True),
+    ),
+    "stream_throughput": _windows(600, "event_type"),
 }

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PIECES_PER_SPLIT = 16
-
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Batch of text lines in a column `line`."""
@@ -21,23 +19,13 @@ def stream_lines(spark: SparkSession, path: str, files_per_batch: int | None = N
     return reader.text(path).withColumnRenamed("value", "line")
 
 
-def spread(frame: DataFrame, *by: str) -> DataFrame:
-    """Spread a source, as it was read, that comes in fewer pieces than there are cores.
-
-    One large row group or one compressed text file is read by a single task, and everything
-    up to the next exchange would run in it.  An input with enough pieces is left as it is, and
-    a small one is not cut into more than a few pieces per split, however many cores there are.
-    """
-    splits = frame.rdd.getNumPartitions()
-    pieces = min(frame.sparkSession.sparkContext.defaultParallelism, PIECES_PER_SPLIT * splits)
-    return frame if splits >= pieces else frame.repartition(pieces, *by)
-
-
 def as_lines(frame: DataFrame, column: str = "value") -> DataFrame:
-    """The string or binary `value` of a socket, message-queue or other source as `line`."""
-    return frame.withColumn("line", F.col(column).cast("string")).drop(
-        *([column] if column != "line" else [])
-    )
+    """The string or binary `value` of a socket, message-queue or other source as `line`.
+
+    Bytes stay bytes: a lookup decodes them by the charset of its format."""
+    kind = frame.schema[column].dataType.typeName()
+    value = F.col(column) if kind == "binary" else F.col(column).cast("string")
+    return frame.withColumn("line", value).drop(*([column] if column != "line" else []))
 
 
 def stream_table(

@@ -1,5 +1,7 @@
 from dimweave.streaming.enrich import AgingDim, enrich_stream, parquet_sink, text_sink
 from dimweave.streaming.metrics import (
+    dropped_rows,
+    latest_windows,
     stream_error_counts,
     stream_sample_greedy,
     stream_throughput,
@@ -7,7 +9,9 @@ from dimweave.streaming.metrics import (
 
 __all__ = [
     "AgingDim",
+    "dropped_rows",
     "enrich_stream",
+    "latest_windows",
     "parquet_sink",
     "stream_error_counts",
     "stream_sample_greedy",

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
+from dimweave.operators.external import BATCH_SIZE, external_lookup_join
 from dimweave.operators.freshness import resolve_ttl
 from dimweave.operators.lookup import Lookup, lookup_join
 from dimweave.session import configure, fresh_folder
@@ -77,13 +78,17 @@ def text_sink(path: str, column: str = "enriched") -> Sink:
 
 def enrich_stream(
     lines: DataFrame,
-    dim: AgingDim | LoadDim,
+    dim: AgingDim | LoadDim | None,
     sink: Sink,
     checkpoint: str,
     lookup: Lookup | None = None,
     *,
     trigger: str | None = "1 second",
     name: str | None = None,
+    dedup: bool = False,
+    open_store: Callable[[], object] | None = None,
+    batch_size: int = BATCH_SIZE,
+    on_error: str = "fail",
     **options,
 ) -> DataStreamWriter:
     """Stream writer that enriches each micro-batch; call `.start()` on it.
@@ -92,14 +97,24 @@ def enrich_stream(
     (None drains what is there and stops), its size the limit of the source
     (`maxFilesPerTrigger`, `maxOffsetsPerTrigger`).  With the checkpoint and a sink that
     replaces a repeated `batch_id`, every line is delivered once.
+
+    The dimension is either `dim`, of which `dedup` joins only the keys of the micro-batch, or
+    (with `dim` None) a live store: `open_store` runs in the tasks, and each micro-batch asks it
+    once for each of its distinct keys, in requests of `batch_size`.
     """
+    if (dim is None) == (open_store is None):
+        raise ValueError("give either a dimension or a store")
     configure(lines.sparkSession)
     lookup = lookup or Lookup(**options)
-    aging = dim if isinstance(dim, AgingDim) else AgingDim(dim)
+    aging = dim if isinstance(dim, AgingDim) or dim is None else AgingDim(dim)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         configure(batch.sparkSession)
-        sink(lookup_join(batch, aging.current(), lookup), batch_id)
+        if open_store is not None:
+            asking = {"batch_size": batch_size, "on_error": on_error, "distinct_keys": True}
+            sink(external_lookup_join(batch, open_store, lookup, **asking), batch_id)
+        else:
+            sink(lookup_join(batch, aging.current(), lookup, dedup=dedup), batch_id)
 
     writer = lines.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     if name:

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from dimweave.operators.quality import error_counts, throughput
@@ -22,21 +23,44 @@ def stream_throughput(
     message: str = "line",
     order: Sequence[str] = ("ts",),
     width: str = "10 seconds",
-    late: str = "0 seconds",
+    *,
+    late: str,
 ) -> DataFrame:
-    """`throughput` of a stream; a window is emitted when the watermark has passed it."""
+    """`throughput` of a stream.
+
+    `late` says how far a record may lag behind the newest one of earlier micro-batches; what lags
+    more is dropped and counted (`dropped_rows`), so it has no default.  In append mode a window is
+    emitted when the watermark has passed it, and the last ones stay open; in update mode every
+    micro-batch gives the windows it touched, of which `latest_windows` takes the last.
+    """
     timed = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
     return throughput(timed, ts, message, order, width)
 
 
 def stream_error_counts(
-    checked: DataFrame, ts: str = "ts", width: str = "10 seconds", late: str = "0 seconds"
+    checked: DataFrame, ts: str = "ts", width: str = "10 seconds", *, late: str
 ) -> DataFrame:
-    """`error_counts` of a stream from `check_lines`."""
+    """`error_counts` of a stream from `check_lines`; `late` as for `stream_throughput`."""
     timed = checked.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
     return error_counts(timed, ts, width)
 
 
+def latest_windows(written: DataFrame, window: str = "window_start") -> DataFrame:
+    """Each window as the last micro-batch gave it, from the folders of `parquet_sink`."""
+    others = [c for c in written.columns if c not in (window, "batch")]
+    last = F.max_by(F.struct(*others), "batch").alias("__last")
+    return written.groupBy(window).agg(last).select(window, "__last.*")
+
+
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows the watermark has dropped, over the progress reports that the query still holds."""
+    return sum(
+        state.get("numRowsDroppedByWatermark", 0)
+        for progress in query.recentProgress
+        for state in progress["stateOperators"]
+    )
+
+
 def stream_sample_greedy(
     stream: DataFrame, keys: Sequence[str], ts: str, interval_ms: int
 ) -> DataFrame:

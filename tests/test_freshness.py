@@ -102,3 +102,20 @@ def test_resolve_ttl():
     for bad in ({"ttl": -1}, {"refresh": "weekly"}):
         with pytest.raises(ValueError):
             resolve_ttl(**bad)
+
+
+def test_one_key_with_many_versions_in_one_cell(spark):
+    """Lines and versions of a cell are put in order, not paired."""
+    start = "timestamp_seconds(1700000000)"
+    lines = spark.range(40_000).selectExpr(
+        "concat('u=1|i=', id) AS line", f"{start} + make_dt_interval(0, 0, 0, id / 1000) AS ts"
+    )
+    versions = spark.range(20_000).selectExpr(
+        "'tp_1' AS dim_key",
+        f"{start} + make_dt_interval(0, 0, 0, id / 500) AS effective_ts",
+        "concat('v=', id) AS dim_value",
+    )
+    found = fresh_lookup_join(lines, versions, left_field="u", key_expr="tp_%s")
+    rows = [dict(p.split("=") for p in r.enriched.split("|")) for r in found.collect()]
+    assert len(rows) == 40_000
+    assert all(int(r["v"]) == int(r["i"]) // 2 for r in rows)

@@ -21,7 +21,6 @@ from dimweave.sources import (
     sequential_text,
     skewed_key,
     skewed_text,
-    spread,
     string_dim,
 )
 
@@ -101,7 +100,8 @@ def test_binary_lines(spark, dim):
     lines = spark.createDataFrame([(bytearray(b"u=1"),), (bytearray(b"\xff"),)], "line binary")
     assert texts(lookup_join(lines, dim, **KEYED)) == ["u=1|n=one"]
     unknown = KeyValue(encoding="no-such-charset")
-    assert texts(lookup_join(lines, dim, decode=unknown, **KEYED)) == []
+    with pytest.raises(ValueError, match="unknown charset"):
+        lookup_join(lines, dim, decode=unknown, **KEYED)
 
 
 def test_raw(spark):
@@ -209,7 +209,12 @@ def test_line_sources(spark, tmp_path):
     frame = read_lines(spark, str(tmp_path))
     assert texts(frame, "line") == ["x=1", "y=2"]
     messages = spark.createDataFrame([(bytearray(b"k=v"), 1)], "value binary, offset int")
-    assert as_lines(messages).select("line", "offset").first() == ("k=v", 1)
-    assert spread(numbers(spark, 100, 1)).rdd.getNumPartitions() == 8
-    many = numbers(spark, 100, 64)
-    assert spread(many) is many
+    assert as_lines(messages).select("line", "offset").first() == (b"k=v", 1)
+
+
+def test_bytes_are_decoded_by_the_charset_of_the_format(spark):
+    data = [bytearray("u=1|名=中文".encode("gbk")), bytearray(b"u=2|x=\xff\xff")]
+    lines = as_lines(spark.createDataFrame([(d,) for d in data], "value binary"))
+    dim = string_dim(spark.createDataFrame([("tp_1", "a=b")], "k string, v string"), "k", "v")
+    found = lookup_join(lines, dim, decode=KeyValue(encoding="GBK"), **KEYED)
+    assert texts(found, "enriched") == ["u=1|名=中文|a=b", "u=2|x=��"]

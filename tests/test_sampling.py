@@ -135,3 +135,16 @@ def test_hashed(spark):
     got = sample_hashed(spark.range(100_000), "id", 100)
     assert 850 < got.count() < 1150
     assert sorted(got.collect()) == sorted(sample_hashed(spark.range(100_000), "id", 100).collect())
+
+
+def test_greedy_large_numbers_null_keys_and_null_times(spark):
+    big = 1 << 60
+    rows = [
+        (i, key, EPOCH + timedelta(seconds=t))
+        for i, (key, t) in enumerate((k, t) for k in (big + 1, big + 2, None) for t in (0, 1, 5))
+    ]
+    rows += [(20, big + 1, None), (21, big + 1, None), (22, None, None)]
+    frame = spark.createDataFrame(rows, "i int, k bigint, ts timestamp").coalesce(1)
+    got = sample_greedy(frame, ["k"], "ts", 3000, ["ts", "i"]).collect()
+    assert sorted(r.i for r in got) == [0, 2, 3, 5, 6, 8, 20, 22]
+    assert {r.k for r in got} == {big + 1, big + 2, None}

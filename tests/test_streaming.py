@@ -162,7 +162,7 @@ def test_throughput_of_closed_windows(spark, folders):
     rows = [(t * 700, "a") for t in range(100)]
     frame = events(spark, folders, rows)
     stream = stream_table(spark, folders["in"])
-    drain(stream_throughput(stream, order=("ts", "i")), folders["out"], folders["checkpoint"])
+    drain(stream_throughput(stream, order=("ts", "i"), late="0 seconds"), folders["out"], folders["checkpoint"])
     closed = START + timedelta(milliseconds=99 * 700 - 10_000)
     want = throughput(frame, order=("ts", "i")).where(F.col("window_start") <= F.lit(closed))
     assert want.count() == 6
@@ -177,7 +177,7 @@ def test_error_counts_of_closed_windows(spark, folders):
         return check_lines(f, "mykey", 1000, 30, F.lit(START))
 
     stream = check(stream_table(spark, folders["in"]))
-    drain(stream_error_counts(stream), folders["out"], folders["checkpoint"])
+    drain(stream_error_counts(stream, late="0 seconds"), folders["out"], folders["checkpoint"])
     got = sorted(map(tuple, spark.read.parquet(folders["out"]).collect()))
     assert got == sorted(map(tuple, error_counts(check(frame)).collect()))[: len(got)]
     assert len(got) == 6

@@ -208,7 +208,9 @@ def test_bytes(column):
     data = ["é|x".encode(), b"a\xffb", None]
     assert column(data, decode_bytes, "binary") == ["é|x", "a�b", None]
     assert column(["中文".encode("gbk")], lambda x: decode_bytes(x, "GBK"), "binary") == ["中文"]
-    assert column([b"abc"], lambda x: decode_bytes(x, "no-such-charset"), "binary") == [None]
+    for name in ("no-such-charset", "rot13", "not a name"):
+        with pytest.raises(ValueError, match="unknown charset"):
+            column([b"abc"], lambda x, name=name: decode_bytes(x, name), "binary")
 
 
 def test_render(column):
