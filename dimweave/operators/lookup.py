@@ -140,6 +140,8 @@ class Lookup:
 
     def keyed(self, lines: DataFrame) -> DataFrame:
         """Decodable lines with their fields and lookup key."""
+        if clash := {self.output, _KEY, self.stored} & {*lines.columns}:
+            raise ValueError(f"lines have columns that the lookup makes: {sorted(clash)}")
         lines = text_of(lines, self.decode, self.line)
         fmt = line_format(self.decode)
         decoded = decodable(lines, self.decode, self.line).withColumn(

@@ -136,6 +136,16 @@ def sample_greedy(
     return picked.unionByName(untimed)
 
 
+def _semi_join(frame: DataFrame, wanted: DataFrame, on: list[str]) -> DataFrame:
+    """The rows of `frame` whose values in `on` are among those of `wanted`; NULL equals NULL."""
+    wanted = wanted.select(*[F.col(c).alias(f"__w{i}") for i, c in enumerate(on)])
+    same = None
+    for i, c in enumerate(on):
+        equal = F.col(c).eqNullSafe(F.col(f"__w{i}"))
+        same = equal if same is None else same & equal
+    return frame.join(wanted, same, "left_semi")
+
+
 def _first_of_each(
     frame: DataFrame, wanted: DataFrame, on: list[str], order: Sequence[str]
 ) -> DataFrame:
@@ -143,12 +153,7 @@ def _first_of_each(
 
     The comparison is null-safe: a NULL key is a key of its own.
     """
-    wanted = wanted.select(*[F.col(c).alias(f"__w{i}") for i, c in enumerate(on)])
-    same = None
-    for i, c in enumerate(on):
-        equal = F.col(c).eqNullSafe(F.col(f"__w{i}"))
-        same = equal if same is None else same & equal
-    hits = frame.join(wanted, same, "left_semi")
+    hits = _semi_join(frame, wanted, on)
     return _first_per(hits, [F.col(c).alias(f"__w{i}") for i, c in enumerate(on)], order)
 
 
@@ -174,11 +179,14 @@ def sample_every_n(
 
     Rows are numbered within cells of `width` consecutive `order` values, and cells get their
     offset from the counts before them, so a bucket is never numbered by one task.  `order`
-    must be unique within a bucket and not NULL.
+    must be unique within a bucket and not NULL.  Only these columns are shuffled and numbered; the
+    records themselves are picked by a semi-join with what was chosen.
     """
     configure(frame.sparkSession)
     buckets = list(buckets)
-    rows = frame.withColumn("__cell", floor_to(F.col(order).cast("bigint"), width))
+    rows = frame.select(*dict.fromkeys([*buckets, order])).withColumn(
+        "__cell", floor_to(F.col(order).cast("bigint"), width)
+    )
     earlier = Window.partitionBy(*buckets).orderBy("__cell").rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -194,9 +202,8 @@ def sample_every_n(
     numbered = rows.unionByName(offsets, allowMissingColumns=True).withColumns(
         {"__number": F.first("__before").over(cell) + F.row_number().over(cell) - 1}
     )
-    return numbered.where(F.col("__before").isNull() & (F.col("__number") % every == 0)).select(
-        *frame.columns
-    )
+    chosen = numbered.where(F.col("__before").isNull() & (F.col("__number") % every == 0))
+    return _semi_join(frame, chosen, [*buckets, order])
 
 
 def sample_every_n_per_task(frame: DataFrame, every: int = 1000) -> DataFrame:

@@ -218,3 +218,10 @@ def test_bytes_are_decoded_by_the_charset_of_the_format(spark):
     dim = string_dim(spark.createDataFrame([("tp_1", "a=b")], "k string, v string"), "k", "v")
     found = lookup_join(lines, dim, decode=KeyValue(encoding="GBK"), **KEYED)
     assert texts(found, "enriched") == ["u=1|名=中文|a=b", "u=2|x=��"]
+
+
+@pytest.mark.parametrize("name", ["enriched", "dim_key", "dim_value"])
+def test_columns_are_not_overwritten(spark, dim, name):
+    lines = spark.createDataFrame([("u=1", "x")], f"line string, {name} string")
+    with pytest.raises(ValueError, match=name):
+        lookup_join(lines, dim, **KEYED)
