@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from dimweave.llm.toxicity import fit, held_out, log_odds, remove_toxic, segments, toxicity
 
@@ -59,7 +60,7 @@ def test_labels_held_out_are_not_learnt(docs, table, spark):
     flipped = [(i, q, 1 - t if zlib.crc32(str(i).encode()) % 5 == 0 else t) for i, q, t in labels]
     one, other = (fit(docs(rows), table(x, LABELS)) for x in (labels, flipped))
     assert one.curve == other.curve and np.array_equal(one.odds, other.odds)
-    marks = docs(rows).select("doc_id", held_out(docs(rows)["doc_id"]).alias("h")).collect()
+    marks = docs(rows).select("doc_id", held_out(F.col("doc_id")).alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in marks)
 
 
@@ -96,5 +97,5 @@ def test_segments():
 
 
 def test_unseen_words_say_nothing():
-    odds, certain = log_odds(np.array([9.0, 0, 30]), np.array([0.0, 0, 300]))
-    assert odds[0] > 1 and abs(odds[1]) < 1e-6
+    odds, certain = log_odds(np.array([90.0, 0, 300]), np.array([0.0, 0, 3000]))
+    assert odds[0] > 1 and certain[0] > 4 and abs(odds[1]) < 1e-6
