@@ -55,6 +55,7 @@ def skewed_key(number: Column, bound: int) -> Column:
     if bound < 100:
         raise ValueError("bound must be at least 100")
     share = draw(number, "class", 100)
+    # The shares of draws and the bands of keys they fall into.
     return (
         F.when(share < 25, draw(number, "key", bound // 100))
         .when(share < 40, draw(number, "key", bound * 5 // 100))

@@ -145,32 +145,23 @@ def test_delimited_columns(spark):
 
 
 def test_thirty_fields(column):
+    """An invented line: empty runs, JSON, a link and pairs within fields."""
     values = {
-        "ftime": "2021-04-28 12:02:19.955",
-        "extinfo": "a=9.22.7.99&extinfo=9.22.7.99",
-        "uin": "31626064159aa",
-        "order_id": "39666748612",
-        "order_action": "collect",
-        "order_comment": "",
-    }
-    parts = ("yyyy", "yyyyMM", "yyyyMMdd", "yyyyMMddHH", "yyyyMMddHHmm", "yyyyMMddHHmmss")
-    for kind in ("order", "pay"):
-        values |= {f"{kind}_time_{p}": "" for p in parts}
-    values |= {
-        "pay_time_timestamp": "",
-        "pay_time_timestampms": "",
-        "product_name": "testa",
-        "product_id": "001",
-        "product_sort": "A",
-        "product_collect": "0",
-        "product_price": "123.123",
-        "product_url": "http://test.example.com/config?type=testa",
-        "product_url_encode": "http://test.example.com/config?type=testa&product_id=001",
-        "product_json": '{"param":{"platform":"Android","sub_tab_info":[{"product_id":"001",'
-        '"product_name":"testa","product_price":123.123}]}}',
-        "product_kv": "product_id_kv=001#product_name_kv=testa#product_price_kv=123.123",
-        "product_array": "001#testa#A",
+        "station": "harbour 7",
+        "measured": "2023-11-05 06:30:00",
+        "sensor": "wind=north&gust=yes",
+        "serial": "7f-000-21",
+        "operator": "",
+        "remark": "",
+        "speed": "12.75",
+        "direction": "NNW",
+        "link": "https://weather.example.com/show?station=7&unit=ms",
+        "report": '{"levels":[{"height":10,"speed":12.75},{"height":50,"speed":15}]}',
+        "pairs": "low=3#high=19",
+        "tags": "coast#storm#night",
     }
+    values |= {f"hour_{h:02d}": "" for h in range(12)}
+    values |= {f"check_{c}": str(n) for n, c in enumerate("abcdef")}
     assert len(values) == 30
     descriptor = {
         "encoding": "UTF-8",
