@@ -11,9 +11,10 @@ what meets in a bucket is verified on all 64 bits.
 Equal fingerprints are one node from the start, so copies are never paired.  A bucket gives the
 edges of a spanning forest of its links, not all pairs.  A bucket of over `BUCKET` fingerprints is
 split by the plain pigeonhole principle on its remaining bits, up to `SPLITS` times, which keeps the
-result exact.  What is over `BUCKET` still is dense: its fingerprints agree in about half of their
-bits, nearly all are reached from the first few, and a task takes 8 bytes for each.  All statistics (bit correlations,
-value counts) cover all distinct fingerprints; what the driver gets has a fixed size.
+result exact.  What is over `BUCKET` still is dense as a rule: its fingerprints agree in half of their
+bits, nearly all are reached from the first few, and a task takes 8 bytes for each.
+All statistics (bit correlations, value counts) cover all distinct fingerprints; what the driver
+gets has a fixed size.
 
 Null and empty texts have fingerprint zero and are linked like any other.  Repeated rows share a
 component.  Null ids take no part in the choice of the smallest id; a component of null ids alone
