@@ -5,7 +5,7 @@ footer, sidebar, notice, advert, form, script, style or reader comment leaves a
 Text lengths (links count nothing) are summed over sliding windows of `WINDOW` lines.  A window
 that surges over `SURGE` characters opens a passage; the window in which the sum dives to nothing
 closes it.  The text between is kept whole, short lines included.  Inside an article or main
-element any text is a surge, and lines outside count nothing.  A page in which nothing surges keeps
+element any text is a surge, linked or not, and lines outside count nothing.  A page in which nothing surges keeps
 the passage with the most text.
 
 Character references are decoded; white space inside a block is one space.  Null, empty and
@@ -116,7 +116,9 @@ class Lines:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                self.rows.append((text, max(len(text) - self.linked, 0), self.content > 0))
+                inside = self.content > 0
+                weight = max(len(text) - self.linked, int(inside))
+                self.rows.append((text, weight, inside))
             self.parts, self.linked = [], 0
 
     def gap(self) -> None:

@@ -45,6 +45,24 @@ def test_edges(page, want):
     assert main_text(page) == want
 
 
+@pytest.mark.parametrize(
+    ("inside", "want"),
+    [
+        ("<h1><a href=x>Title</a></h1><p>text</p>", ["Title", "text"]),
+        ("<p>text</p><p><a href=x>All of it a link</a></p>", ["text", "All of it a link"]),
+        (
+            "<p>text</p><ul>" + "".join(f"<li><a href=x>n{i}</a>" for i in range(5)) + "</ul><p>end",
+            ["text", "n0", "n1", "n2", "n3", "n4", "end"],
+        ),
+        ("<p><a href=x>One</a></p><p><a href=y>Two</a></p>", ["One", "Two"]),
+    ],
+)
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_links_inside_an_article_stay(tag, inside, want):
+    page = f"<ul><li><a href=m>Menu</a></ul><{tag}>{inside}</{tag}><p>{LONG}</p>"
+    assert main_text(page).split("\n") == want
+
+
 def test_frame(table):
     rows = [(1, "u", "<p>a"), (1, "u", "<p>a"), (None, None, None), (2, "v", "<p>" + "é " * 400_000)]
     schema = "page_id long, url string, html string, text string"
