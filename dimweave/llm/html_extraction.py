@@ -5,8 +5,15 @@ footer, sidebar, notice, advert, form, script, style or reader comment leaves a
 Text lengths (links count nothing) are summed over sliding windows of `WINDOW` lines.  A window
 that surges over `SURGE` characters opens a passage; the window in which the sum dives to nothing
 closes it.  The text between is kept whole, short lines included.  Inside an article or main
-element any text is a surge, linked or not, and lines outside count nothing.  A page in which nothing surges keeps
-the passage with the most text.
+element any text is a surge, linked or not, and lines outside count nothing.  A passage too short
+to surge stays if it lies in the element around a surging block, so a removed advert cuts nothing
+off.  A page in which nothing surges keeps the passage with the most text.
+
+Names of classes say less than tags: `has-sidebar` is the name of a whole page as well.  So the
+lines of forms and of elements with marked names are held back, not dropped.  Where those of one
+kind of marking hold over half of the unlinked text of the page (of the article, if there is one),
+they are the body and come back, without the marked elements within them unless the same holds
+there.  That only adds: what the page gives without them stays.
 
 Character references are decoded; white space inside a block is one space.  Null, empty and
 text-free pages give an empty string.  Repeated rows are taken one by one.  Markup that is cut
@@ -17,7 +24,9 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -46,11 +55,11 @@ INLINE = set(
     .split()
 )
 ASIDE_TAGS = set(
-    "nav header footer aside form menu dialog select button noscript template svg object canvas "
+    "nav header footer aside menu dialog select button noscript template svg object canvas "
     "datalist audio video applet".split()
 )
 ASIDE_ROLES = set(
-    "navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar "
+    "navigation banner contentinfo complementary search dialog alert alertdialog menu menubar "
     "toolbar".split()
 )
 COMMENTS = {"comment", "comments", "commentlist", "disqus", "respond", "replies"}
@@ -64,6 +73,9 @@ ASIDE_WORDS = COMMENTS | set(
 BODY_WORDS = {"article", "entry", "post", "story", "content", "main", "body"}
 SOFT_WORDS = {"header", "footer", "banner", "alert", "search", "widget"}
 CONTENT_TAGS = {"article", "main"}
+# elements that end an open paragraph or an open element of their own name
+IMPLIED = set("p li dt dd tr td th option div ul ol dl table section h1 h2 h3 h4 h5 h6 pre".split())
+NESTED = {"div", "ul", "ol", "dl", "table", "section"}
 
 
 def attributes(source: str) -> dict[str, str]:
@@ -73,11 +85,12 @@ def attributes(source: str) -> dict[str, str]:
 
 
 def apart(name: str, attrs: dict[str, str]) -> str | None:
-    """Why an element is no part of the article: `comments`, `aside`, or None if it may be one."""
+    """Why an element is no part of the article: `comments`, `aside`, None if it may be one, or
+    what marks it, by which it is held back."""
     if name in ASIDE_TAGS:
         return "aside"
     if not attrs:
-        return None
+        return "marked" if name == "form" else None
     words = {
         w.lower() for a in ("class", "id") if a in attrs for w in PART.findall(attrs[a])
     }
@@ -90,20 +103,50 @@ def apart(name: str, attrs: dict[str, str]) -> str | None:
         found -= SOFT_WORDS
     hidden = "hidden" in attrs or attrs.get("aria-hidden") == "true"
     style = attrs.get("style", "").replace(" ", "").lower()
-    if found or hidden or "display:none" in style or attrs.get("role", "").lower() in ASIDE_ROLES:
+    role = attrs.get("role", "").lower()
+    if hidden or "display:none" in style or role in ASIDE_ROLES:
         return "aside"
+    if found or name == "form" or role == "form":
+        return " ".join(["marked", *sorted(found)])
     return None
 
 
+NO_ASIDE, ASIDE, COMMENT = -1, -2, -3  # else the number of a marked element
+
+
+class Line(NamedTuple):
+    text: str
+    weight: int  # characters outside links
+    inside: bool  # of an article or main element
+    block: int  # number of the innermost element
+    held: int  # number of the innermost marked element, or NO_ASIDE
+
+
+class Element(NamedTuple):
+    name: str
+    block: int
+    held: int  # as it was around the element
+    content: bool
+
+
+BLANK = Line("", 0, False, 0, NO_ASIDE)
+
+
 class Lines:
-    """The lines of a page: text, characters outside links, inside an article or not."""
+    """The lines of a page, with the elements they are in and those by which they are held back."""
 
     def __init__(self) -> None:
-        self.rows: list[tuple[str, int, bool]] = []
+        self.rows: list[Line] = []
         self.parts: list[str] = []
         self.linked = 0
         self.links = 0
         self.content = 0
+        self.found = False  # text inside an article
+        self.held = NO_ASIDE
+        self.marks: list[tuple[str, int]] = []  # of each marked element: how, and the one around
+        self.parents = [0]
+        self.elements: list[Element] = []
+        self.opened: Counter[str] = Counter()
 
     def text(self, piece: str) -> None:
         if "&" in piece:
@@ -112,68 +155,118 @@ class Lines:
         if self.links:
             self.linked += len(piece.strip())
 
+    def block(self) -> int:
+        return self.elements[-1].block if self.elements else 0
+
     def flush(self) -> None:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
                 inside = self.content > 0
                 weight = max(len(text) - self.linked, int(inside))
-                self.rows.append((text, weight, inside))
+                self.rows.append(Line(text, weight, inside, self.block(), self.held))
+                self.found |= inside and self.held == NO_ASIDE
             self.parts, self.linked = [], 0
 
     def gap(self) -> None:
         self.flush()
-        if self.rows and self.rows[-1][0]:
-            self.rows += [("", 0, False)] * WINDOW
+        if self.rows and self.rows[-1].text:
+            self.rows += [BLANK] * WINDOW
+
+    def begin(self, name: str, why: str | None) -> None:
+        ends = ("p",) if name in NESTED else ("p", name)
+        while name in IMPLIED and self.elements and self.elements[-1].name in ends:
+            self._pop()
+        content = name in CONTENT_TAGS and self.held > ASIDE
+        block = self.block()
+        if name not in INLINE:
+            self.parents.append(block)
+            block = len(self.parents) - 1
+        self.elements.append(Element(name, block, self.held, content))
+        self.opened[name] += 1
+        self.content += content
+        if not why or self.held <= ASIDE:
+            return
+        if why in ("aside", "comments"):
+            self.held = ASIDE if why == "aside" else COMMENT
+        else:
+            self.marks.append((why, self.held))
+            self.held = len(self.marks) - 1
 
+    def _pop(self) -> None:
+        last = self.elements.pop()
+        self.opened[last.name] -= 1
+        if last.held != self.held:
+            self.gap()
+            self.held = last.held
+        self.content -= last.content
 
-def lines_of(page: str) -> list[tuple[str, int, bool]]:
+    def end(self, name: str) -> None:
+        """Close an element and what was left open in it; only its own end tag, or that of the
+        page, closes an article."""
+        outer = name in CONTENT_TAGS or name in ("body", "html")
+        if not self.opened[name]:
+            return
+        for at in range(len(self.elements) - 1, -1, -1):
+            if self.elements[at].name == name:
+                break
+            if self.elements[at].content and not outer:
+                return
+        while len(self.elements) > at:
+            self._pop()
+
+    def release(self) -> None:
+        """Nothing open holds back any more."""
+        self.gap()
+        self.held = NO_ASIDE
+        for k in range(len(self.elements) - 1, -1, -1):
+            if self.elements[k].held == NO_ASIDE:
+                break
+            self.elements[k] = self.elements[k]._replace(held=NO_ASIDE)
+
+
+def lines_of(page: str) -> Lines:
     lines, at = Lines(), 0
-    skipped, depth, why = "", 0, ""
     for token in TOKEN.finditer(page):
-        if token.start() > at and not skipped:
+        if token.start() > at and lines.held > ASIDE:
             lines.text(page[at : token.start()])
         at = token.end()
         if not token["name"]:
-            if token["raw"] and not skipped:
+            if token["raw"]:
                 lines.flush()
             continue
         name, end = token["name"].lower(), token["end"] == "/"
-        if skipped:
-            if name == skipped:
-                depth += -1 if end else 1
-                if depth == 0:
-                    skipped = ""
-                continue
-            # an aside that was never closed ends where the article begins
-            begins = name in CONTENT_TAGS and not end and why == "aside"
-            if not begins or any(r[2] for r in lines.rows):
-                if end and name in ("body", "html"):
-                    skipped = ""
-                continue
-            skipped = ""
-        if not end and name not in VOID and (why := apart(name, attributes(token["attrs"])) or ""):
-            lines.gap()
-            if not token["attrs"].endswith("/"):
-                skipped, depth = name, 1
-            continue
         if name == "a":
             lines.links = 0 if end else 1
         elif name not in INLINE:
             lines.flush()
             lines.links = 0
-            if name in CONTENT_TAGS:
-                lines.content = max(lines.content + (-1 if end else 1), 0)
-    if at < len(page) and not skipped:
+        if end:
+            lines.end(name)
+            continue
+        if name in VOID:
+            continue
+        # an aside that was never closed ends where the article begins
+        if name in CONTENT_TAGS and lines.held not in (NO_ASIDE, COMMENT) and not lines.found:
+            lines.release()
+        why = apart(name, attributes(token["attrs"])) if lines.held > ASIDE else None
+        if why:
+            lines.gap()
+            if token["attrs"].endswith("/"):
+                continue
+        if why or name not in INLINE or lines.held != NO_ASIDE:
+            lines.begin(name, why)
+    if at < len(page) and lines.held > ASIDE:
         lines.text(page[at:])
     lines.flush()
-    return lines.rows
+    return lines
 
 
-def main_text(page: str | None) -> str:
-    rows = lines_of(page or "")
-    article = any(inside and text for text, _, inside in rows)
-    weights = [n if inside or not article else 0 for _, n, inside in rows]
+def chosen(lines: Lines, at: list[int]) -> set[int]:
+    """Which of the lines with the given numbers are the main text."""
+    rows = [lines.rows[k] for k in at]
+    article = any(r.inside for r in rows)
+    weights = [r.weight if r.inside or not article else 0 for r in rows]
     least = 1 if article else SURGE
     sums = [sum(weights[i : i + WINDOW]) for i in range(len(rows))]
     passages, i = [], 0
@@ -190,10 +283,62 @@ def main_text(page: str | None) -> str:
         passages.append((begin, i, top, sum(weights[begin:i])))
     surging = [p for p in passages if p[2] >= least]
     kept = surging or sorted(passages, key=lambda p: -p[3])[:1]
-    texts = []
-    for begin, end, _, _ in kept:
-        texts += [t for t, _, inside in rows[begin:end] if t and (inside or not article)]
-    return "\n".join(texts)
+    if len(surging) < len(passages) and surging:
+        around = {lines.parents[r.block] for b, e, *_ in surging for r in rows[b:e] if r.weight}
+        within = [0 in around]
+        for block, parent in enumerate(lines.parents[1:], 1):
+            within.append(block in around or within[parent])
+        kept = [
+            p for p in passages
+            if p[2] >= least or any(r.weight and within[r.block] for r in rows[p[0] : p[1]])
+        ]
+    return {
+        at[k] for begin, end, _, _ in kept for k in range(begin, end)
+        if rows[k].text and (rows[k].inside or not article)
+    }
+
+
+def bodies(lines: Lines) -> set[int]:
+    """The marked elements that hold most of the text: of those directly in the page (then: in
+    the ones just found), all of one marking with over half of it."""
+    article = lines.found
+    sizes = [0] * len(lines.marks)
+    whole = 0
+    for r in lines.rows:
+        if r.inside or not article:
+            whole += r.weight
+            if r.held >= 0:
+                sizes[r.held] += r.weight
+    within: dict[int, list[int]] = {}
+    for k in range(len(sizes) - 1, -1, -1):
+        around = lines.marks[k][1]
+        within.setdefault(around, []).append(k)
+        if around >= 0:
+            sizes[around] += sizes[k]
+    found: set[int] = set()
+    level = [NO_ASIDE]
+    while level:
+        by_marking: dict[str, list[int]] = {}
+        for k in (k for around in level for k in within.get(around, [])):
+            by_marking.setdefault(lines.marks[k][0], []).append(k)
+        level = []
+        for group in by_marking.values():
+            size = sum(sizes[k] for k in group)
+            if 2 * size > whole:
+                level, whole = group, size
+                break
+        found.update(level)
+    return found
+
+
+def main_text(page: str | None) -> str:
+    lines = lines_of(page or "")
+    plain = [k for k, r in enumerate(lines.rows) if r.held == NO_ASIDE]
+    kept = chosen(lines, plain)
+    if len(plain) < len(lines.rows) and (found := bodies(lines)):
+        found.add(NO_ASIDE)
+        kept |= chosen(lines, [k for k, r in enumerate(lines.rows) if r.held in found])
+    return "\n".join(lines.rows[k].text for k in sorted(kept))
 
 
 def extract(

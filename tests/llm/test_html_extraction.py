@@ -63,6 +63,40 @@ def test_links_inside_an_article_stay(tag, inside, want):
     assert main_text(page).split("\n") == want
 
 
+def test_short_passage_around_an_advert_stays():
+    page = f"<div><h1>Head</h1><div class=share>x</div><p>{LONG}</p><div class='ad'>x</div><p>The end.</p></div>"
+    assert main_text(page).split("\n") == ["Head", LONG.strip(), "The end."]
+    page = f"<div><div><p>{LONG}</p></div></div><div class='ad'>x</div><div><p>Other.</p></div>"
+    assert main_text(page) == LONG.strip()
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    [
+        '<div class="layout has-sidebar">', '<div class="no-sidebar">', "<form action=x>",
+        '<div class="post share-enabled">', '<form><div class="has-sidebar"><div id="search-page">',
+        '<main><div class="has-sidebar">', '<main><h1>Head</h1><div class="no-sidebar">',
+    ],
+)
+def test_marked_wrapper_of_the_article_stays(wrapper):
+    page = f"""<div class="nav">Home</div>{wrapper}<p>{LONG}</p><div class="sidebar">Side</div><nav>N
+    </nav><p>End.</p>{"".join("</" + t.split()[0].strip("<>") + ">" for t in wrapper.split(">")[::-1]
+    if t.startswith("<") and "h1" not in t)}<div class="footer">Foot</div><p class="copyright">C</p>"""
+    head = ["Head"] if "Head" in wrapper else []
+    assert main_text(page).split("\n") == [*head, LONG.strip(), "End."]
+
+
+def test_several_posts_with_one_marking_stay():
+    posts = "".join(f'<div class="post share-enabled"><p>{i} {LONG}</p></div>' for i in range(5))
+    page = f'{posts}<div class="sidebar">Side</div>'
+    assert main_text(page).split("\n") == [f"{i} {LONG}".strip() for i in range(5)]
+
+
+def test_what_a_page_gave_stays_beside_a_large_notice():
+    page = f"<div><p>Short article.</p></div><div class=cookie><p>{LONG}</p></div>"
+    assert "Short article." in main_text(page).split("\n")
+
+
 def test_frame(table):
     rows = [(1, "u", "<p>a"), (1, "u", "<p>a"), (None, None, None), (2, "v", "<p>" + "é " * 400_000)]
     schema = "page_id long, url string, html string, text string"
