@@ -33,6 +33,14 @@ def test_ids_are_those_of_the_tokenizer(text):
     assert encoder(default_tokenizer()).encode_ordinary(text) == want
 
 
+def test_added_tokens_keep_their_ids(docs):
+    end = "<|endoftext|>"
+    rows = [(1, f"a {end} b"), (2, end), (3, f"{end}{end}x <|endoftext|"), (4, f"é {end}\n" * 3000)]
+    placed = pack(docs(rows)).collect()
+    check(rows, placed)
+    assert {p.doc_id: p.doc_tokens for p in placed}[2] == 2
+
+
 def check(rows, placed, capacity=2048):
     reference = Tokenizer.from_file(default_tokenizer())
     pieces = {}
