@@ -4,7 +4,8 @@ Candidates are found by patterns, with their places.  Each candidate's value is
 hashes are counted over the whole corpus: in how many rows (repositories) and under how many
 owners a value occurs.  Values that many owners copied are examples; a value of one owner looks
 live.  The base patterns (assign, access, hex) are always reported.  The further patterns catch too
-much by themselves, so of them only the values that look live are added.
+much by themselves, so of them `scan` adds only the values that look live, as its SQL says;
+`redact` also masks those that are shared, and leaves only widely copied ones.
 
 Places come from splitting a text at a pattern and adding up lengths, in code points.  Counting
 goes (value, owner) first and (value) next, both with partial sums, so a value that a third of all
@@ -123,10 +124,11 @@ def verdict(n_owners: Column, owners_of_example: int = OWNERS_OF_EXAMPLE) -> Col
 
 def judged(
     docs: DataFrame, keep: list[str], text_col: str = "text", owner_col: str = "source",
-    owners_of_example: int = OWNERS_OF_EXAMPLE,
+    owners_of_example: int = OWNERS_OF_EXAMPLE, added: tuple[str, ...] = ("live",),
 ) -> tuple[DataFrame, DataFrame]:
     """The rows with their candidates, written once, and per row what to report:
-    `__spans` as sorted struct(at, rank, till, kind, verdict)."""
+    `__spans` as sorted struct(at, rank, till, kind, verdict), of added kinds with a verdict in
+    `added` only."""
     found = materialize(candidates(docs, text_col, owner_col, keep), "secret-candidates")
     rated = materialize(
         ownership(found).select(
@@ -138,7 +140,7 @@ def judged(
         "__row", "s.at", "s.rank", "s.till", "s.kind", F.sha2("s.value", 256).alias("value_sha256")
     )
     told = one.join(rated, "value_sha256").filter(
-        F.col("kind").isin(*sorted(BASE_KINDS)) | (F.col("verdict") == "live")
+        F.col("kind").isin(*sorted(BASE_KINDS)) | F.col("verdict").isin(*added)
     )
     spans = told.groupBy("__row").agg(
         F.sort_array(F.collect_list(F.struct("at", "rank", "till", "kind", "verdict"))).alias(
@@ -211,7 +213,9 @@ def redact(
     owners_of_example: int = OWNERS_OF_EXAMPLE,
 ) -> DataFrame:
     """All rows and columns, with every reported span masked by its kind and verdict."""
-    found, spans = judged(docs, docs.columns, text_col, owner_col, owners_of_example)
+    found, spans = judged(
+        docs, docs.columns, text_col, owner_col, owners_of_example, ("live", "shared")
+    )
     text = F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(
         masked(F.col(text_col), F.col("__spans"))
     )

@@ -59,6 +59,14 @@ def test_redaction(docs):
     assert texts[11].endswith("x [REDACTED:assign:live]")
 
 
+def test_a_key_of_two_owners_is_masked(docs):
+    key = "ghp_abcdefghij0123456789XYZ"
+    done = redact(docs([(1, f"a {key}", "s1"), (2, f"b {key}", "s2")])).collect()
+    assert {r.doc_id: r.text for r in done} == {
+        1: "a [REDACTED:prefixed:shared]", 2: "b [REDACTED:prefixed:shared]"
+    }
+
+
 def test_empty_table(docs):
     assert scan(docs([])).count() == 0
     assert redact(docs([])).count() == 0
