@@ -13,7 +13,8 @@ time and each is broadcast by itself, so the size of what is broadcast at once i
 whatever the benchmark's size.  Documents are read once and never shuffled.
 
 Null and empty texts have no words and no hits.  Items without words never occur.  Repeated
-documents are judged each on their own; items with equal texts all count.  With an empty
+documents are judged each on their own; items with equal texts all count.  Items with a null id
+cover words but are not named.  With an empty
 benchmark nothing is hit.  Only ids and texts are read, so other columns cannot clash.
 """
 
@@ -128,7 +129,7 @@ def scan(texts: list[str | None], blocks: list[Broadcast], window: int) -> list[
     counts = np.array([len(w) for w in texts_words], dtype=np.int64)
     starts = np.concatenate([[0], np.cumsum(counts + 1)])
     cover = np.zeros(starts[-1] + 1, dtype=np.int64)
-    items: list[set[str]] = [set() for _ in texts]
+    items: list[set[str | None]] = [set() for _ in texts]
     for broadcast in blocks:
         vocabulary, searched, names = broadcast.value
         number = vocabulary.get
@@ -161,7 +162,7 @@ def scan(texts: list[str | None], blocks: list[Broadcast], window: int) -> list[
         edges = np.flatnonzero(np.diff(np.concatenate([[0], hit[start : start + n], [0]])))
         spans = [{"start": int(a), "end": int(b)} for a, b in edges.reshape(-1, 2)]
         longest = max(s["end"] - s["start"] for s in spans)
-        rows.append((n, int(hit[start : start + n].sum()), longest, spans, sorted(found)))
+        rows.append((n, int(hit[start : start + n].sum()), longest, spans, sorted(found - {None})))
     return rows
 
 

@@ -60,6 +60,12 @@ def test_removal_keeps_the_rest(docs, table):
     assert {r.doc_id for r in kept.collect()} == clean
 
 
+def test_null_item_ids_cover_words(docs, table):
+    items = table([(None, "a b"), (7, "c d")], "item_id long, text string")
+    found = contamination(docs([(1, "a b c d"), (2, "a b")]), items).collect()
+    assert {r.doc_id: (r.n_hit, list(r.items)) for r in found} == {1: (4, ["7"]), 2: (2, [])}
+
+
 def test_empty_tables(docs, table):
     nothing = table([], "item_id long, text string")
     found = contamination(docs([(1, "a b c")]), nothing).collect()
