@@ -130,3 +130,57 @@ SELECT page_id, n::BIGINT AS payload_bytes,
   CASE WHEN page_id <> page THEN page END AS refers_to
 FROM p JOIN first USING (h)
 """
+
+_WORD_LIST = r"""list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"""
+
+# The CRC-32 of a byte, by the polynomial; then of a text, byte by byte.
+ORACLES["op11_importance_resampling"] = f"""
+WITH RECURSIVE byte_sums AS (
+  SELECT b, b AS c, 0 AS k FROM (SELECT unnest(range(256)) AS b)
+  UNION ALL
+  SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1
+  FROM byte_sums WHERE k < 8
+), steps AS MATERIALIZED (
+  SELECT list(c ORDER BY b) AS step FROM byte_sums WHERE k = 8
+), texts AS MATERIALIZED (
+  SELECT row_number() OVER () AS row_id, doc_id, {_WORD_LIST} AS w, true AS own FROM documents
+  UNION ALL
+  SELECT -row_number() OVER (), NULL, {_WORD_LIST}, false FROM benchmark
+), grams AS MATERIALIZED (
+  SELECT row_id, own, array_to_string(w[i : i + n - 1], ' ') AS gram
+  FROM (SELECT row_id, own, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM texts, (SELECT unnest([1, 2, 3]) AS n) WHERE len(w) >= n)
+), sums AS MATERIALIZED (
+  SELECT gram, xor(4294967295, list_reduce(list_transform(range(0, len(h), 2),
+      lambda i: ('0x' || substr(h, i + 1, 2))::BIGINT),
+      lambda c, b: xor(c >> 8, step[xor(c & 255, b) + 1]), 4294967295::BIGINT)) % 10000 AS bucket
+  FROM (SELECT gram, hex(encode(gram)) AS h FROM (SELECT DISTINCT gram FROM grams)), steps
+), counted AS MATERIALIZED (
+  SELECT bucket, count(*) FILTER (own) AS s, count(*) FILTER (NOT own) AS t
+  FROM grams JOIN sums USING (gram) GROUP BY bucket
+), gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * ((SELECT sum(s) FROM counted) + 10000)::DOUBLE
+    / ((s + 1)::DOUBLE * ((SELECT sum(t) FROM counted) + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM counted
+), weighed AS (
+  SELECT row_id, count(*) AS n_features, sum(gain)::BIGINT AS weight
+  FROM grams JOIN sums USING (gram) JOIN gains USING (bucket) WHERE own GROUP BY row_id
+), scored AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features,
+    coalesce(weight, 0)::BIGINT AS weight,
+    (coalesce(weight, 0) + floor(-1000 * ln(-ln(
+      (('0x' || substr(sha256('42:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE)
+      / 4294967296::DOUBLE))))::BIGINT AS score
+  FROM texts LEFT JOIN weighed USING (row_id) WHERE own
+), placed AS (
+  SELECT doc_id, n_features, weight, score, n_words >= 20 AS enough,
+    row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place,
+    5 * count(*) FILTER (n_words >= 20) OVER () // 100 AS drawn
+  FROM scored
+)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN enough AND place <= drawn THEN place END AS rank
+FROM placed
+"""

@@ -12,6 +12,7 @@ from dimweave.llm import oracles
 from dimweave.llm.common import read
 from dimweave.llm.decontamination import contaminated, contamination
 from dimweave.llm.html_extraction import extract
+from dimweave.llm.importance import resample
 from dimweave.llm.neighbours import nearest
 from dimweave.llm.packing import pack
 from dimweave.llm.secrets import scan
@@ -20,6 +21,7 @@ from dimweave.llm.suffixes import repeated_passages
 from dimweave.llm.token_counts import token_counts
 from dimweave.llm.toxicity import fit, held_out, toxicity
 from dimweave.llm.warc import read_back, write
+from dimweave.llm.whitening import whiten
 from dimweave.session import fresh_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,6 +111,16 @@ def op10_nearest_neighbours(spark, sf_dir):
     return nearest(read(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
 
 
+@query
+def op11_importance_resampling(spark, sf_dir):
+    return resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_embedding_whitening(spark, sf_dir):
+    return whiten(read(spark, sf_dir, "embeddings"))
+
+
 @query
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
