@@ -184,3 +184,33 @@ SELECT doc_id, n_features, weight, score,
   CASE WHEN enough AND place <= drawn THEN place END AS rank
 FROM placed
 """
+
+ORACLES["op12_hyperminhash"] = r"""
+WITH RECURSIVE texts AS MATERIALIZED (
+  SELECT row_number() OVER () AS row_id, doc_id,
+    list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+), grams AS MATERIALIZED (
+  SELECT DISTINCT row_id, array_to_string(w[i : i + least(3, len(w)) - 1], ' ') AS gram
+  FROM (SELECT row_id, w, unnest(range(1, len(w) - least(3, len(w)) + 2)) AS i
+        FROM texts WHERE len(w) > 0)
+), sizes AS MATERIALIZED (
+  SELECT row_id, count(*) AS n FROM grams GROUP BY row_id
+), met AS (
+  SELECT a.row_id AS u, b.row_id AS v, count(*) AS n
+  FROM grams a JOIN grams b ON a.gram = b.gram AND a.row_id <> b.row_id GROUP BY ALL
+), links AS MATERIALIZED (
+  SELECT u, v FROM met JOIN sizes a ON a.row_id = u JOIN sizes b ON b.row_id = v
+  WHERE 100 * met.n >= 85 * (a.n + b.n - met.n)
+), reached AS (
+  SELECT row_id AS u, row_id AS v FROM texts
+  UNION
+  SELECT r.u, l.v FROM reached r JOIN links l ON l.u = r.v
+), least_ids AS (
+  SELECT u, min(doc_id) AS component_id FROM reached JOIN texts ON row_id = v GROUP BY u
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM texts LEFT JOIN sizes USING (row_id) JOIN least_ids ON u = row_id
+"""

@@ -12,6 +12,7 @@ from dimweave.llm import oracles
 from dimweave.llm.common import read
 from dimweave.llm.decontamination import contaminated, contamination
 from dimweave.llm.html_extraction import extract
+from dimweave.llm.hyperminhash import near_duplicates as near_duplicate_sets
 from dimweave.llm.importance import resample
 from dimweave.llm.neighbours import nearest
 from dimweave.llm.packing import pack
@@ -116,6 +117,11 @@ def op11_importance_resampling(spark, sf_dir):
     return resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+@query
+def op12_hyperminhash(spark, sf_dir):
+    return near_duplicate_sets(read(spark, sf_dir, "documents"))
+
+
 @query
 def op13_embedding_whitening(spark, sf_dir):
     return whiten(read(spark, sf_dir, "embeddings"))

@@ -16,7 +16,7 @@ ROWS_OF = {
 def test_registered():
     assert QUERIES.items() <= entry.queries().items()
     assert ORACLES.items() <= entry.oracle_sql().items()
-    assert {f"op{n}" for n in (*range(1, 12), 13)} | {"pipeline"} == {q.split("_")[0] for q in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} | {"pipeline"} == {q.split("_")[0] for q in QUERIES}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
