@@ -1,7 +1,8 @@
-from dimweave.operators.external import external_lookup_join, fetch
+from dimweave.operators.external import Overlap, external_lookup_join, fetch
 from dimweave.operators.freshness import fresh_lookup_join, resolve_ttl
 from dimweave.operators.lookup import (
     Lookup,
+    LookupOptions,
     decodable,
     drop_blank_lines,
     join_type,
@@ -9,7 +10,7 @@ from dimweave.operators.lookup import (
     raw_lookup,
     rejects,
 )
-from dimweave.operators.options import LookupOptions, from_options
+from dimweave.operators.options import from_options
 from dimweave.operators.quality import (
     check_lines,
     error_counts,
@@ -28,6 +29,7 @@ from dimweave.operators.sampling import (
 __all__ = [
     "Lookup",
     "LookupOptions",
+    "Overlap",
     "check_lines",
     "decodable",
     "drop_blank_lines",

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimweave.functions.fields import floor_to, micros
-from dimweave.operators.lookup import _DIM, _KEY, Lookup, join_unique
+from dimweave.operators.lookup import _DIM, _KEY, Lookup, LookupOptions, as_lookup, join_unique
 from dimweave.session import configure
 
 # Seconds a value may be reused when only its update rhythm is known.
@@ -41,6 +41,22 @@ def resolve_ttl(ttl: int | None = None, refresh: str | None = None) -> int | Non
         raise ValueError(f"refresh must be one of {sorted(REFRESH_SECONDS)}") from None
 
 
+def staleness(
+    lookup: Lookup | LookupOptions | None,
+    ttl: int | None,
+    refresh: str | None,
+    negative_cache: bool | None,
+) -> tuple[int | None, bool]:
+    """Seconds a value may be reused, and whether a miss is; what is given wins over the options."""
+    seconds = resolve_ttl(ttl, refresh)
+    if isinstance(lookup, LookupOptions):
+        if ttl is None and refresh is None:
+            seconds = lookup.ttl
+        if negative_cache is None:
+            negative_cache = lookup.negative_cache
+    return seconds, negative_cache is not False
+
+
 def _carried(cells: DataFrame, versions: DataFrame, width: int) -> DataFrame:
     """For each (key, cell start) of `cells` the version current at that time, or NULL."""
     visible = F.col(_AT) + F.pmod(-F.col(_AT), F.lit(width).cast("bigint"))
@@ -102,12 +118,12 @@ def _as_of(
 def fresh_lookup_join(
     lines: DataFrame,
     versions: DataFrame,
-    lookup: Lookup | None = None,
+    lookup: Lookup | LookupOptions | None = None,
     *,
     ts: str = "ts",
     ttl: int | None = None,
     refresh: str | None = None,
-    negative_cache: bool = True,
+    negative_cache: bool | None = None,
     grid: int = 60,
     **options,
 ) -> DataFrame:
@@ -118,10 +134,13 @@ def fresh_lookup_join(
     `grid` (seconds) is then only the width of the internal intervals: the distinct times and
     the versions that one key brings within it are put in order by one task.  A NULL value in
     `versions` deletes the key from that time on.  `(dim_key, effective_ts)` should be unique.
+
+    Of `LookupOptions` the staleness bound and negative caching (on by default) count where they are
+    not given here.
     """
     configure(lines.sparkSession)
-    lookup = lookup or Lookup(**options)
-    seconds = resolve_ttl(ttl, refresh)
+    seconds, negative_cache = staleness(lookup, ttl, refresh, negative_cache)
+    lookup = as_lookup(lookup, options)
     width = (seconds or grid) * 1_000_000
 
     history = lookup.with_entry(versions.select(_KEY, "effective_ts", lookup.stored)).select(

@@ -219,8 +219,57 @@ class Lookup:
         return joined.withColumn(self.output, text).drop(_FIELDS, _DIM, _KEY)
 
 
+@dataclass(frozen=True)
+class LookupOptions:
+    """A lookup with its staleness bound (None: none) and batching, as `from_options` reads them.
+
+    Every lookup takes one in the place of a `Lookup`, and of the rest what applies to it:
+    `fresh_lookup_join` and `enrich_stream` the staleness bound and negative caching, lookups in a
+    live store the keys of a request, `enrich_stream` the time between micro-batches."""
+
+    lookup: Lookup
+    ttl: int | None
+    negative_cache: bool
+    batch_size: int
+    min_batch_ms: int
+
+
+def as_lookup(lookup: Lookup | LookupOptions | None, options: dict) -> Lookup:
+    if lookup is None:
+        return Lookup(**options)
+    if options:
+        raise TypeError(f"a lookup is given already, besides {sorted(options)}")
+    return lookup.lookup if isinstance(lookup, LookupOptions) else lookup
+
+
+def one_per_key(dim: DataFrame, stored: str, unique: str) -> DataFrame:
+    """The dimension with each key once, settled inside the plan that uses it.
+
+    `fail` ends the job at a key that repeats, `latest` takes its row with the newest `updated`, of
+    equal ones the one with the greatest value.  Both aggregate by key before the shuffle."""
+    if unique == "fail":
+        first = dim.groupBy(_KEY).agg(F.count(F.lit(1)).alias("__n"), F.any_value(stored).alias(stored))
+        said = F.concat(F.lit("dimension key occurs more than once: "), F.col(_KEY))
+        # The value depends on the check, so that no optimizer leaves it out.
+        checked = F.when(F.col("__n") > 1, F.raise_error(said)).otherwise(F.col(stored))
+        return first.select(_KEY, checked.cast(dim.schema[stored].dataType).alias(stored))
+    if unique == "latest":
+        value = F.col(stored)
+        if dim.schema[stored].dataType.typeName() == "map":
+            value = F.to_json(stored)
+        newest = F.max_by(F.struct(stored), F.struct("updated", value)).alias("__newest")
+        return dim.groupBy(_KEY).agg(newest).select(_KEY, F.col("__newest")[stored].alias(stored))
+    raise ValueError("unique must be fail or latest")
+
+
 def lookup_join(
-    lines: DataFrame, dim: DataFrame, lookup: Lookup | None = None, *, dedup=False, **options
+    lines: DataFrame,
+    dim: DataFrame,
+    lookup: Lookup | LookupOptions | None = None,
+    *,
+    dedup: bool = False,
+    unique: str | None = None,
+    **options,
 ) -> DataFrame:
     """Enrich each line from `dim`; other columns of `lines` pass through.
 
@@ -230,10 +279,15 @@ def lookup_join(
     `dedup` first reduces the dimension to the distinct keys of the lines.  Rows are the same;
     it pays when the dimension is far larger than the keys in use, since the lines are then
     often joined to a small table without being shuffled.  Batch only.
+
+    `unique` settles keys that repeat: `fail` (the job ends), `latest` (by a column `updated` of the
+    dimension, ties to the greatest value).  Without it the caller answers for unique keys.
     """
     configure(lines.sparkSession)
-    lookup = lookup or Lookup(**options)
+    lookup = as_lookup(lookup, options)
     keyed = lookup.keyed(lines)
+    if unique is not None:
+        dim = one_per_key(dim, lookup.stored, unique)
     fields = lookup.dimension(dim)
     if dedup:
         fields = lookup.keys(lines).join(fields, _KEY)

@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
 
 from dimweave.functions.text import Delimited, KeyValue
 from dimweave.operators.freshness import REFRESH_SECONDS
-from dimweave.operators.lookup import Lookup
+from dimweave.operators.lookup import Lookup, LookupOptions
 
 # Option name, older alias.
 ALIASES = {
@@ -25,17 +24,6 @@ ALIASES = {
 }
 
 
-@dataclass(frozen=True)
-class LookupOptions:
-    """A lookup with its staleness bound (None: none) and batching."""
-
-    lookup: Lookup
-    ttl: int | None
-    negative_cache: bool
-    batch_size: int
-    min_batch_ms: int
-
-
 def _get(options: Mapping[str, str], name: str, default: str | None = None) -> str | None:
     for key in (name, ALIASES[name]):
         value = options.get(key)

@@ -17,11 +17,13 @@ from dimweave.functions import (
 )
 from dimweave.operators import (
     Lookup,
+    Overlap,
     check_lines,
     decodable,
     error_counts,
     external_lookup_join,
     fresh_lookup_join,
+    from_options,
     lookup_join,
     lookup_stats,
     raw_lookup,
@@ -32,7 +34,7 @@ from dimweave.operators import (
     throughput,
 )
 from dimweave.plans import fixtures as fx
-from dimweave.plans.store import ParquetStore
+from dimweave.plans.store import AsyncParquetStore, ParquetStore
 from dimweave.session import configure, fresh_folder
 from dimweave.sources import (
     as_lines,
@@ -261,6 +263,50 @@ def external_lookup_distinct(spark, sf_dir):
     )
 
 
+@query
+def external_lookup_async(spark, sf_dir):
+    """Overlapping requests, up to eight of each task."""
+
+    def open_store() -> AsyncParquetStore:
+        return AsyncParquetStore(f"{sf_dir}/part.parquet", "p_partkey", "th_", ["p_name", "p_brand"])
+
+    overlap = Overlap(in_flight=8, timeout=60, retries=2)
+    return external_lookup_join(
+        fx.source_delimited(spark, sf_dir), open_store, Lookup(**BY_PART), batch_size=1000, overlap=overlap
+    )
+
+
+@query
+def unique_dim_lookup(spark, sf_dir):
+    """All versions of a customer in one dimension, of which the newest counts."""
+    versions = fx.customer_versions(spark, sf_dir).withColumnRenamed("effective_ts", "updated")
+    return lookup_join(fx.source_kv(spark, sf_dir), versions, unique="latest", **BY_USER).select(*ENRICHED)
+
+
+@query
+def unique_dim_lookup_checked(spark, sf_dir):
+    lines, dim = fx.source_kv(spark, sf_dir), fx.supplier_kv(spark, sf_dir)
+    return lookup_join(lines, dim, unique="fail", **BY_USER).select(*ENRICHED)
+
+
+@query
+def options_lookup(spark, sf_dir):
+    """A lookup, its staleness bound and negative caching from option names and older aliases."""
+    given = from_options({
+        "source.schema.type": "MQ_KV",
+        "sourceSchemaContent": "{}",
+        "dim.schema.type": "string",
+        "joinRuleType": "inner_join",
+        "joinRule.leftFields": "user_id",
+        "joinRuleRightFields": "tp_%s",
+        "cacheType": "local",
+        "cachePolicy.expireAfterWrite": "21600",
+        "cacheNullable": "false",
+    })
+    lines, versions = fx.source_kv(spark, sf_dir), fx.customer_versions(spark, sf_dir)
+    return fresh_lookup_join(lines, versions, given).select(*ENRICHED)
+
+
 @query
 def lookup_stats_query(spark, sf_dir):
     """Per 2000 consecutive events, the size of a batch."""
@@ -505,6 +551,21 @@ def stream_external_lookup(spark, sf_dir):
     )
 
 
+@query
+def stream_keyed_ttl_lookup(spark, sf_dir):
+    """Each supplier is asked for once; misses are remembered, too."""
+
+    def open_store() -> AsyncParquetStore:
+        return AsyncParquetStore(
+            f"{sf_dir}/supplier.parquet", "s_suppkey", "tp_", ["s_name", "s_nationkey"]
+        )
+
+    return _stream(
+        spark, sf_dir, "stream-keyed", 3, None, open_store=open_store, batch_size=500,
+        overlap=Overlap(in_flight=4, timeout=60), ttl=86_400,
+    )
+
+
 @query
 def stream_throughput_query(spark, sf_dir):
     folder = fresh_folder(spark, "stream-throughput")

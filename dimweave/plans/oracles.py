@@ -255,6 +255,11 @@ ORACLES: dict[str, str] = {
     "dedup_lookup": _part_lookup("LEFT JOIN"),
     "external_lookup": _part_lookup("LEFT JOIN"),
     "external_lookup_distinct": _part_lookup("JOIN"),
+    "external_lookup_async": _part_lookup("LEFT JOIN"),
+    "unique_dim_lookup": f"""
+        SELECT event_id, {_KV} || coalesce('|c_name=' || c_name || '|version=9', '') AS enriched
+        FROM events LEFT JOIN customer ON c_custkey = user_id""",
+    "unique_dim_lookup_checked": _by_user(f"{_KV} || coalesce('|' || {_SUPPLIER}, '')"),
     "lookup_stats": """
         SELECT event_id // 2000 AS batch, count(*) AS rows,
                count(DISTINCT user_id) AS distinct_keys,
@@ -267,6 +272,11 @@ ORACLES: dict[str, str] = {
         _asof_join("a", _snapshot(21600)) + _asof_join("b", "e.at_us"),
         "coalesce(a.dim_value, b.dim_value)",
     ),
+    "options_lookup": _as_of(
+        _asof_join("a", _snapshot(21600)) + _asof_join("b", "e.at_us"),
+        "coalesce(a.dim_value, b.dim_value)",
+    )
+    + " WHERE coalesce(a.dim_value, b.dim_value) IS NOT NULL",
     "ttl_policy_lookup": _as_of(_asof_join("a", _snapshot(1800)), "a.dim_value"),
     "live_lookup": _as_of(_asof_join("a", "e.at_us"), "a.dim_value"),
     "gen_sequential_kv": """
@@ -318,7 +328,8 @@ ORACLES: dict[str, str] = {
                    || coalesce('|' || {_SUPPLIER}, '') AS enriched
         FROM events LEFT JOIN supplier ON s_suppkey = user_id""",
     **dict.fromkeys(
-        ["stream_left_lookup", "stream_ttl_lookup", "stream_dedup_lookup", "stream_external_lookup"],
+        ["stream_left_lookup", "stream_ttl_lookup", "stream_dedup_lookup", "stream_external_lookup",
+         "stream_keyed_ttl_lookup"],
         f"""
         SELECT 'event_id=' || event_id || '|' || {_KV} || coalesce('|' || {_SUPPLIER}, '')
                    AS enriched

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import asyncio
 from collections.abc import Sequence
 
 import pyarrow.dataset as ds
@@ -28,3 +29,10 @@ class ParquetStore:
             f"{self._prefix}{row[self._key]}": "|".join(f"{f}={row[f]}" for f in self._fields)
             for row in rows.to_pylist()
         }
+
+
+class AsyncParquetStore(ParquetStore):
+    """The same with requests that can overlap."""
+
+    async def get_many(self, keys: Sequence[str]) -> dict[str, str]:
+        return await asyncio.to_thread(super().get_many, keys)

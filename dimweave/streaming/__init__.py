@@ -1,4 +1,4 @@
-from dimweave.streaming.enrich import AgingDim, enrich_stream, parquet_sink, text_sink
+from dimweave.streaming.enrich import AgingDim, Remembered, enrich_stream, parquet_sink, text_sink
 from dimweave.streaming.metrics import (
     dropped_rows,
     latest_windows,
@@ -9,6 +9,7 @@ from dimweave.streaming.metrics import (
 
 __all__ = [
     "AgingDim",
+    "Remembered",
     "dropped_rows",
     "enrich_stream",
     "latest_windows",

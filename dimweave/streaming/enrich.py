@@ -5,12 +5,13 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from dimweave.operators.external import BATCH_SIZE, external_lookup_join
-from dimweave.operators.freshness import resolve_ttl
-from dimweave.operators.lookup import Lookup, lookup_join
+from dimweave.operators.external import BATCH_SIZE, Overlap, external_lookup_join, fetch
+from dimweave.operators.freshness import resolve_ttl, staleness
+from dimweave.operators.lookup import Lookup, LookupOptions, as_lookup, lookup_join
 from dimweave.session import configure, fresh_folder
 
 LoadDim = Callable[[], DataFrame]
@@ -76,45 +77,125 @@ def text_sink(path: str, column: str = "enriched") -> Sink:
     return write
 
 
+class Remembered:
+    """What a live store answered, by key, each answer reused for `ttl` seconds from its fetch on.
+
+    Answers are rows of a table below the shared folder, one folder for each micro-batch that asked,
+    named by the time it did; no task keeps anything.  A key is asked again only when its answer has
+    aged, so of the folders that still count each key has one row, and none is rewritten.  A folder
+    whose answers have aged is deleted.  With `negative` misses are remembered as well, else they are
+    asked again by every micro-batch that needs them.  The table outlives a restart if `folder` does.
+    """
+
+    def __init__(
+        self,
+        folder: str,
+        ttl: int,
+        negative: bool = True,
+        clock: Callable[[], float] = time.time,
+    ) -> None:
+        self.folder, self.ttl, self.negative, self._clock = folder, ttl, negative, clock
+
+    def _folders(self, spark: SparkSession, batch_id: int, now_ms: int) -> list[str]:
+        """Folders of earlier micro-batches whose answers are fresh; aged ones go, and what an
+        attempt at this very batch has left, too."""
+        root = spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+        fresh = []
+        for status in files.listStatus(root) if files.exists(root) else []:
+            name = status.getPath().getName()
+            batch, at = (int(x) for x in name.split("-"))
+            if batch >= batch_id or now_ms - at >= self.ttl * 1000:
+                files.delete(status.getPath(), True)
+            else:
+                fresh.append(f"{self.folder}/{name}")
+        return fresh
+
+    def answers(
+        self,
+        keys: DataFrame,
+        ask: Callable[[DataFrame], DataFrame],
+        stored: str,
+        batch_id: int,
+    ) -> DataFrame:
+        """`(dim_key, stored)` of distinct keys; `ask` adds `stored` to those that must be asked."""
+        spark, now_ms = keys.sparkSession, int(self._clock() * 1000)
+        folders = self._folders(spark, batch_id, now_ms)
+        known = None
+        if folders:
+            fetched = spark.read.parquet(*folders)
+            known = fetched if self.negative else fetched.where(F.col(stored).isNotNull())
+        missing = keys if known is None else keys.join(known, "dim_key", "left_anti")
+        path = f"{self.folder}/{batch_id}-{now_ms}"
+        new = ask(missing)
+        new.write.mode("overwrite").parquet(path)
+        new = spark.read.schema(new.schema).parquet(path)
+        return new if known is None else known.join(keys, "dim_key", "left_semi").unionByName(new)
+
+
 def enrich_stream(
     lines: DataFrame,
     dim: AgingDim | LoadDim | None,
     sink: Sink,
     checkpoint: str,
-    lookup: Lookup | None = None,
+    lookup: Lookup | LookupOptions | None = None,
     *,
-    trigger: str | None = "1 second",
+    trigger: str | None = "",
     name: str | None = None,
     dedup: bool = False,
     open_store: Callable[[], object] | None = None,
-    batch_size: int = BATCH_SIZE,
+    batch_size: int | None = None,
     on_error: str = "fail",
+    overlap: Overlap | None = None,
+    ttl: int | None = None,
+    refresh: str | None = None,
+    negative_cache: bool | None = None,
+    clock: Callable[[], float] = time.time,
     **options,
 ) -> DataStreamWriter:
     """Stream writer that enriches each micro-batch; call `.start()` on it.
 
     A micro-batch takes the place of a buffer flushed by size or time: its time is `trigger`
-    (None drains what is there and stops), its size the limit of the source
-    (`maxFilesPerTrigger`, `maxOffsetsPerTrigger`).  With the checkpoint and a sink that
-    replaces a repeated `batch_id`, every line is delivered once.
+    (a second, or that of `LookupOptions`; None drains what is there and stops), its size the limit
+    of the source (`maxFilesPerTrigger`, `maxOffsetsPerTrigger`).  With the checkpoint and a sink
+    that replaces a repeated `batch_id`, every line is delivered once.
 
     The dimension is either `dim`, of which `dedup` joins only the keys of the micro-batch, or
     (with `dim` None) a live store: `open_store` runs in the tasks, and each micro-batch asks it
-    once for each of its distinct keys, in requests of `batch_size`.
+    once for each of its distinct keys, in requests of `batch_size`, which may `overlap`.
+
+    `ttl` or `refresh` is how long an answer of the store is reused (`Remembered`, in a folder
+    beside the checkpoint), counted for each key from its fetch; misses are reused as well unless
+    `negative_cache` is False.  For a function that loads a dimension it is the age of its snapshot.
     """
     if (dim is None) == (open_store is None):
         raise ValueError("give either a dimension or a store")
     configure(lines.sparkSession)
-    lookup = lookup or Lookup(**options)
-    aging = dim if isinstance(dim, AgingDim) or dim is None else AgingDim(dim)
+    seconds, negative = staleness(lookup, ttl, refresh, negative_cache)
+    size = batch_size or getattr(lookup, "batch_size", None) or BATCH_SIZE
+    if trigger == "":
+        trigger = f"{getattr(lookup, 'min_batch_ms', 1000)} milliseconds"
+    lookup = as_lookup(lookup, options)
+    aging = AgingDim(dim, ttl=seconds) if dim is not None and not isinstance(dim, AgingDim) else dim
+    kept = None
+    if open_store is not None and seconds is not None:
+        kept = Remembered(f"{checkpoint.rstrip('/')}-answers", seconds, negative, clock)
+    asking = {"batch_size": size, "on_error": on_error, "overlap": overlap}
+
+    def ask(keys: DataFrame) -> DataFrame:
+        return fetch(keys, open_store, output=lookup.stored, dim_kind=lookup.dim_kind, **asking)
+
+    def enriched(batch: DataFrame, batch_id: int) -> DataFrame:
+        if open_store is None:
+            return lookup_join(batch, aging.current(), lookup, dedup=dedup)
+        if kept is None:
+            return external_lookup_join(batch, open_store, lookup, distinct_keys=True, **asking)
+        found = kept.answers(lookup.keys(batch), ask, lookup.stored, batch_id)
+        return lookup_join(batch, found, lookup)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         configure(batch.sparkSession)
-        if open_store is not None:
-            asking = {"batch_size": batch_size, "on_error": on_error, "distinct_keys": True}
-            sink(external_lookup_join(batch, open_store, lookup, **asking), batch_id)
-        else:
-            sink(lookup_join(batch, aging.current(), lookup, dedup=dedup), batch_id)
+        sink(enriched(batch, batch_id), batch_id)
 
     writer = lines.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     if name:

@@ -1,11 +1,13 @@
+import asyncio
 import json
 import sys
+import time
 
 import pytest
 from pyspark import cloudpickle
 
 from dimweave import Lookup, external_lookup_join, lookup_join
-from dimweave.operators import fetch
+from dimweave.operators import Overlap, fetch
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -113,3 +115,85 @@ def test_plain_function(spark):
 
     got = external_lookup_join(lines_of(spark, [4]), open_store, **KEYED)
     assert texts(got) == ["u=4|i=0|k=tp_4"]
+
+
+class SlowStore:
+    """Answers after a while; notes how many requests are under way at once, and each attempt."""
+
+    def __init__(self, folder, delay, fails=0):
+        self.folder, self.delay, self.fails = folder, delay, fails
+        self.now = 0
+
+    def note(self, name, text):
+        with open(f"{self.folder}/{name}", "a") as f:
+            f.write(f"{text}\n")
+
+    async def get_many(self, keys):
+        self.now += 1
+        self.note("at_once", self.now)
+        self.note("attempts", keys[0])
+        try:
+            slow = "tp_slow" in keys
+            await asyncio.sleep(30 if slow else self.delay)
+            if "tp_flaky" in keys and self.fails > 0:
+                self.fails -= 1
+                raise OSError("no answer just now")
+            return {k: "n=" + k for k in keys if not k.endswith("0")}
+        finally:
+            self.now -= 1
+
+    async def close(self):
+        self.note("closed", "closed")
+
+
+def noted(folder, name):
+    path = folder / name
+    return path.read_text().split() if path.exists() else []
+
+
+def slow_lookup(spark, folder, users, overlap, delay=0.05, fails=0, **options):
+    path = str(folder)
+
+    async def open_store():
+        return SlowStore(path, delay, fails)
+
+    return external_lookup_join(
+        lines_of(spark, users), open_store, batch_size=1, overlap=overlap, **KEYED, **options
+    )
+
+
+def test_requests_overlap(spark, tmp_path):
+    users = [u for u in range(1, 201)] * 2
+    texts(slow_lookup(spark, tmp_path, [1], Overlap()))  # workers are up
+    start = time.monotonic()
+    got = texts(slow_lookup(spark, tmp_path, users, Overlap(in_flight=40)))
+    spent = time.monotonic() - start
+    want = [f"u={u}|i={i}" + ("" if u % 10 == 0 else f"|n=tp_{u}") for i, u in enumerate(users)]
+    assert got == sorted(want)
+    assert len(noted(tmp_path, "attempts")) == 201
+    assert max(map(int, noted(tmp_path, "at_once"))) == 40
+    assert spent < 200 * 0.05  # one after the other they would take longer
+    assert noted(tmp_path, "closed") == ["closed"] * 2
+
+
+def test_timeout_is_a_miss_or_fails(spark, tmp_path):
+    hasty = Overlap(in_flight=5, timeout=0.5)
+    got = slow_lookup(spark, tmp_path, [1, "slow", 2], hasty, on_error="miss")
+    assert texts(got) == ["u=1|i=0|n=tp_1", "u=2|i=2|n=tp_2", "u=slow|i=1"]
+    with pytest.raises(Exception, match="TimeoutError"):
+        slow_lookup(spark, tmp_path, [1, "slow", 2], hasty).collect()
+
+
+def test_retries(spark, tmp_path):
+    patient = Overlap(retries=3, backoff=0.01)
+    got = slow_lookup(spark, tmp_path, ["flaky"], patient, fails=3)
+    assert texts(got) == ["u=flaky|i=0|n=tp_flaky"]
+    assert len(noted(tmp_path, "attempts")) == 4
+    with pytest.raises(Exception, match="no answer just now"):
+        slow_lookup(spark, tmp_path, ["flaky"], patient, fails=4).collect()
+
+
+@pytest.mark.parametrize("bad", [{"in_flight": 0}, {"timeout": 0}, {"retries": -1}, {"backoff": -1}])
+def test_overlap_is_checked(bad):
+    with pytest.raises(ValueError):
+        Overlap(**bad)

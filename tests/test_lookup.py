@@ -225,3 +225,23 @@ def test_columns_are_not_overwritten(spark, dim, name):
     lines = spark.createDataFrame([("u=1", "x")], f"line string, {name} string")
     with pytest.raises(ValueError, match=name):
         lookup_join(lines, dim, **KEYED)
+
+
+def test_keys_that_repeat(spark):
+    lines = spark.createDataFrame([("u=1",), ("u=2",), ("u=3",)], "line string")
+    rows = [("k1", "n=old", 1), ("k1", "n=new", 2), ("k1", "n=older", 0), ("k2", "n=a", 5),
+            ("k2", "n=b", 5), ("k4", "n=x", None)]
+    dim = spark.createDataFrame(rows, "dim_key string, dim_value string, updated int")
+    keyed = {"left_field": "u", "key_expr": "k%s"}
+    got = lookup_join(lines, dim, unique="latest", **keyed)
+    assert sorted(r[0] for r in got.collect()) == ["u=1|n=new", "u=2|n=b", "u=3"]
+    with pytest.raises(Exception, match="occurs more than once: k[12]"):
+        lookup_join(lines, dim, unique="fail", **keyed).collect()
+    once = dim.where("updated = 2 OR dim_key = 'k4'")
+    got = lookup_join(lines, once, unique="fail", **keyed)
+    assert sorted(r[0] for r in got.collect()) == ["u=1|n=new", "u=2", "u=3"]
+    with pytest.raises(ValueError):
+        lookup_join(lines, dim, unique="first", **keyed)
+    maps = dim.selectExpr("dim_key", "map('f', dim_value) AS dim_fields", "updated")
+    got = lookup_join(lines, maps, unique="latest", dim_kind="hash", **keyed)
+    assert sorted(r[0] for r in got.collect()) == ["u=1|f=n=new", "u=2|f=n=b", "u=3"]

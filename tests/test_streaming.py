@@ -1,12 +1,14 @@
 import os
+import sys
 import time
 from datetime import UTC, datetime, timedelta
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from dimweave import Lookup, lookup_join
-from dimweave.operators import check_lines, error_counts, sample_greedy, throughput
+from dimweave.operators import LookupOptions, check_lines, error_counts, sample_greedy, throughput
 from dimweave.sources import number_stream, read_lines, stream_lines, stream_table
 from dimweave.streaming import (
     AgingDim,
@@ -18,6 +20,8 @@ from dimweave.streaming import (
     text_sink,
 )
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LOOKUP = Lookup(left_field="u", key_expr="k%s")
 START = datetime(2024, 1, 1, tzinfo=UTC)
 
@@ -210,3 +214,64 @@ def test_number_stream(spark, folders):
         running.stop()
     ids = sorted(r["id"] for r in spark.read.parquet(folders["out"]).collect())
     assert ids[:10] == list(range(10))
+
+
+class CountedStore:
+    def __init__(self, folder):
+        self.folder = folder
+
+    def get_many(self, keys):
+        with open(f"{self.folder}/asked.txt", "a") as f:
+            f.write("".join(k + "\n" for k in keys))
+        return {k: "v=" + k for k in keys if k != "k9"}
+
+
+def keyed_run(spark, folders, now, files, **options):
+    """Enriched lines and the keys asked for, one micro-batch for each new file."""
+    path = folders["asked"]
+
+    def open_store():
+        return CountedStore(path)
+
+    for name, users in files:
+        add_lines(folders, name, [f"u={u}" for u in users])
+        enrich_stream(
+            stream_lines(spark, folders["in"]), None, parquet_sink(folders["out"]),
+            folders["checkpoint"], LOOKUP, trigger=None, open_store=open_store, clock=lambda: now[0],
+            **options,
+        ).start().awaitTermination()
+        now[0] += 6
+    with open(f"{path}/asked.txt") as f:
+        return sorted(f.read().split())
+
+
+@pytest.mark.parametrize("negative", [True, False])
+def test_answers_are_remembered_by_key(spark, folders, tmp_path, negative):
+    """k1 is asked at 0 and again at 12, when its answer is 10 s old; k2 at 6 only; the miss k9
+    like k1, or every time.  Each micro-batch is a restart of its own."""
+    (tmp_path / "asked").mkdir()
+    folders["asked"] = str(tmp_path / "asked")
+    files = [("0", [1, 9, 1]), ("1", [1, 2, 9]), ("2", [1, 2, 9])]
+    asked = keyed_run(spark, folders, [100.0], files, ttl=10, negative_cache=negative)
+    assert asked == sorted(["k1", "k9", "k2", "k1", "k9"] + ([] if negative else ["k9"]))
+    got = spark.read.parquet(folders["out"])
+    want = [f"u={u}" + ("" if u == 9 else f"|v=k{u}") for _, users in files for u in users]
+    assert sorted(r["enriched"] for r in got.collect()) == sorted(want)
+    # the answers of the first micro-batch have aged and are gone
+    assert sorted(os.listdir(folders["checkpoint"] + "-answers")) == ["1-106000", "2-112000"]
+
+
+def test_options_of_a_stream(spark, folders, tmp_path):
+    (tmp_path / "asked").mkdir()
+    folders["asked"] = str(tmp_path / "asked")
+    given = LookupOptions(LOOKUP, ttl=100, negative_cache=True, batch_size=2, min_batch_ms=10)
+    for name in ("0", "1"):
+        add_lines(folders, name, ["u=1", "u=2"])
+    path = folders["asked"]
+    enrich_stream(
+        stream_lines(spark, folders["in"], 1), None, parquet_sink(folders["out"]),
+        folders["checkpoint"], given, trigger=None, open_store=lambda: CountedStore(path),
+    ).start().awaitTermination()
+    with open(f"{path}/asked.txt") as f:
+        assert sorted(f.read().split()) == ["k1", "k2"]
+    assert spark.read.parquet(folders["out"]).count() == 4
