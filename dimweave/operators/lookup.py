@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from dimweave.functions.fields import (
@@ -269,6 +269,7 @@ def lookup_join(
     *,
     dedup: bool = False,
     unique: str | None = None,
+    seen: tuple[Observation, Observation] | None = None,
     **options,
 ) -> DataFrame:
     """Enrich each line from `dim`; other columns of `lines` pass through.
@@ -282,6 +283,8 @@ def lookup_join(
 
     `unique` settles keys that repeat: `fail` (the job ends), `latest` (by a column `updated` of the
     dimension, ties to the greatest value).  Without it the caller answers for unique keys.
+
+    `seen` observes the lines that are looked up (`rows`) and those that find a value (`matched`).
     """
     configure(lines.sparkSession)
     lookup = as_lookup(lookup, options)
@@ -291,7 +294,12 @@ def lookup_join(
     fields = lookup.dimension(dim)
     if dedup:
         fields = lookup.keys(lines).join(fields, _KEY)
-    return lookup.emit(join_unique(keyed, fields, [_KEY], lookup.join))
+    if seen is not None:
+        keyed = keyed.observe(seen[0], F.count(F.lit(1)).alias("rows"))
+    found = join_unique(keyed, fields, [_KEY], lookup.join)
+    if seen is not None:
+        found = found.observe(seen[1], F.count(_DIM).alias("matched"))
+    return lookup.emit(found)
 
 
 def raw_lookup(

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from dimweave.functions.fields import draw, floor_to, micros
 from dimweave.operators.grouped import map_groups
-from dimweave.session import configure
+from dimweave.session import configure, fresh_folder
 
 _SEGMENT, _T = "__segment", "__t"
 _RUN = ("first", "last", "leave", "step")
@@ -173,29 +173,43 @@ def sample_bucketed(
 
 
 def sample_every_n(
-    frame: DataFrame, order: str, every: int = 1000, buckets: Sequence[str] = (), width=1_000_000
+    frame: DataFrame,
+    order: str,
+    every: int = 1000,
+    buckets: Sequence[str] = (),
+    width: int | None = None,
+    *,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Every n-th record by the integer column `order`, counted per bucket.
+    """Every n-th record by the column `order`, counted per bucket.
 
-    Rows are numbered within cells of `width` consecutive `order` values, and cells get their
-    offset from the counts before them, so a bucket is never numbered by one task.  `order`
-    must be unique within a bucket and not NULL.  Only these columns are shuffled and numbered; the
-    records themselves are picked by a semi-join with what was chosen.
+    The orders are partitioned by range, whatever their values, and each range is numbered on its
+    own; it gets its offset from the counts of the ranges before.  So no bucket, and no table without
+    buckets, is numbered by one task.  With `width` the ranges are cells of so many consecutive
+    integers, which spares writing the orders down where these are dense.
+
+    `order` must be unique within a bucket and not NULL.  Only these columns are shuffled and
+    numbered; the records themselves are picked by a semi-join with what was chosen.  `counted` has
+    the number of earlier records of each bucket.
     """
     configure(frame.sparkSession)
     buckets = list(buckets)
-    rows = frame.select(*dict.fromkeys([*buckets, order])).withColumn(
-        "__cell", floor_to(F.col(order).cast("bigint"), width)
-    )
-    earlier = Window.partitionBy(*buckets).orderBy("__cell").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = (
-        rows.groupBy(*buckets, "__cell")
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
-        .drop("__n")
-    )
+    rows = frame.select(*dict.fromkeys([*buckets, order]))
+    if width is None:
+        rows = _in_ranges(rows, order)
+    else:
+        rows = rows.withColumn("__cell", floor_to(F.col(order).cast("bigint"), width))
+    offsets = _offsets(rows, buckets, few=width is None)
+    if counted is not None:
+        earlier = {b: f"__c{i}" for i, b in enumerate(buckets)}
+        same = F.lit(True)
+        for mine, other in earlier.items():
+            same = same & F.col(mine).eqNullSafe(F.col(other))
+        # one row without buckets, else one for each bucket
+        more = F.coalesce("counted", F.lit(0))
+        offsets = offsets.join(counted.withColumnsRenamed(earlier), same, "left").select(
+            *buckets, "__cell", (F.col("__before") + more).alias("__before")
+        )
     # The offset of a cell enters the numbering as a row ahead of the cell's own, so that the
     # records are shuffled once.
     cell = Window.partitionBy(*buckets, "__cell").orderBy(F.col(order).asc_nulls_first())
@@ -206,6 +220,34 @@ def sample_every_n(
     return _semi_join(frame, chosen, [*buckets, order])
 
 
+def _in_ranges(rows: DataFrame, order: str) -> DataFrame:
+    """The rows with the number of their range of `order`; written, because another run might draw
+    the ranges elsewhere."""
+    spark = rows.sparkSession
+    path = fresh_folder(spark, "ranges")
+    placed = rows.repartitionByRange(order).withColumn(
+        "__cell", F.spark_partition_id().cast("bigint")
+    )
+    placed.write.parquet(path)
+    return spark.read.schema(placed.schema).parquet(path)
+
+
+def _offsets(rows: DataFrame, buckets: list[str], few: bool) -> DataFrame:
+    """How many rows of a bucket the cells before hold; `few` says that cells are ranges."""
+    counts = rows.groupBy(*buckets, "__cell").agg(F.count(F.lit(1)).alias("__n"))
+    if few and not buckets:
+        total, before = 0, []
+        for place, n in sorted(tuple(r) for r in counts.collect()):  # one row for each range
+            before.append((place, total))
+            total += n
+        return rows.sparkSession.createDataFrame(before, "__cell long, __before long")
+    earlier = Window.partitionBy(*buckets).orderBy("__cell").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    before = F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before")
+    return counts.select(*buckets, "__cell", before)
+
+
 def sample_every_n_per_task(frame: DataFrame, every: int = 1000) -> DataFrame:
     """Every n-th record of each task, by a counter per task: no shuffle at all.
 

@@ -45,7 +45,17 @@ from dimweave.sources import (
     stream_lines,
     stream_table,
 )
-from dimweave.streaming import AgingDim, enrich_stream, latest_windows, parquet_sink, stream_throughput
+from dimweave.streaming import (
+    AgingDim,
+    StreamSampleEveryN,
+    StreamSampleGreedy,
+    StreamWindows,
+    enrich_stream,
+    latest_windows,
+    lookup_totals,
+    parquet_sink,
+    stream_throughput,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -456,7 +466,7 @@ def sample_greedy_query(spark, sf_dir):
 @query
 def sample_every_n_query(spark, sf_dir):
     orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    return sample_every_n(orders, "o_orderkey", 1000, ["o_orderstatus"], width=4096)
+    return sample_every_n(orders, "o_orderkey", 1000, ["o_orderstatus"])
 
 
 def _checked(spark, sf_dir) -> DataFrame:
@@ -588,6 +598,64 @@ def stream_throughput_query(spark, sf_dir):
     return windows.select(_epoch("window_start"), "records", "message")
 
 
+def _in_pieces(spark, frame: DataFrame, folder: str, order: str, files: int) -> DataFrame:
+    """A stream of a frame in `files` micro-batches, cut by the values of an integer column."""
+    low, high = frame.agg(F.min(order), F.max(order)).first()
+    step = max(1, -(-((high or 0) - (low or 0) + 1) // files))
+    for k in range(files):
+        begin = (low or 0) + k * step
+        piece = frame.where((F.col(order) >= begin) & (F.col(order) < begin + step))
+        piece.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    return stream_table(spark, f"{folder}/in", files_per_batch=1)
+
+
+def _drain(stream: DataFrame, sink, folder: str) -> None:
+    writer = stream.writeStream.foreachBatch(sink).option("checkpointLocation", f"{folder}/checkpoint")
+    writer.trigger(availableNow=True).start().awaitTermination()
+
+
+@query
+def stream_sample_every_n(spark, sf_dir):
+    """Four micro-batches; the counters of the order states go on."""
+    folder = fresh_folder(spark, "stream-every-n")
+    orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    sample = StreamSampleEveryN(f"{folder}/out", "o_orderkey", 100, ["o_orderstatus"])
+    _drain(_in_pieces(spark, orders, folder, "o_orderkey", 4), sample, folder)
+    return sample.sample(spark)
+
+
+@query
+def stream_sample_greedy_query(spark, sf_dir):
+    """Events in falling order of time, so that most records come before earlier ones."""
+    folder = fresh_folder(spark, "stream-greedy")
+    lines = fx.source_kv(spark, sf_dir).withColumn("back", -F.unix_seconds(F.col("ts").cast("timestamp")))
+    sample = StreamSampleGreedy(
+        f"{folder}/out", ["event_type"], "ts", 3_600_000, ["ts", "event_id"], late_ms=40 * 86_400_000
+    )
+    _drain(_in_pieces(spark, lines, folder, "back", 3), sample, folder)
+    sample.finish(spark)
+    return sample.sample(spark).select("event_id", "event_type", "line")
+
+
+@query
+def stream_error_counts_late(spark, sf_dir):
+    """Checked lines in falling order of time: all but the first come late, none is lost."""
+    folder = fresh_folder(spark, "stream-late")
+    checked = _checked(spark, sf_dir)
+    checked = checked.withColumn("back", -F.unix_seconds(F.col("ts").cast("timestamp")))
+    counts = StreamWindows(f"{folder}/out", late_ms=60_000)
+    _drain(_in_pieces(spark, checked, folder, "back", 3), counts, folder)
+    return counts.windows(spark).select(_epoch("window_start"), "records", "errors")
+
+
+@query
+def stream_lookup_stats(spark, sf_dir):
+    """Statistics of three micro-batches of a running enrichment."""
+    folder = fresh_folder(spark, "stream-stats")
+    _stream(spark, sf_dir, "stream-lookup-stats", 3, lambda: fx.supplier_kv(spark, sf_dir), statistics=folder)
+    return lookup_totals(spark, folder)
+
+
 @query
 def sample_greedy_by_number(spark, sf_dir):
     """Keys beyond 2 ** 53, which no double holds, next to NULLs."""

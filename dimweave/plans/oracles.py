@@ -336,4 +336,12 @@ ORACLES: dict[str, str] = {
         FROM events LEFT JOIN supplier ON s_suppkey = user_id""",
     ),
     "stream_throughput": _windows(600, "event_type"),
+    "stream_lookup_stats": """
+        SELECT 3::BIGINT AS batches, count(*) AS rows, count(s_suppkey) AS matched,
+               count(*) - count(s_suppkey) AS missed
+        FROM events LEFT JOIN supplier ON s_suppkey = user_id""",
 }
+# What a stream gives is what the table gives.
+ORACLES["stream_sample_every_n"] = ORACLES["sample_every_n"].replace("% 1000", "% 100")
+ORACLES["stream_sample_greedy"] = ORACLES["sample_greedy"]
+ORACLES["stream_error_counts_late"] = ORACLES["error_counts"]

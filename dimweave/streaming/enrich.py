@@ -5,11 +5,11 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from dimweave.operators.external import BATCH_SIZE, Overlap, external_lookup_join, fetch
+from dimweave.operators.external import BATCH_SIZE, Overlap, fetch
 from dimweave.operators.freshness import resolve_ttl, staleness
 from dimweave.operators.lookup import Lookup, LookupOptions, as_lookup, lookup_join
 from dimweave.session import configure, fresh_folder
@@ -151,6 +151,7 @@ def enrich_stream(
     refresh: str | None = None,
     negative_cache: bool | None = None,
     clock: Callable[[], float] = time.time,
+    statistics: str | None = None,
     **options,
 ) -> DataStreamWriter:
     """Stream writer that enriches each micro-batch; call `.start()` on it.
@@ -167,6 +168,9 @@ def enrich_stream(
     `ttl` or `refresh` is how long an answer of the store is reused (`Remembered`, in a folder
     beside the checkpoint), counted for each key from its fetch; misses are reused as well unless
     `negative_cache` is False.  For a function that loads a dimension it is the age of its snapshot.
+
+    `statistics` is a folder for the lookup statistics of each micro-batch, one row of lines looked
+    up, found and missed (`lookup_totals`), counted while the sink reads the lines.
     """
     if (dim is None) == (open_store is None):
         raise ValueError("give either a dimension or a store")
@@ -185,17 +189,24 @@ def enrich_stream(
     def ask(keys: DataFrame) -> DataFrame:
         return fetch(keys, open_store, output=lookup.stored, dim_kind=lookup.dim_kind, **asking)
 
-    def enriched(batch: DataFrame, batch_id: int) -> DataFrame:
+    def enriched(batch: DataFrame, batch_id: int, seen) -> DataFrame:
         if open_store is None:
-            return lookup_join(batch, aging.current(), lookup, dedup=dedup)
-        if kept is None:
-            return external_lookup_join(batch, open_store, lookup, distinct_keys=True, **asking)
-        found = kept.answers(lookup.keys(batch), ask, lookup.stored, batch_id)
-        return lookup_join(batch, found, lookup)
+            return lookup_join(batch, aging.current(), lookup, dedup=dedup, seen=seen)
+        keys = lookup.keys(batch)
+        found = ask(keys) if kept is None else kept.answers(keys, ask, lookup.stored, batch_id)
+        return lookup_join(batch, found, lookup, seen=seen)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        configure(batch.sparkSession)
-        sink(enriched(batch, batch_id), batch_id)
+        spark = configure(batch.sparkSession)
+        seen = None
+        if statistics is not None:
+            seen = Observation(), Observation()
+        sink(enriched(batch, batch_id, seen), batch_id)
+        if seen is not None:
+            rows, matched = seen[0].get.get("rows", 0), seen[1].get.get("matched", 0)
+            counts = [(rows, matched, rows - matched)]
+            told = spark.createDataFrame(counts, "rows long, matched long, missed long")
+            told.coalesce(1).write.mode("overwrite").parquet(f"{statistics}/batch={batch_id}")
 
     writer = lines.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     if name:
@@ -203,3 +214,10 @@ def enrich_stream(
     if trigger is None:
         return writer.trigger(availableNow=True)
     return writer.trigger(processingTime=trigger)
+
+
+def lookup_totals(spark: SparkSession, statistics: str) -> DataFrame:
+    """Lines looked up, found and missed by all micro-batches that have ended."""
+    told = spark.read.parquet(statistics)
+    names = ("rows", "matched", "missed")
+    return told.agg(F.count(F.lit(1)).alias("batches"), *[F.sum(n).alias(n) for n in names])

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from dimweave.operators.quality import error_counts, throughput
@@ -52,8 +52,51 @@ def latest_windows(written: DataFrame, window: str = "window_start") -> DataFram
     return written.groupBy(window).agg(last).select(window, "__last.*")
 
 
+class StreamTotals(StreamingQueryListener):
+    """Totals of the streams of a session from the time it is added (`spark.streams.addListener`).
+
+    `of(query)` gives micro-batches, input rows and rows dropped by watermarks, over all reports and
+    not only the last hundred that a query holds, and after the query has ended.  A micro-batch that
+    is reported again counts once.
+    """
+
+    def __init__(self) -> None:
+        self._seen: dict[str, dict[int, tuple[int, int]]] = {}
+        self._sums: dict[str, tuple[int, int, int]] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        dropped = sum(s.numRowsDroppedByWatermark for s in progress.stateOperators)
+        query, batch = str(progress.id), progress.batchId
+        held = self._seen.setdefault(query, {})
+        rows, lost = held.get(batch, (0, 0))
+        now = max(rows, progress.numInputRows), max(lost, dropped)
+        held[batch] = now
+        batches, all_rows, all_lost = self._sums.get(query, (0, 0, 0))
+        self._sums[query] = (
+            batches + (rows == lost == 0 and now != (0, 0)), all_rows + now[0] - rows,
+            all_lost + now[1] - lost,
+        )
+        for old in [b for b in held if b < batch - 1]:  # cannot be reported again
+            del held[old]
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def of(self, query: StreamingQuery) -> dict[str, int]:
+        batches, rows, dropped = self._sums.get(str(query.id), (0, 0, 0))
+        return {"batches": batches, "rows": rows, "dropped": dropped}
+
+
 def dropped_rows(query: StreamingQuery) -> int:
-    """Rows the watermark has dropped, over the progress reports that the query still holds."""
+    """Rows the watermark has dropped, over the progress reports that the query still holds;
+    `StreamTotals` counts them all."""
     return sum(
         state.get("numRowsDroppedByWatermark", 0)
         for progress in query.recentProgress

@@ -148,3 +148,34 @@ def test_greedy_large_numbers_null_keys_and_null_times(spark):
     got = sample_greedy(frame, ["k"], "ts", 3000, ["ts", "i"]).collect()
     assert sorted(r.i for r in got) == [0, 2, 3, 5, 6, 8, 20, 22]
     assert {r.k for r in got} == {big + 1, big + 2, None}
+
+
+@pytest.mark.parametrize("buckets", [[], ["k"]])
+def test_every_n_by_ranges_of_hashed_numbers(spark, buckets):
+    """Orders all over the long integers, a third of the rows in one bucket, some without one."""
+    frame = spark.range(0, 6000, 1, 5).select(
+        F.xxhash64("id").alias("id"),
+        F.when(F.col("id") % 3 == 0, "a").when(F.col("id") % 7 != 0, (F.col("id") % 5).cast("string")).alias("k"),
+        "id",
+    ).toDF("id", "k", "number")
+    rows, want = {}, []
+    for r in sorted(frame.collect()):
+        rows.setdefault(r["k"] if buckets else None, []).append(r["id"])
+    for ids in rows.values():
+        want += ids[9::10]
+    sampled = sample_every_n(frame, "id", 10, buckets)
+    assert sorted(r["id"] for r in sampled.collect()) == sorted(want)
+    if not buckets:
+        plan = sampled._jdf.queryExecution().optimizedPlan().toString()
+        assert "Window [" in plan and "windowspecdefinition(__cell" in plan
+        assert not [p for p in plan.splitlines() if "windowspecdefinition(id" in p]
+
+
+def test_every_n_goes_on_from_counts(spark):
+    frame = spark.createDataFrame([(i, "ab"[i % 2]) for i in range(40)], "id long, k string")
+    counted = spark.createDataFrame([("a", 7), ("z", 3)], "k string, counted long")
+    got = sample_every_n(frame, "id", 10, ["k"], counted=counted).collect()
+    assert sorted(tuple(r) for r in got) == [(4, "a"), (19, "b"), (24, "a"), (39, "b")]
+    alone = sample_every_n(frame, "id", 10, counted=spark.createDataFrame([(5,)], "counted long"))
+    assert sorted(r["id"] for r in alone.collect()) == [4, 14, 24, 34]
+    assert sample_every_n(frame.where("false"), "id", 10).collect() == []

@@ -8,11 +8,24 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from dimweave import Lookup, lookup_join
-from dimweave.operators import LookupOptions, check_lines, error_counts, sample_greedy, throughput
+from dimweave.operators import (
+    LookupOptions,
+    check_lines,
+    error_counts,
+    sample_every_n,
+    sample_greedy,
+    throughput,
+)
 from dimweave.sources import number_stream, read_lines, stream_lines, stream_table
 from dimweave.streaming import (
     AgingDim,
+    StreamSampleEveryN,
+    StreamSampleGreedy,
+    StreamTotals,
+    StreamWindows,
+    dropped_rows,
     enrich_stream,
+    lookup_totals,
     parquet_sink,
     stream_error_counts,
     stream_sample_greedy,
@@ -275,3 +288,122 @@ def test_options_of_a_stream(spark, folders, tmp_path):
     with open(f"{path}/asked.txt") as f:
         assert sorted(f.read().split()) == ["k1", "k2"]
     assert spark.read.parquet(folders["out"]).count() == 4
+
+
+def feed(stream, sink, folders):
+    writer = stream.writeStream.foreachBatch(sink)
+    writer = writer.option("checkpointLocation", folders["checkpoint"])
+    writer.trigger(availableNow=True).start().awaitTermination()
+
+
+def test_every_n_of_a_stream_and_after_a_restart(spark, folders):
+    """Two micro-batches, a restart with a new sink, then one repeated and two more."""
+    frames = []
+    stream = stream_table
+    for part in range(4):
+        ids = spark.range(part * 100, part * 100 + 95).withColumn("k", F.col("id") % 3)
+        frames.append(ids)
+        ids.coalesce(1).write.mode("append").parquet(folders["in"])
+        if part % 2:
+            sink = StreamSampleEveryN(folders["out"], "id", 10, ["k"])
+            feed(stream(spark, folders["in"], 1), sink, folders)
+    sink(frames[3], 3)  # as after a failure
+    whole = frames[0].union(frames[1]).union(frames[2]).union(frames[3])
+    want = sample_every_n(whole, "id", 10, ["k"])
+    got = sink.sample(spark).collect()
+    assert len(got) == 36 and sorted(map(tuple, got)) == sorted(map(tuple, want.collect()))
+
+
+@pytest.mark.parametrize("late_ms", [20_000, 300])
+def test_greedy_sample_of_records(spark, folders, late_ms):
+    """Records out of order over three micro-batches.  With enough patience nothing is late; else
+    what was not late is sampled as if it were all there is."""
+    rows = [((t * 37) % 5000 + 2500 * part, "ab"[t % 2]) for part in range(3) for t in range(90)]
+    frames = [events(spark, folders, rows[n : n + 90]) for n in (0, 90, 180)]
+    sink = StreamSampleGreedy(folders["out"], ["k"], "ts", 400, ["ts", "i"], late_ms=late_ms)
+    stream = stream_table(spark, folders["in"], files_per_batch=1)
+    feed(stream, sink, folders)
+    sink.finish(spark)
+    late = sink.late(spark)
+    whole = frames[0].union(frames[1]).union(frames[2])
+    assert (late.count() > 0) == (late_ms == 300)
+    on_time = whole.exceptAll(late.select(*whole.columns))
+    want = sample_greedy(on_time, ["k"], "ts", 400, ["ts", "i"])
+    got = sink.sample(spark).select(*whole.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_greedy_sample_sets_records_without_time_aside(spark, folders):
+    frame = spark.createDataFrame(
+        [(None, "a", 1), (START, "a", 2), (START, None, 3), (START, None, 4)], "ts timestamp, k string, i int"
+    )
+    sink = StreamSampleGreedy(folders["out"], ["k"], "ts", 1000, ["ts", "i"], late_ms=0)
+    sink(frame, 0)
+    sink(frame.where("false"), 1)
+    sink.finish(spark)
+    assert sorted(r["i"] for r in sink.sample(spark).collect()) == [2, 3]
+    assert [r["i"] for r in sink.late(spark).collect()] == [1]
+
+
+def test_windows_are_corrected_by_late_records(spark, folders):
+    frames = [
+        events(spark, folders, [(t * 700 + start, "a") for t in range(30)])
+        for start in (60_000, 0, 40_000)
+    ]
+
+    def check(f):
+        return check_lines(f, "mykey", 1000, 30, F.lit(START))
+
+    sink = StreamWindows(folders["out"], late_ms=5_000)
+    for n, frame in enumerate([*frames, frames[2]]):
+        sink(check(frame), min(n, 2))  # the last one again, as after a failure
+    whole = check(frames[0].union(frames[1]).union(frames[2]))
+    assert sorted(map(tuple, sink.windows(spark).collect())) == sorted(
+        map(tuple, error_counts(whole).collect())
+    )
+    # newest is 80.3 s; windows that end at 75.3 s or before are closed for later micro-batches
+    late = sorted(millis(r["ts"]) for r in sink.late(spark).collect())
+    assert late == sorted([t * 700 for t in range(30)] + [t * 700 + 40_000 for t in range(30)])
+
+
+def millis(ts):
+    return round((ts.replace(tzinfo=UTC) - START).total_seconds() * 1000)
+
+
+def test_lookup_statistics_of_a_stream(spark, folders, tmp_path):
+    for n in range(3):
+        add_lines(folders, f"{n}.txt", [f"u={i}" for i in range(n + 1)] + ["junk"])
+    told = str(tmp_path / "told")
+    for how, rows in (("left", 6), ("inner", 6)):
+        enrich_stream(
+            stream_lines(spark, folders["in"], 1), lambda: dim_of(spark, k1="v=1"),
+            parquet_sink(folders["out"] + how), folders["checkpoint"] + how, trigger=None,
+            statistics=told + how, left_field="u", key_expr="k%s", how=how,
+        ).start().awaitTermination()
+        assert lookup_totals(spark, told + how).first().asDict() == {
+            "batches": 3, "rows": rows, "matched": 2, "missed": 4,
+        }
+
+
+def test_totals_beyond_the_last_reports(spark, folders, conf):
+    conf("spark.sql.streaming.numRecentProgressUpdates", "1")
+    for start in (60_000, 0, 50_000):
+        events(spark, folders, [(t * 700 + start, "a") for t in range(30)])
+        time.sleep(0.05)
+    totals = StreamTotals()
+    spark.streams.addListener(totals)
+    try:
+        stream = stream_throughput(
+            stream_table(spark, folders["in"], 1), order=("ts", "i"), late="0 seconds"
+        )
+        writer = stream.writeStream.format("parquet").option("checkpointLocation", folders["checkpoint"])
+        query = writer.trigger(availableNow=True).start(folders["out"])
+        query.awaitTermination()
+        until = time.monotonic() + 30
+        while totals.of(query)["rows"] < 90 and time.monotonic() < until:
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(totals)
+    assert totals.of(query)["rows"] == 90
+    # all windows of the second file and those up to 70 s of the third were closed
+    assert totals.of(query)["dropped"] >= 3 > dropped_rows(query)
