@@ -9,7 +9,9 @@ element any text is a surge, linked or not, and lines outside count nothing.  A
 to surge stays if it lies in the element around a surging block, so a removed advert cuts nothing
 off.  A page in which nothing surges keeps the passage with the most text.
 
-Names of classes say less than tags: `has-sidebar` is the name of a whole page as well.  So the
+Elements that are not block elements leave the block around them whole, also where they are removed.
+Names of classes say less than tags: `has-sidebar` is the name of a whole page as well.  Those of
+headings say nothing, nor do ids inside an article, which are made from headings.  So the
 lines of forms and of elements with marked names are held back, not dropped.  Where those of one
 kind of marking hold over half of the unlinked text of the page (of the article, if there is one),
 they are the body and come back, without the marked elements within them unless the same holds
@@ -49,11 +51,17 @@ ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = set(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label map mark meter "
-    "nobr output progress q rp rt ruby s samp small span strike strong sub sup time tt u var wbr"
-    .split()
+# Any other element is inline, as in browsers.
+BLOCKS = set(
+    "address area article aside base blockquote body br caption center col colgroup dd details dialog "
+    "dir div dl dt embed fieldset figcaption figure footer form frame frameset h1 h2 h3 h4 h5 h6 head "
+    "header hgroup hr html input legend li link listing main menu meta nav noframes ol optgroup option "
+    "p param plaintext pre search section select source summary table tbody td tfoot th thead tr track "
+    "ul xmp".split()
 )
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+# removed with their content, without breaking the block around them
+INLINE_ASIDE = set("button noscript template svg object canvas datalist audio video applet".split())
 ASIDE_TAGS = set(
     "nav header footer aside menu dialog select button noscript template svg object canvas "
     "datalist audio video applet".split()
@@ -84,18 +92,24 @@ def attributes(source: str) -> dict[str, str]:
     } if source.strip(" /") else {}
 
 
-def apart(name: str, attrs: dict[str, str]) -> str | None:
+def apart(name: str, attrs: dict[str, str], content: bool = False) -> str | None:
     """Why an element is no part of the article: `comments`, `aside`, None if it may be one, or
-    what marks it, by which it is held back."""
+    what marks it, by which it is held back.
+
+    The ids of headings are made from their texts, so only hiding counts there; within an article
+    (`content`) the ids of other elements say nothing but that they hold comments."""
     if name in ASIDE_TAGS:
         return "aside"
     if not attrs:
         return "marked" if name == "form" else None
-    words = {
-        w.lower() for a in ("class", "id") if a in attrs for w in PART.findall(attrs[a])
-    }
-    if words & COMMENTS:
+    named, words = set(), set()
+    if name not in HEADINGS:
+        named = {w.lower() for w in PART.findall(attrs.get("id", ""))}
+        words = {w.lower() for w in PART.findall(attrs.get("class", ""))}
+    if (words | named) & COMMENTS:
         return "comments"
+    if not content:
+        words |= named
     if name in ("html", "body") or name in CONTENT_TAGS:
         return None
     found = words & ASIDE_WORDS
@@ -179,7 +193,7 @@ class Lines:
             self._pop()
         content = name in CONTENT_TAGS and self.held > ASIDE
         block = self.block()
-        if name not in INLINE:
+        if name in BLOCKS:
             self.parents.append(block)
             block = len(self.parents) - 1
         self.elements.append(Element(name, block, self.held, content))
@@ -197,7 +211,8 @@ class Lines:
         last = self.elements.pop()
         self.opened[last.name] -= 1
         if last.held != self.held:
-            self.gap()
+            if last.name not in INLINE_ASIDE:
+                self.gap()
             self.held = last.held
         self.content -= last.content
 
@@ -232,13 +247,13 @@ def lines_of(page: str) -> Lines:
             lines.text(page[at : token.start()])
         at = token.end()
         if not token["name"]:
-            if token["raw"]:
+            if token["raw"] and token["raw"].lower() in BLOCKS:
                 lines.flush()
             continue
         name, end = token["name"].lower(), token["end"] == "/"
         if name == "a":
             lines.links = 0 if end else 1
-        elif name not in INLINE:
+        elif name in BLOCKS:
             lines.flush()
             lines.links = 0
         if end:
@@ -249,12 +264,15 @@ def lines_of(page: str) -> Lines:
         # an aside that was never closed ends where the article begins
         if name in CONTENT_TAGS and lines.held not in (NO_ASIDE, COMMENT) and not lines.found:
             lines.release()
-        why = apart(name, attributes(token["attrs"])) if lines.held > ASIDE else None
+        why = None
+        if lines.held > ASIDE:
+            why = apart(name, attributes(token["attrs"]), lines.content > 0)
         if why:
-            lines.gap()
+            if name not in INLINE_ASIDE:
+                lines.gap()
             if token["attrs"].endswith("/"):
                 continue
-        if why or name not in INLINE or lines.held != NO_ASIDE:
+        if why or name in BLOCKS or lines.held != NO_ASIDE:
             lines.begin(name, why)
     if at < len(page) and lines.held > ASIDE:
         lines.text(page[at:])

@@ -104,3 +104,27 @@ def test_frame(table):
     got = sorted(((r.page_id or 0, r.url, len(r.text)) for r in found), key=str)
     assert got == [(0, None, 0), (1, "u", 1), (1, "u", 1), (2, "v", 799_999)]
     assert extract(table([], schema)).count() == 0
+
+
+LONG = "A sentence that is long enough to stand for the body of a page by itself, and then some. "
+
+
+@pytest.mark.parametrize(
+    ("piece", "lines"),
+    [
+        ("<h2 id='search'>Search methods</h2>", ["Search methods"]),
+        ("<h2 class='header alert'>Alert levels</h2>", ["Alert levels"]),
+        ("<h3 id='comments'>Comments on the text</h3>", ["Comments on the text"]),
+        ("<div id='related-work'><p>Related work</p></div>", ["Related work"]),
+        ("<section id='social'><p>Social history</p></section>", ["Social history"]),
+        ("<p>a <custom-el>b</custom-el> c</p>", ["a b c"]),
+        ("<p>a<svg><text>x</text></svg> b</p>", ["a b"]),
+        ("<p>a <button>press</button>b <script>x()</script>c<style>y</style></p>", ["a b c"]),
+        ("<div id='comments'><p>First!</p></div>", []),
+        ("<div class='advert'><p>Buy</p></div>", []),
+        ("<nav id='x'><p>Menu</p></nav>", []),
+    ],
+)
+def test_pieces_of_an_article(piece, lines):
+    page = f"<html><body><nav>Home</nav><article><p>{LONG}</p>{piece}<p>{LONG}</p></article></body></html>"
+    assert main_text(page).split("\n") == [LONG.strip(), *lines, LONG.strip()]
