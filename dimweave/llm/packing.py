@@ -7,7 +7,8 @@ remaining capacities finds the tightest open window that still takes the piece.
 Shards are a hash of the piece's place, so a shard is the same on every run, holds about
 `SHARD_PIECES` pieces whatever the data, and ends in one or two windows that are not full.
 
-Null and empty texts are the end token alone.  Repeated rows are packed each on their own.  An
+Null and empty texts are the end token alone.  Texts of any length are taken whole, runs of millions
+of equal characters included.  Repeated rows are packed each on their own.  An
 empty table gives no rows.  Only the id and the text are read, so other columns cannot clash.
 """
 
@@ -66,6 +67,22 @@ def encoder(path: str):
     )
 
 
+@lru_cache(maxsize=2)
+def plain_encoder(path: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+def token_ids(text: str | None, path: str) -> list[int]:
+    """The ids of a text.  tiktoken's pattern engine gives up on white space that runs over some
+    hundred thousand characters; such a text goes to the `tokenizers` library."""
+    try:
+        return encoder(path).encode(text or "", allowed_special="all")
+    except ValueError:
+        return plain_encoder(path).encode(text, add_special_tokens=False).ids
+
+
 def byte_letters() -> dict[str, int]:
     """The letter by which byte-level vocabularies write each byte: printable ones stand for
     themselves, the others follow from U+0100 on."""
@@ -95,11 +112,10 @@ def token_pieces(
     kind = docs.schema[id_col].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
-        encode = encoder(path).encode
         rows, held = [], 0
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.array([*encode(text.as_py() or "", allowed_special="all"), end_id], dtype="<u4")
+                ids = np.array([*token_ids(text.as_py(), path), end_id], dtype="<u4")
                 for start in range(0, len(ids), capacity):
                     piece = ids[start : start + capacity]
                     rows.append((doc, start, len(piece), len(ids), piece.tobytes()))

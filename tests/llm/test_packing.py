@@ -6,7 +6,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from dimweave.llm.packing import Windows, default_tokenizer, encoder, pack, place, sequences
-from dimweave.llm.packing import token_pieces
+from dimweave.llm.packing import token_ids, token_pieces
 
 
 def test_tightest_window():
@@ -88,3 +88,18 @@ def test_sequences(docs):
     done = sequences(placed).collect()
     assert sum(len(s.ids) for s in done) == 4 * pieces.agg({"length": "sum"}).first()[0]
     assert max(len(s.ids) for s in done) <= 4 * 64
+
+
+@pytest.mark.parametrize("letter", [" ", "\n", "\t", "\u3000", "a", "1", "\u4e2d", " \n"])
+def test_two_million_of_a_letter(letter):
+    """The pattern engine of the fast encoder gives up on long white space; the ids are the same."""
+    text = "x " + letter * (2_000_000 // len(letter)) + " y"
+    path = default_tokenizer()
+    want = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+    assert token_ids(text, path) == want
+
+
+def test_long_white_space_among_others(docs):
+    rows = [(1, " " * 1_000_000 + "end"), (2, "short"), (3, "\n" * 1_000_000), (4, None)]
+    placed = pack(docs(rows)).collect()
+    check(rows, placed)
