@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from dimweave.functions.fields import floor_to, micros
 from dimweave.operators.lookup import _DIM, _KEY, Lookup, LookupOptions, as_lookup, join_unique
-from dimweave.session import configure
+from dimweave.session import configure, fresh_folder
 
 # Seconds a value may be reused when only its update rhythm is known.
 REFRESH_SECONDS = {"minute": 15, "hour": 300, "day": 1800, "random": None, "always": None}
@@ -115,6 +115,65 @@ def _as_of(
     return points.withColumn(_SEEN, seen).where("__turn = 2").select(_KEY, _AT, _SEEN)
 
 
+def as_of_by_range(wanted: DataFrame, versions: DataFrame) -> DataFrame:
+    """For each distinct (key, time) of `wanted` the version current at that time, if any.
+
+    Versions and wanted times are sorted over ranges.  A range starts in the middle of a key's history
+    at most once, and then takes the last version of that key from the ranges before, of which one
+    row each is looked at."""
+    place = F.col(_SEEN)[_DIM]["text"]
+    one = versions.groupBy(_KEY, _AT).agg(F.max_by(_SEEN, F.struct(place)).alias(_SEEN))
+    nothing = F.lit(None).cast(one.schema[_SEEN].dataType)
+    rows = one.withColumn("__turn", F.lit(0)).unionByName(
+        wanted.select(_KEY, _AT, nothing.alias(_SEEN), F.lit(1).alias("__turn"))
+    )
+    spark, path = rows.sparkSession, fresh_folder(wanted.sparkSession, "as-of")
+    # Written, because another run might draw the ranges elsewhere.
+    placed = rows.repartitionByRange(_KEY, _AT, "__turn").withColumn("__range", F.spark_partition_id())
+    placed.write.parquet(path)
+    placed = spark.read.schema(placed.schema).parquet(path)
+
+    ends = placed.groupBy("__range").agg(F.min(_KEY).alias("__low"), F.max(_KEY).alias("__top"))
+    top = ends.select(F.col("__range").alias("__r"), F.col("__top"))
+    same = (F.col("__range") == F.col("__r")) & (F.col(_KEY) == F.col("__top"))
+    last = (
+        placed.where("__turn = 0").join(top, same).groupBy("__r", "__top")
+        .agg(F.max_by(_SEEN, _AT).alias("__last"))
+    )
+    earlier = (F.col("__low") == F.col("__top")) & (F.col("__r") < F.col("__range"))
+    brought = (
+        ends.select("__range", "__low").join(last, earlier)
+        .groupBy(F.col("__range").alias("__into"), "__low")
+        .agg(F.max_by("__last", "__r").alias("__last"))
+    )
+    before = Window.partitionBy("__range", _KEY).orderBy(_AT, "__turn").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    own = placed.withColumn(_SEEN, F.last(_SEEN, ignorenulls=True).over(before)).where("__turn = 1")
+    into = (F.col("__range") == F.col("__into")) & (F.col(_KEY) == F.col("__low"))
+    return own.join(brought, into, "left").select(
+        _KEY, _AT, F.coalesce(_SEEN, "__last").alias(_SEEN)
+    )
+
+
+def _found_by_range(lines, history, lookup, at, width, seconds, negative_cache) -> DataFrame:
+    """The lines with their entry, from `as_of_by_range` at the starts of intervals, the lines' own
+    times, or both."""
+    start = floor_to(at, width)
+    found = lookup.keyed(lines).withColumn(_AT, at).withColumn(_CELL, start)
+    seen = F.lit(None)
+    if seconds is not None:
+        cells = as_of_by_range(lookup.keys(lines, **{_AT: start}), history)
+        cells = cells.withColumnsRenamed({_AT: _CELL, _SEEN: "__at_start"})
+        found = join_unique(found, cells, [_KEY, _CELL], "left")
+        seen = F.col("__at_start")[_DIM]
+    if seconds is None or not negative_cache:
+        times = as_of_by_range(lookup.keys(lines, **{_AT: at}), history)
+        found = join_unique(found, times, [_KEY, _AT], "left")
+        seen = F.coalesce(seen, F.col(_SEEN)[_DIM]) if seconds is not None else F.col(_SEEN)[_DIM]
+    return found.withColumn(_DIM, seen).drop(_SEEN, _AT, _CELL, "__at_start")
+
+
 def fresh_lookup_join(
     lines: DataFrame,
     versions: DataFrame,
@@ -125,6 +184,7 @@ def fresh_lookup_join(
     refresh: str | None = None,
     negative_cache: bool | None = None,
     grid: int = 60,
+    by_range: bool = False,
     **options,
 ) -> DataFrame:
     """Enrich each line with the dimension value its time and the staleness bound allow.
@@ -135,6 +195,10 @@ def fresh_lookup_join(
     the versions that one key brings within it are put in order by one task.  A NULL value in
     `versions` deletes the key from that time on.  `(dim_key, effective_ts)` should be unique.
 
+    With `by_range` the versions and times of a key are dealt out by ranges of (key, time), and each
+    range gets the version that was current before it, so that not even the history of one key has to
+    fit in a task; it costs writing keys, times and versions once.
+
     Of `LookupOptions` the staleness bound and negative caching (on by default) count where they are
     not given here.
     """
@@ -147,6 +211,11 @@ def fresh_lookup_join(
         _KEY, micros(F.col("effective_ts")).alias(_AT), F.struct(_DIM).alias(_SEEN)
     )
     at = micros(F.col(ts))
+    if by_range:
+        found = _found_by_range(lines, history, lookup, at, width, seconds, negative_cache)
+        if lookup.miss == "drop":
+            found = found.where(F.col(_DIM).isNotNull())
+        return lookup.emit(found)
     cells = lookup.keys(lines, **{_CELL: floor_to(at, width)})
     carried = _carried(cells, history, width)
     keyed = lookup.keyed(lines).withColumn(_AT, at).withColumn(_CELL, floor_to(at, width))

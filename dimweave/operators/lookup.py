@@ -264,9 +264,10 @@ def one_per_key(dim: DataFrame, stored: str, unique: str) -> DataFrame:
 
 def lookup_join(
     lines: DataFrame,
-    dim: DataFrame,
+    dim: DataFrame | None,
     lookup: Lookup | LookupOptions | None = None,
     *,
+    entries: DataFrame | None = None,
     dedup: bool = False,
     unique: str | None = None,
     seen: tuple[Observation, Observation] | None = None,
@@ -284,6 +285,9 @@ def lookup_join(
     `unique` settles keys that repeat: `fail` (the job ends), `latest` (by a column `updated` of the
     dimension, ties to the greatest value).  Without it the caller answers for unique keys.
 
+    `entries` takes the place of `dim`: what `lookup.dimension` made of one before, perhaps stored in
+    buckets by key.  The distinct keys of the lines are then brought to it (as with `dedup`).
+
     `seen` observes the lines that are looked up (`rows`) and those that find a value (`matched`).
     """
     configure(lines.sparkSession)
@@ -291,8 +295,8 @@ def lookup_join(
     keyed = lookup.keyed(lines)
     if unique is not None:
         dim = one_per_key(dim, lookup.stored, unique)
-    fields = lookup.dimension(dim)
-    if dedup:
+    fields = lookup.dimension(dim) if entries is None else entries
+    if dedup or entries is not None:
         fields = lookup.keys(lines).join(fields, _KEY)
     if seen is not None:
         keyed = keyed.observe(seen[0], F.count(F.lit(1)).alias("rows"))

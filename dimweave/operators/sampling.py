@@ -2,8 +2,10 @@
 
 The greedy sample is a chain: each emitted record decides which one may come next.  It is
 computed without gathering a key in one task.  Time is cut into segments of several intervals;
-each (key, segment) is summed up as a map from "earliest allowed time" to "last emitted time";
-those maps are followed segment by segment, and each segment then emits on its own.
+each (key, segment) is summed up as a map from "earliest allowed time" to "last emitted time".
+Maps of `FAN` consecutive segments are composed into one, and so on up a tree, until a key has no
+more than `FAN` of them; these are followed one by one, then those below each of them, down to the
+segments, and each segment emits on its own.  So a task sees at most `FAN` maps of a key.
 """
 
 from __future__ import annotations
@@ -24,6 +26,9 @@ _RUN = ("first", "last", "leave", "step")
 _NEVER = np.iinfo(np.int64).min // 2
 MIN_SEGMENT_MS = 600_000
 MIN_SEGMENT_INTERVALS = 8
+FAN = 256
+_LEAD = np.iinfo(np.int64).min  # sorts before any segment
+_EVER = np.iinfo(np.int64).max // 2
 
 
 def _segment_width(interval_ms: int) -> int:
@@ -61,13 +66,88 @@ def segment_runs(times: np.ndarray, start: int, interval: int) -> dict[str, np.n
     return {"first": entries[first], "last": entries[last], "leave": leave[first], "step": step}
 
 
-def follow_segments(runs: dict[str, np.ndarray], interval: int) -> dict[str, np.ndarray]:
+def compose_segments(runs: dict[str, np.ndarray], interval: int) -> dict[str, np.ndarray]:
+    """The ordered runs of consecutive segments as runs of all of them together."""
+    _, starts = np.unique(runs[_SEGMENT], return_index=True)
+    ends = [*starts[1:], len(runs[_SEGMENT])]
+    parts = [
+        tuple(runs[c][a:b] for c in _RUN) for a, b in zip(starts.tolist(), ends, strict=True)
+    ]
+    if len(parts) == 1:
+        return {c: runs[c] for c in _RUN}
+    exits: dict[tuple[int, int], int] = {}
+
+    def after(emitted: int, k: int) -> int:
+        """The time emitted last after segments k and on, if `emitted` was before them."""
+        if (emitted, k) in exits:
+            return exits[emitted, k]
+        now = emitted
+        for first, last, leave, step in parts[k:]:
+            at = np.searchsorted(last, now + interval, side="left")
+            if at < len(last):
+                now = int(leave[at] + step[at] * max(0, now + interval - first[at]))
+        exits[emitted, k] = now
+        return now
+
+    found = []
+    for row in zip(*parts[0], strict=True):
+        first, last, leave, step = map(int, row)
+        todo = [(first, last, leave, step, 1)]
+        while todo:
+            low, high, out, step, k = todo.pop()
+            if not step or low == high:
+                found.append((low, high, after(out, k), 0))
+            elif k == len(parts):
+                found.append((low, high, out, 1))
+            else:
+                todo += _through(low, high, out, interval, parts[k], k + 1)
+    # A time after the first segment's entries enters the next one at its first record.
+    found.sort()
+    found.append((found[-1][1] + 1, _EVER, after(_NEVER, 1), 0))
+    merged = [found[0]]
+    for low, high, out, step in found[1:]:
+        if not step and not merged[-1][3] and out == merged[-1][2]:
+            merged[-1] = (merged[-1][0], high, out, 0)
+        else:
+            merged.append((low, high, out, step))
+    columns = np.array(merged, dtype=np.int64).T
+    return dict(zip(_RUN, columns, strict=True))
+
+
+def _through(low: int, high: int, out: int, interval: int, part: tuple, k: int) -> list[tuple]:
+    """Pieces of a run whose exits move as its entries do, on the far side of one more segment."""
+    first, last, leave, step = part
+    begin = now = out + interval
+    end = begin + high - low
+    at = int(np.searchsorted(last, now, side="left"))
+    pieces = []
+
+    def piece(upto: int, emitted: int, slope: int) -> None:
+        nonlocal now
+        pieces.append((low + now - begin, low + upto - begin, emitted, slope, k))
+        now = upto + 1
+
+    while now <= end:
+        if at == len(last):
+            piece(end, now - interval, 1)
+            break
+        if now <= first[at]:
+            piece(min(int(first[at]), end), int(leave[at]), 0)
+        if now <= min(int(last[at]), end):
+            shift = int(step[at]) * (now - int(first[at]))
+            piece(min(int(last[at]), end), int(leave[at]) + shift, int(step[at]))
+        at += 1
+    return pieces
+
+
+def follow_segments(
+    runs: dict[str, np.ndarray], interval: int, emitted: int = _NEVER
+) -> dict[str, np.ndarray]:
     """Last emitted time before each segment, from the ordered runs of one key."""
     segments, starts = np.unique(runs[_SEGMENT], return_index=True)
     first, last, leave, step = (runs[c] for c in ("first", "last", "leave", "step"))
     ends = np.append(starts[1:], len(first))
     entering = np.empty(len(segments), dtype=np.int64)
-    emitted = _NEVER
     for i, (lo, hi) in enumerate(zip(starts, ends, strict=True)):
         entering[i] = emitted
         allowed = emitted + interval
@@ -117,16 +197,40 @@ def sample_greedy(
         return segment_runs(times, int(times[0] - times[0] % width), interval_ms)
 
     def follow(group: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-        return follow_segments(group, interval_ms)
+        if group[_SEGMENT][0] != _LEAD:
+            return follow_segments(group, interval_ms)
+        emitted = int(group["first"][0])
+        return follow_segments({c: v[1:] for c, v in group.items()}, interval_ms, emitted)
+
+    def compose(group: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        return compose_segments(group, interval_ms)
 
     def emit(group: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
         # The time emitted last sorts before the times of the segment itself.
         return {_T: emit_segment(group[_T][1:], int(group[_T][0]), interval_ms)}
 
     summary = map_groups(ticks, [*keys, _SEGMENT], [_T], runs, [longs[c] for c in _RUN])
-    entering = map_groups(
-        summary, keys, [_SEGMENT, "first"], follow, [longs[_SEGMENT], longs[_T]]
-    )
+    # A segment's name is its start; a composed one has that of the first it may hold.
+    levels, span = [summary], width
+    least, most = ticks.agg(F.min(_T), F.max(_T)).first()  # one row
+    while least is not None and (most - least) // span >= FAN:
+        span *= FAN
+        above = floor_to(F.col(_SEGMENT), span)
+        levels[-1] = _written(levels[-1].withColumn("__above", above))
+        higher = map_groups(
+            levels[-1], [*keys, "__above"], [_SEGMENT, "first"], compose, [longs[c] for c in _RUN]
+        )
+        levels.append(higher.withColumnRenamed("__above", _SEGMENT))
+    out = [longs[_SEGMENT], longs[_T]]
+    entering = map_groups(levels.pop(), keys, [_SEGMENT, "first"], follow, out)
+    while levels:
+        lead = entering.select(
+            *keys, F.col(_SEGMENT).alias("__above"), F.lit(_LEAD).alias(_SEGMENT),
+            F.col(_T).alias("first"), *[F.lit(0).cast("long").alias(c) for c in _RUN[1:]],
+        )
+        led = levels.pop().unionByName(lead)
+        entering = map_groups(led, [*keys, "__above"], [_SEGMENT, "first"], follow, out)
+        entering = entering.drop("__above")
     chosen = map_groups(
         ticks.unionByName(entering), [*keys, _SEGMENT], [_T], emit, [longs[_T]]
     )
@@ -220,16 +324,18 @@ def sample_every_n(
     return _semi_join(frame, chosen, [*buckets, order])
 
 
+def _written(frame: DataFrame) -> DataFrame:
+    """The frame as a table below the shared folder, read by more than one part of a plan."""
+    path = fresh_folder(frame.sparkSession, "written")
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def _in_ranges(rows: DataFrame, order: str) -> DataFrame:
     """The rows with the number of their range of `order`; written, because another run might draw
     the ranges elsewhere."""
-    spark = rows.sparkSession
-    path = fresh_folder(spark, "ranges")
-    placed = rows.repartitionByRange(order).withColumn(
-        "__cell", F.spark_partition_id().cast("bigint")
-    )
-    placed.write.parquet(path)
-    return spark.read.schema(placed.schema).parquet(path)
+    place = F.spark_partition_id().cast("bigint")
+    return _written(rows.repartitionByRange(order).withColumn("__cell", place))
 
 
 def _offsets(rows: DataFrame, buckets: list[str], few: bool) -> DataFrame:

@@ -354,6 +354,16 @@ def live_lookup(spark, sf_dir):
     return _fresh(spark, sf_dir)
 
 
+@query
+def live_lookup_by_range(spark, sf_dir):
+    return _fresh(spark, sf_dir, by_range=True)
+
+
+@query
+def ttl_lookup_by_range(spark, sf_dir):
+    return _fresh(spark, sf_dir, ttl=21600, negative_cache=False, by_range=True)
+
+
 # Generators, on the numbers of a table
 
 

@@ -342,6 +342,8 @@ ORACLES: dict[str, str] = {
         FROM events LEFT JOIN supplier ON s_suppkey = user_id""",
 }
 # What a stream gives is what the table gives.
+ORACLES["live_lookup_by_range"] = ORACLES["live_lookup"]
+ORACLES["ttl_lookup_by_range"] = ORACLES["ttl_lookup_no_negative"]
 ORACLES["stream_sample_every_n"] = ORACLES["sample_every_n"].replace("% 1000", "% 100")
 ORACLES["stream_sample_greedy"] = ORACLES["sample_greedy"]
 ORACLES["stream_error_counts_late"] = ORACLES["error_counts"]

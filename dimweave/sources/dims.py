@@ -16,13 +16,15 @@ def string_dim(
     value: str | Column,
     latest_by: str | Column | None = None,
 ) -> DataFrame:
-    """`(dim_key, dim_value)` rows; with `latest_by` the newest value of each key."""
+    """`(dim_key, dim_value)` rows; with `latest_by` the newest value of each key, of equal ones the greatest.
+
+    Rows without a time come before all others."""
     rows = frame.select(_column(key).alias("dim_key"), _column(value).alias("dim_value"),
                         *([_column(latest_by).alias("__at")] if latest_by is not None else []))
     rows = rows.where("dim_key IS NOT NULL")
     if latest_by is None:
         return rows
-    return rows.groupBy("dim_key").agg(F.max_by("dim_value", "__at").alias("dim_value"))
+    return rows.groupBy("dim_key").agg(F.max_by("dim_value", F.struct("__at", "dim_value")).alias("dim_value"))
 
 
 def hash_dim(
@@ -35,7 +37,8 @@ def hash_dim(
     """`(dim_key, dim_fields)` folded from one row per field, fields in name order.
 
     Repeated fields are reduced first, on (key, field) and before the shuffle, so what is
-    gathered per key is no more than the fields of the resulting map.
+    gathered per key is no more than the fields of the resulting map.  Of equal times the greatest
+    value counts.
     """
     order = _column(latest_by) if latest_by is not None else _column(value)
     rows = frame.select(
@@ -44,7 +47,7 @@ def hash_dim(
         _column(value).alias("value"),
         order.alias("__at"),
     ).where("dim_key IS NOT NULL AND field IS NOT NULL")
-    fields = rows.groupBy("dim_key", "field").agg(F.max_by("value", "__at").alias("value"))
+    fields = rows.groupBy("dim_key", "field").agg(F.max_by("value", F.struct("__at", "value")).alias("value"))
     return fields.groupBy("dim_key").agg(
         F.map_from_entries(F.sort_array(F.collect_list(F.struct("field", "value")))).alias(
             "dim_fields"

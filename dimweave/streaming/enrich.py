@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -21,6 +22,9 @@ Sink = Callable[[DataFrame, int], None]
 class AgingDim:
     """A dimension re-read when it is older than `ttl` seconds; no `ttl` re-reads every time.
 
+    `ready` is its snapshot for one lookup: decoded, rendered and stored in buckets by key, so that a
+    micro-batch neither decodes nor exchanges the dimension, but brings its own distinct keys to it.
+
     A snapshot is written below the shared checkpoint folder, so it survives lost executors
     and stays the same for the whole interval, which a cached DataFrame over a changing source
     would not.  Two places are used in turn: micro-batches run one after the other, so the
@@ -40,6 +44,26 @@ class AgingDim:
         self._loaded_at: float | None = None
         self._folder: str | None = None
         self._snapshot: DataFrame | None = None
+        self._ready: dict[Lookup, tuple[int, str, DataFrame]] = {}
+
+    def ready(self, lookup: Lookup) -> DataFrame:
+        """`(dim_key, entry)` of the current snapshot, in as many buckets as shuffle partitions."""
+        dim = self.current()
+        turn, table, fields = self._ready.get(lookup, (0, None, None))
+        if turn == self.loads:
+            return fields
+        spark = dim.sparkSession
+        if table is not None:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        folder = f"{self._folder}/ready-{len(self._ready)}-{self.loads % 2}"
+        table = f"dimweave_{uuid.uuid4().hex}"
+        rows = lookup.dimension(dim).repartition(buckets, "dim_key")
+        writer = rows.write.mode("overwrite").bucketBy(buckets, "dim_key").sortBy("dim_key")
+        writer.format("parquet").option("path", folder).saveAsTable(table)
+        fields = spark.table(table)
+        self._ready[lookup] = self.loads, table, fields
+        return fields
 
     def current(self) -> DataFrame:
         now = self._clock()
@@ -161,7 +185,8 @@ def enrich_stream(
     of the source (`maxFilesPerTrigger`, `maxOffsetsPerTrigger`).  With the checkpoint and a sink
     that replaces a repeated `batch_id`, every line is delivered once.
 
-    The dimension is either `dim`, of which `dedup` joins only the keys of the micro-batch, or
+    The dimension is either `dim`, of which `dedup` joins only the keys of the micro-batch (as is
+    always done with a snapshot that is reused), or
     (with `dim` None) a live store: `open_store` runs in the tasks, and each micro-batch asks it
     once for each of its distinct keys, in requests of `batch_size`, which may `overlap`.
 
@@ -191,7 +216,9 @@ def enrich_stream(
 
     def enriched(batch: DataFrame, batch_id: int, seen) -> DataFrame:
         if open_store is None:
-            return lookup_join(batch, aging.current(), lookup, dedup=dedup, seen=seen)
+            if aging.ttl is None:
+                return lookup_join(batch, aging.current(), lookup, dedup=dedup, seen=seen)
+            return lookup_join(batch, None, lookup, entries=aging.ready(lookup), seen=seen)
         keys = lookup.keys(batch)
         found = ask(keys) if kept is None else kept.answers(keys, ask, lookup.stored, batch_id)
         return lookup_join(batch, found, lookup, seen=seen)

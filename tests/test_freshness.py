@@ -2,11 +2,14 @@ import random
 from datetime import UTC, datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from dimweave import Lookup, fresh_lookup_join
 from dimweave.operators import resolve_ttl
+from dimweave.operators.freshness import as_of_by_range
 
 EPOCH = datetime(1970, 1, 1, tzinfo=UTC)
+START = datetime(2024, 1, 1, tzinfo=UTC)
 LOOKUP = Lookup(left_field="u", key_expr="k%s")
 
 
@@ -119,3 +122,49 @@ def test_one_key_with_many_versions_in_one_cell(spark):
     rows = [dict(p.split("=") for p in r.enriched.split("|")) for r in found.collect()]
     assert len(rows) == 40_000
     assert all(int(r["v"]) == int(r["i"]) // 2 for r in rows)
+
+
+@pytest.mark.parametrize(
+    "options", [{}, {"ttl": 7}, {"ttl": 7, "negative_cache": False}, {"how": "inner"}]
+)
+def test_by_range_equals_windows(spark, conf, options):
+    """One key has most versions and lines, and is dealt to several ranges; keys come and go."""
+    conf("spark.sql.adaptive.enabled", "false")
+    conf("spark.sql.shuffle.partitions", "7")
+    chance = random.Random(5)
+    users = ["hot"] * 6 + [f"u{i}" for i in range(9)]
+    versions = [
+        (f"k{chance.choice(users)}", START + timedelta(seconds=chance.randrange(400)),
+         chance.choice([None, "v=1", f"v={n}"]))
+        for n in range(300)
+    ]
+    versions = list({v[:2]: v for v in versions}.values())
+    lines = [(n, START + timedelta(seconds=chance.randrange(-20, 420)), f"u={chance.choice(users)}|n={n}")
+             for n in range(400)]
+    left = spark.createDataFrame(lines, "n int, ts timestamp, line string").repartition(4)
+    right = spark.createDataFrame(
+        versions, "dim_key string, effective_ts timestamp, dim_value string"
+    ).repartition(3)
+    how = {"left_field": "u", "key_expr": "k%s"} | {k: v for k, v in options.items() if k == "how"}
+    rest = {k: v for k, v in options.items() if k != "how"}
+    want, got = (
+        fresh_lookup_join(left, right, Lookup(**how), by_range=b, **rest).select("n", "enriched")
+        for b in (False, True)
+    )
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_a_long_history_is_split_over_tasks(spark, conf):
+    conf("spark.sql.adaptive.enabled", "false")
+    conf("spark.sql.shuffle.partitions", "5")
+    versions = spark.range(0, 50_000, 1, 4).select(
+        F.lit("k1").alias("dim_key"), (F.col("id") * 2).alias("__at"),
+        F.struct(F.struct(F.lit(None).cast("map<string,string>").alias("fields"),
+                          F.col("id").cast("string").alias("text")).alias("__dim")).alias("__seen"),
+    )
+    wanted = spark.range(0, 1000, 1, 2).select(F.lit("k1").alias("dim_key"), (F.col("id") * 97 + 1).alias("__at"))
+    got = as_of_by_range(wanted, versions)
+    assert all(r["__seen"]["__dim"]["text"] == str(r["__at"] // 2) for r in got.collect())
+    files = [f for f in got.inputFiles() if "as-of" in f]
+    sizes = [spark.read.parquet(f).count() for f in files]
+    assert len(sizes) == 5 and max(sizes) < 20_000

@@ -11,8 +11,8 @@ from dimweave.operators import (
     sample_every_n_per_task,
     sample_greedy,
     sample_hashed,
+    sampling,
 )
-from dimweave.operators import sampling
 
 EPOCH = datetime(2024, 1, 1, tzinfo=UTC)
 
@@ -179,3 +179,49 @@ def test_every_n_goes_on_from_counts(spark):
     alone = sample_every_n(frame, "id", 10, counted=spark.createDataFrame([(5,)], "counted long"))
     assert sorted(r["id"] for r in alone.collect()) == [4, 14, 24, 34]
     assert sample_every_n(frame.where("false"), "id", 10).collect() == []
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_composed_segments_act_as_one(seed):
+    """Dense and sparse times: entering the composition leaves as following the segments does."""
+    chance = np.random.default_rng(seed)
+    interval, width = 5, 40
+    for _ in range(60):
+        count = int(chance.choice([3, 20, 100, 300]))
+        times = np.unique(chance.integers(0, 400, count))
+        starts = np.unique(times - times % width)
+        parts = []
+        for s in starts:
+            runs = sampling.segment_runs(times[times - times % width == s], int(s), interval)
+            parts.append(runs | {"__segment": np.full(len(runs["first"]), s)})
+        whole = {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}
+        one = sampling.compose_segments(whole, interval)
+        for emitted in [-(10**9), *range(int(starts[0]) - interval - 3, int(starts[0]))]:
+            want = emitted
+            for t in times.tolist():
+                if t >= want + interval:
+                    want = t
+            alone = {c: v for c, v in one.items()} | {"__segment": np.zeros(len(one["first"]), int)}
+            ahead = {c: np.append(alone[c], 10**9 if c == "__segment" else 10**10) for c in alone}
+            got = sampling.follow_segments(ahead, interval, emitted)["__t"][-1]
+            assert got == want
+
+
+def test_greedy_over_a_tree_of_segments(spark, monkeypatch):
+    """Fan and segments so small that the tree has several levels, with a third of the rows in one
+    key; the answer is that of the plain chain."""
+    monkeypatch.setattr(sampling, "FAN", 3)
+    monkeypatch.setattr(sampling, "MIN_SEGMENT_MS", 1)
+    chance = np.random.default_rng(1)
+    rows = [(int(t), "hot" if i % 3 == 0 else f"k{i % 5}", i)
+            for i, t in enumerate(chance.integers(0, 6000, 1500))]
+    frame = spark.createDataFrame(rows, "ms long, k string, i long").select(
+        F.timestamp_millis("ms").alias("ts"), "k", "i"
+    )
+    want, last = [], {}
+    for t, k, i in sorted(rows):
+        if t >= last.get(k, -(10**9)) + 20:
+            last[k] = t
+            want.append(i)
+    got = sample_greedy(frame, ["k"], "ts", 20, ["ts", "i"])
+    assert sorted(r["i"] for r in got.collect()) == sorted(want)

@@ -407,3 +407,37 @@ def test_totals_beyond_the_last_reports(spark, folders, conf):
     assert totals.of(query)["rows"] == 90
     # all windows of the second file and those up to 70 s of the third were closed
     assert totals.of(query)["dropped"] >= 3 > dropped_rows(query)
+
+
+def test_ready_snapshot_is_neither_decoded_nor_exchanged(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.enabled", "false")
+    now, values = [0.0], iter(["a", "b"])
+    aging = AgingDim(
+        lambda: dim_of(spark, k1="v=" + next(values), k2="v=z|w=1"), ttl=10, clock=lambda: now[0]
+    )
+    lines = spark.createDataFrame([("u=1",), ("u=2",), ("u=3",), ("u=1",)], "line string")
+
+    def enriched():
+        return lookup_join(lines, None, LOOKUP, entries=aging.ready(LOOKUP))
+
+    def rows():
+        return sorted(r["enriched"] for r in enriched().collect())
+
+    assert rows() == ["u=1|v=a", "u=1|v=a", "u=2|v=z|w=1", "u=3"]
+    assert aging.ready(LOOKUP) is aging.ready(LOOKUP)
+    now[0] = 11.0
+    assert rows() == ["u=1|v=b", "u=1|v=b", "u=2|v=z|w=1", "u=3"] and aging.loads == 2
+    plan = enriched()._jdf.queryExecution().executedPlan().toString().splitlines()
+    scan = next(i for i, line in enumerate(plan) if "FileScan parquet" in line)
+    assert "Bucketed: true" in plan[scan]
+    depth = len(plan[scan]) - len(plan[scan].lstrip(" :+-*()0123456789"))
+    above = []  # from the scan up to the join with the keys
+    for line in reversed(plan[:scan]):
+        indent = len(line) - len(line.lstrip(" :+-*()0123456789"))
+        if indent < depth:
+            above.append(line)
+            depth = indent
+        if "SortMergeJoin" in line:
+            break
+    assert not [line for line in above if "Exchange" in line or "from_entries" in line]
