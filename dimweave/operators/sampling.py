@@ -212,7 +212,7 @@ def sample_greedy(
     summary = map_groups(ticks, [*keys, _SEGMENT], [_T], runs, [longs[c] for c in _RUN])
     # A segment's name is its start; a composed one has that of the first it may hold.
     levels, span = [summary], width
-    least, most = ticks.agg(F.min(_T), F.max(_T)).first()  # one row
+    least, most = timed.agg(F.min(_T), F.max(_T)).first()  # one row
     while least is not None and (most - least) // span >= FAN:
         span *= FAN
         above = floor_to(F.col(_SEGMENT), span)
