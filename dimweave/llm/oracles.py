@@ -12,15 +12,15 @@ WITH words AS (
       '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
   FROM documents
 ), item_words AS (
-  SELECT item_id,
+  SELECT item_id, row_number() OVER () AS item_row,
     list_filter(regexp_split_to_array(translate(coalesce(text, ''),
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
       '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
   FROM benchmark
 ), item_windows AS (
-  SELECT DISTINCT item_id, least(13, len(w)) AS width,
+  SELECT item_id, item_row, i AS j, least(13, len(w)) AS width,
     array_to_string(w[i : i + least(13, len(w)) - 1], ' ') AS gram
-  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i
+  FROM (SELECT item_id, item_row, w, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i
         FROM item_words WHERE len(w) > 0)
 ), widths AS (
   SELECT DISTINCT width FROM item_windows
@@ -29,7 +29,8 @@ WITH words AS (
   FROM (SELECT row_id, w, width, unnest(range(1, len(w) - width + 2)) AS i
         FROM words, widths WHERE len(w) >= width)
 ), hits AS (
-  SELECT row_id, i, d.width, item_id FROM doc_windows d JOIN item_windows m USING (gram)
+  SELECT row_id, i, d.width, item_id, item_row, j
+  FROM doc_windows d JOIN item_windows m USING (gram)
 ), covered AS (
   SELECT row_id, count(DISTINCT p) AS n_hit
   FROM (SELECT row_id, unnest(range(i, i + width)) AS p
@@ -37,10 +38,11 @@ WITH words AS (
   GROUP BY row_id
 ), runs AS (
   SELECT row_id, max(n) AS longest FROM (
-    SELECT row_id, g, count(*) AS n FROM (
-      SELECT row_id, p, p - row_number() OVER (PARTITION BY row_id ORDER BY p) AS g
-      FROM (SELECT DISTINCT row_id, unnest(range(i, i + width)) AS p FROM hits))
-    GROUP BY row_id, g)
+    SELECT row_id, max(i) - min(i) + any_value(width) AS n FROM (
+      SELECT row_id, item_row, i, width, i - j AS diagonal,
+        i - row_number() OVER (PARTITION BY row_id, item_row, i - j ORDER BY i) AS g
+      FROM hits)
+    GROUP BY row_id, item_row, diagonal, g)
   GROUP BY row_id
 ), found AS (
   SELECT row_id, count(DISTINCT item_id) AS n_items,

@@ -9,7 +9,7 @@ def brute(text, items, window=13):
         t = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
         return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t)
 
-    doc, hit, found = words(text), set(), set()
+    doc, hit, found, longest = words(text), set(), {}, 0
     for item, item_text in items:
         own = words(item_text)
         width = min(window, len(own))
@@ -17,12 +17,12 @@ def brute(text, items, window=13):
             for i in range(len(doc) - width + 1):
                 if doc[i : i + width] == own[j : j + width]:
                     hit.update(range(i, i + width))
-                    found.add(str(item))
-    longest = run = 0
-    for i in range(len(doc)):
-        run = run + 1 if i in hit else 0
-        longest = max(longest, run)
-    return len(doc), len(hit), longest, sorted(found)
+                    size = width
+                    while doc[i : i + size + 1] == own[j : j + size + 1] and i + size < len(doc):
+                        size += 1
+                    found[str(item)] = max(found.get(str(item), 0), size)
+                    longest = max(longest, size)
+    return len(doc), len(hit), longest, dict(sorted(found.items()))
 
 
 def rows():
@@ -46,8 +46,30 @@ def test_against_brute_force(docs, table):
         found = contamination(docs([*texts, texts[0]]), benchmark, block_words=block).collect()
         assert len(found) == len(texts) + 1
         want = {i: brute(t, items) for i, t in texts}
-        got = {r.doc_id: (r.n_words, r.n_hit, r.longest, list(r.items)) for r in found}
+        got = {
+            r.doc_id: (r.n_words, r.n_hit, r.longest, {m["item"]: m["words"] for m in r.matches})
+            for r in found
+        }
         assert got == want
+        assert all(list(r.items) == [m["item"] for m in r.matches] for r in found)
+
+
+def test_places_of_the_longest_match(docs, table):
+    item = [f"w{k}" for k in range(40)]
+    other = [f"v{k}" for k in range(20)]
+    items = table([("a", " ".join(item)), ("b", " ".join(other))], "item_id string, text string")
+    text = ["x"] * 3 + item[5:20] + ["y"] + item[10:38] + other + ["z"]
+    (row,) = contamination(docs([(1, " ".join(text))]), items).collect()
+    assert [tuple(m) for m in row.matches] == [("a", 28, 19, 10), ("b", 20, 47, 0)]
+    assert row.longest == 28  # two items side by side are no longer match
+    assert [tuple(s) for s in row.spans] == [(3, 18), (19, 67)]
+
+
+def test_one_word_over_and_over(docs, table):
+    items = table([(1, "w " * 500), (2, "w " * 499 + "v")], "item_id long, text string")
+    found = contamination(docs([(1, "w " * 100_000), (2, "w " * 600 + "v")]), items).collect()
+    got = {r.doc_id: (r.n_hit, r.longest, [m["words"] for m in r.matches]) for r in found}
+    assert got == {1: (100_000, 500, [500, 499]), 2: (601, 500, [500, 500])}
 
 
 def test_removal_keeps_the_rest(docs, table):
