@@ -9,7 +9,8 @@ distinct fingerprint is indexed under its value of each part and probes the valu
 what meets in a bucket is verified on all 64 bits.
 
 Equal fingerprints are one node from the start, so copies are never paired.  A bucket gives the
-edges of a spanning forest of its links, not all pairs.  A bucket of over `BUCKET` fingerprints is
+edges of a spanning forest of its links, not all pairs, and a probe is linked once to each set that
+the forest connects.  A bucket of over `BUCKET` fingerprints is
 split by the plain pigeonhole principle on its remaining bits, up to `SPLITS` times, which keeps the
 result exact.  What is over `BUCKET` still is dense as a rule: its fingerprints agree in half of their
 bits, nearly all are reached from the first few, and a task takes 8 bytes for each.
@@ -298,33 +299,40 @@ def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def links(prints: np.ndarray, probe: np.ndarray, distance: int) -> list[tuple[int, int]]:
-    """Edges that connect what is linked in a bucket, a forest of the linked fingerprints.
+    """Edges that connect what is linked in a bucket: a forest of the indexed fingerprints, and
+    from each probe one edge to each set of them that is not connected yet.
 
     Probes link to indexed fingerprints only; pairs of probes meet elsewhere, if at all."""
     own, others = prints[~probe], prints[probe]
     edges: list[tuple[int, int]] = []
-    if len(own) <= FEW:
-        near = differing(own[:, None], own[None, :]) <= distance
-        a, b = np.nonzero(np.triu(near, 1))
-        edges += zip(own[a].tolist(), own[b].tolist(), strict=True)
-    else:
-        waiting = own
-        while len(waiting):
-            todo, waiting = [waiting[0]], waiting[1:]
-            while todo and len(waiting):
-                node = todo.pop()
-                near = differing(waiting, node) <= distance
-                if near.any():
-                    reached = waiting[near]
-                    edges += ((int(node), int(x)) for x in reached)
-                    todo.extend(reached)
-                    waiting = waiting[~near]
+    sets = np.full(len(own), -1)  # the number of the connected set
+    if len(own) <= FEW and (differing(own[:, None], own[None, :]) <= distance).sum() == len(own):
+        sets = np.arange(len(own))  # no links, as in most small buckets
+    while (sets < 0).any():
+        first = int(np.argmin(sets >= 0))
+        sets[first] = first
+        todo = [first]
+        waiting = np.flatnonzero(sets < 0)
+        while todo and len(waiting):
+            node = todo.pop()
+            near = differing(own[waiting], own[node]) <= distance
+            reached = waiting[near]
+            sets[reached] = first
+            edges += ((int(own[node]), x) for x in own[reached].tolist())
+            todo.extend(reached.tolist())
+            waiting = waiting[~near]
     if len(others) and len(own):
         step = max(1, 1_000_000 // len(own))
         for at in range(0, len(others), step):
             near = differing(others[at : at + step, None], own[None, :]) <= distance
             a, b = np.nonzero(near)
+            pairs = np.column_stack([a, sets[b]])
+            _, once = np.unique(pairs, axis=0, return_index=True)
+            a, b = a[once], b[once]
             edges += zip(others[at + a].tolist(), own[b].tolist(), strict=True)
+            for here in np.unique(a[1:][a[1:] == a[:-1]]):  # a probe that joins several sets
+                joined = np.unique(sets[b[a == here]])
+                sets[np.isin(sets, joined)] = joined[0]
     return edges
 
 

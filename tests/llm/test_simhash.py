@@ -100,6 +100,32 @@ def test_empty_table(docs):
     assert keep_one(docs([])).count() == 0
 
 
+@pytest.mark.parametrize("spread", [6, 20])
+def test_links_of_a_bucket_are_few_and_lose_nothing(spread):
+    rng = np.random.default_rng(spread)
+    bits = np.array([0, *(1 << np.arange(spread)).tolist()])
+    prints = np.unique(rng.choice(bits, (3000, 5)).sum(axis=1))
+    probe = rng.random(len(prints)) < 0.5
+    edges = simhash.links(prints, probe, 2)
+    assert all((u ^ v).bit_count() <= 2 for u, v in edges)
+    pairs = [
+        (int(a), int(b)) for a in prints for b in prints[~probe] if (int(a) ^ int(b)).bit_count() <= 2
+    ] if len(prints) < 500 else None
+    nodes = prints.tolist()
+    if pairs is not None:
+        assert grouped(nodes, edges) == grouped(nodes, pairs)
+    assert len(edges) < 2 * len(prints)
+
+
+def test_a_dense_bucket_of_probes():
+    low = np.arange(4096, dtype=np.int64)
+    prints = np.concatenate([low[np.bitwise_count(low) <= 2], low[np.bitwise_count(low) <= 2] << 20])
+    prints = np.unique(prints)
+    probe = np.arange(len(prints)) % 2 == 0
+    edges = simhash.links(prints, probe, 4)
+    assert len(edges) < 2 * len(prints) and grouped(prints.tolist(), edges)[int(prints[-1])] == 0
+
+
 def test_thresholds_are_the_cheapest():
     rng = random.Random(1)
     for _ in range(50):
