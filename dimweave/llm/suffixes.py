@@ -341,6 +341,8 @@ def repeated_passages(
         F.col(id_col).alias("id"),
         F.col(text_col).alias("text"),
     )
+    # written once: a number must mean the same row in every pass, also after a lost task
+    named = materialize(named, "rows")
     known = materialize(beginnings(named, least, gram), "beginnings")
     several = context.broadcast(bitmap_of(known, bitmap_bits))
     crowded = known.filter(F.col("n") > group)
