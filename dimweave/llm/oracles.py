@@ -73,13 +73,13 @@ _PATTERNS = [
 def _matches(kind: str, rank: int, pattern: str, group: int, least: int) -> str:
     """Matches of one kind: split the text at them and add up the lengths before each."""
     return f"""
-  SELECT row_id, source, '{kind}' AS kind, {rank} AS rank, value,
+  SELECT row_id, source, repository, '{kind}' AS kind, {rank} AS rank, value,
     list_sum(list_transform(gaps[1:k], lambda g: length(g)))::BIGINT
       + coalesce(list_sum(list_transform(hits[1:k - 1], lambda h: length(h))), 0)::BIGINT AS a,
     length(hit) AS size
-  FROM (SELECT row_id, source, gaps, hits, unnest(hits) AS hit, unnest(groups) AS value,
+  FROM (SELECT row_id, source, repository, gaps, hits, unnest(hits) AS hit, unnest(groups) AS value,
           unnest(range(1, len(hits) + 1)) AS k
-        FROM (SELECT row_id, source, string_split_regex(t, '{pattern}') AS gaps,
+        FROM (SELECT row_id, source, md5(t) AS repository, string_split_regex(t, '{pattern}') AS gaps,
                 regexp_extract_all(t, '{pattern}', 0) AS hits,
                 regexp_extract_all(t, '{pattern}', {group}) AS groups
               FROM texts WHERE regexp_matches(t, '{pattern}')))
@@ -94,10 +94,13 @@ WITH texts AS (
   SELECT row_number() OVER () AS row_id, *, coalesce(text, '') AS t FROM {texts}
 ), found AS ({every}
 ), owners AS (
-  SELECT value, count(DISTINCT coalesce('=' || source, '')) AS n FROM found GROUP BY value
+  SELECT value, CASE WHEN owners >= 3 OR repositories >= 10 THEN 'example'
+    WHEN owners = 1 THEN 'live' ELSE 'shared' END AS verdict
+  FROM (SELECT value, count(DISTINCT coalesce('=' || source, '')) AS owners,
+          count(DISTINCT repository) AS repositories FROM found GROUP BY value)
 ), told AS (
-  SELECT row_id, kind, rank, a, a + size AS z, n FROM found JOIN owners USING (value)
-  WHERE rank < 3 OR n = 1
+  SELECT row_id, kind, rank, a, a + size AS z, verdict FROM found JOIN owners USING (value)
+  WHERE rank < 3 OR verdict <> 'example'
 )"""
 
 
@@ -107,7 +110,8 @@ ORACLES["op2_secret_scans"] = f"""{secrets_sql("documents")}
     count(*) FILTER (rank = 2) AS n_hex,
     string_agg(kind || ':' || a || ':' || z, ',' ORDER BY a, rank) FILTER (rank < 3) AS base,
     string_agg(kind || ':' || a || ':' || z, ',' ORDER BY a, rank) AS spans,
-    count(*) FILTER (n = 1) AS n_live, count(*) FILTER (n >= 3) AS n_example
+    count(*) FILTER (verdict = 'live') AS n_live,
+    count(*) FILTER (verdict = 'example') AS n_example
   FROM told GROUP BY row_id
 )
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,

@@ -1,16 +1,17 @@
 """Secret scans with corpus-wide ownership frequency, in DataFrame functions only.
 
 Candidates are found by patterns, with their places.  Each candidate's value is hashed, and the
-hashes are counted over the whole corpus: in how many rows (repositories) and under how many
-owners a value occurs.  Values that many owners copied are examples; a value of one owner looks
-live.  The base patterns (assign, access, hex) are always reported.  The further patterns catch too
-much by themselves, so of them `scan` adds only the values that look live, as its SQL says;
-`redact` also masks those that are shared, and leaves only widely copied ones.
+hashes are counted over the whole corpus: in how many repositories (different texts; copies of one
+text are one) and under how many owners a value occurs.  Values that many owners or very many
+repositories hold are examples; another value of one owner looks live, one of a few owners is
+shared.  The base patterns (assign, access, hex) are always reported.  The further patterns catch too
+much by themselves, so of them only the values that are no examples are added and masked.
 
-Places come from splitting a text at a pattern and adding up lengths, in code points.  Counting
-goes (value, owner) first and (value) next, both with partial sums, so a value that a third of all
-rows hold reaches no task whole.  The verdicts come back by a join on the value, which adaptive
-execution can split.
+Places come from splitting a text at a pattern and adding up lengths, in code points, block by block
+so that the work grows with the matches of a text and not with their square.  Counting
+goes (value, owner) and (value, repository) first and (value) next, all with partial sums, so a value
+that a third of all rows hold reaches no task whole.  The verdicts come back by a join on the value,
+which adaptive execution can split.
 
 Null and empty texts have no candidates.  A null owner counts as one owner of its own.  Repeated
 rows count as rows of their own.  Rows are numbered when the candidates are written, so null or
@@ -20,6 +21,8 @@ passes them through.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +54,42 @@ ADDED = [
 KINDS = [*BASE, *ADDED]
 BASE_KINDS = {k for k, *_ in BASE}
 OWNERS_OF_EXAMPLE = 3
+REPOSITORIES_OF_EXAMPLE = 10
+STRIDE = 256
+
+
+def bound(value: Column, function: Callable[[Column], Column]) -> Column:
+    """`function` of a value that is computed once; as a plain expression it would be computed again
+    for each element of a higher-order function around it."""
+    return F.transform(F.array(value), function)[0]
+
+
+def running_sums(values: Column) -> Column:
+    """For an array of integers, the sums up to each of them: sums within blocks of STRIDE values,
+    then what came before each block."""
+    ints = F.array().cast("array<int>")
+
+    def sums(part: Column, before: Column) -> Column:
+        begin = F.struct(before.alias("at"), ints.alias("all"))
+        return F.aggregate(
+            part, begin,
+            lambda done, x: F.struct(
+                (done["at"] + x).alias("at"),
+                F.concat(done["all"], F.array(done["at"] + x)).alias("all"),
+            ),
+        )["all"]
+
+    def blocks(all_values: Column) -> Column:
+        count = F.ceil(F.size(all_values) / STRIDE).cast("int")
+        number = F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(ints)
+        return F.transform(number, lambda b: F.slice(all_values, (b - 1) * STRIDE + 1, STRIDE))
+
+    def joined_up(parts: Column) -> Column:
+        totals = F.transform(parts, lambda p: F.aggregate(p, F.lit(0), lambda s, x: s + x))
+        befores = F.concat(F.array(F.lit(0)), sums(totals, F.lit(0)))
+        return F.flatten(F.zip_with(parts, F.slice(befores, 1, F.size(parts)), sums))
+
+    return bound(bound(values, blocks), joined_up)
 
 
 def spans_of(text: Column, kind: str, pattern: str, group: int, least: int) -> Column:
@@ -61,18 +100,9 @@ def spans_of(text: Column, kind: str, pattern: str, group: int, least: int) -> C
     between = F.transform(F.split(text, pattern, -1), F.length)
     # running place: after each match, the code points of all pieces and matches so far
     steps = F.zip_with(
-        F.slice(between, 1, F.size(found)),
-        F.transform(found, F.length),
-        lambda gap, size: F.struct(gap.alias("gap"), size.alias("size")),
-    )
-    ends = F.aggregate(
-        steps,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("ends")),
-        lambda done, s: F.struct(
-            (done["at"] + s["gap"] + s["size"]).alias("at"),
-            F.concat(done["ends"], F.array(done["at"] + s["gap"] + s["size"])).alias("ends"),
-        ),
-    )["ends"]
+        F.slice(between, 1, F.size(found)), F.transform(found, F.length), lambda gap, n: gap + n
+    )
+    ends = running_sums(steps)
     rows = F.transform(
         F.arrays_zip(found.alias("found"), values.alias("value"), ends.alias("till")),
         lambda s: F.struct(
@@ -90,7 +120,7 @@ def spans_of(text: Column, kind: str, pattern: str, group: int, least: int) -> C
 
 
 def candidates(docs: DataFrame, text_col: str, owner_col: str, keep: list[str]) -> DataFrame:
-    """The rows with `row_id`, `__owner` and all candidates of the row as an array `found`."""
+    """The rows with a number, `__owner`, `__repository` and all their candidates, `__found`."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     found = F.concat(*(spans_of(text, *k) for k in KINDS))
     return docs.select(
@@ -99,40 +129,47 @@ def candidates(docs: DataFrame, text_col: str, owner_col: str, keep: list[str])
         F.coalesce(F.concat(F.lit("="), F.col(owner_col).cast("string")), F.lit("")).alias(
             "__owner"
         ),
+        F.xxhash64(text).alias("__repository"),
         F.sort_array(found).alias("__found"),
     )
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """Per value hash: rows and owners that hold it, over the whole corpus."""
-    held = found.select(
-        "__owner", F.explode(F.array_distinct(F.transform("__found", lambda s: s["value"]))).alias("v")
-    ).select("__owner", F.sha2("v", 256).alias("value_sha256"))
-    by_owner = held.groupBy("value_sha256", "__owner").agg(F.count("*").alias("n"))
-    return by_owner.groupBy("value_sha256").agg(
-        F.sum("n").alias("n_rows"), F.count("*").alias("n_owners")
+    """Per value hash: repositories and owners that hold it, over the whole corpus."""
+    values = F.array_distinct(F.transform("__found", lambda s: s["value"]))
+    held = found.select("__owner", "__repository", F.explode(values).alias("v")).select(
+        "__owner", "__repository", F.sha2("v", 256).alias("value_sha256")
+    )
+    return held.groupBy("value_sha256").agg(
+        F.count_distinct("__owner").alias("n_owners"),
+        F.count_distinct("__repository").alias("n_repositories"),
     )
 
 
-def verdict(n_owners: Column, owners_of_example: int = OWNERS_OF_EXAMPLE) -> Column:
-    """`live` for one owner's values, `example` for widely copied ones, else `shared`."""
-    return (
-        F.when(n_owners == 1, "live").when(n_owners >= owners_of_example, "example")
-        .otherwise("shared")
-    )
+def verdict(
+    n_owners: Column, n_repositories: Column, owners_of_example: int = OWNERS_OF_EXAMPLE,
+    repositories_of_example: int = REPOSITORIES_OF_EXAMPLE,
+) -> Column:
+    """`example` for widely copied values, `live` for other ones of one owner, else `shared`."""
+    copied = (n_owners >= owners_of_example) | (n_repositories >= repositories_of_example)
+    return F.when(copied, "example").when(n_owners == 1, "live").otherwise("shared")
 
 
 def judged(
     docs: DataFrame, keep: list[str], text_col: str = "text", owner_col: str = "source",
-    owners_of_example: int = OWNERS_OF_EXAMPLE, added: tuple[str, ...] = ("live",),
+    owners_of_example: int = OWNERS_OF_EXAMPLE,
+    repositories_of_example: int = REPOSITORIES_OF_EXAMPLE,
 ) -> tuple[DataFrame, DataFrame]:
     """The rows with their candidates, written once, and per row what to report:
-    `__spans` as sorted struct(at, rank, till, kind, verdict), of added kinds with a verdict in
-    `added` only."""
+    `__spans` as sorted struct(at, rank, till, kind, verdict), of added kinds no examples."""
     found = materialize(candidates(docs, text_col, owner_col, keep), "secret-candidates")
     rated = materialize(
         ownership(found).select(
-            "value_sha256", verdict(F.col("n_owners"), owners_of_example).alias("verdict")
+            "value_sha256",
+            verdict(
+                F.col("n_owners"), F.col("n_repositories"), owners_of_example,
+                repositories_of_example,
+            ).alias("verdict"),
         ),
         "secret-owners",
     )
@@ -140,7 +177,7 @@ def judged(
         "__row", "s.at", "s.rank", "s.till", "s.kind", F.sha2("s.value", 256).alias("value_sha256")
     )
     told = one.join(rated, "value_sha256").filter(
-        F.col("kind").isin(*sorted(BASE_KINDS)) | F.col("verdict").isin(*added)
+        F.col("kind").isin(*sorted(BASE_KINDS)) | (F.col("verdict") != "example")
     )
     spans = told.groupBy("__row").agg(
         F.sort_array(F.collect_list(F.struct("at", "rank", "till", "kind", "verdict"))).alias(
@@ -160,13 +197,16 @@ def joined(spans: Column) -> Column:
 def scan(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
     owners_of_example: int = OWNERS_OF_EXAMPLE,
+    repositories_of_example: int = REPOSITORIES_OF_EXAMPLE,
 ) -> DataFrame:
     """Per row: id, counts of the base kinds, `base_sha256`, `spans`, and how many of the spans
     are live-looking (`n_live`) or widely copied (`n_example`)."""
     docs = docs.select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(owner_col).alias("owner")
     )
-    found, spans = judged(docs, ["doc_id"], "text", "owner", owners_of_example)
+    found, spans = judged(
+        docs, ["doc_id"], "text", "owner", owners_of_example, repositories_of_example
+    )
     none = F.array().cast("array<struct<at:int,rank:int,till:int,kind:string,verdict:string>>")
     rows = found.select("doc_id", "__row").join(spans, "__row", "left").select(
         "doc_id", F.coalesce("__spans", none).alias("s")
@@ -211,13 +251,14 @@ def masked(text: Column, spans: Column) -> Column:
 def redact(
     docs: DataFrame, text_col: str = "text", owner_col: str = "source",
     owners_of_example: int = OWNERS_OF_EXAMPLE,
+    repositories_of_example: int = REPOSITORIES_OF_EXAMPLE,
 ) -> DataFrame:
     """All rows and columns, with every reported span masked by its kind and verdict."""
     found, spans = judged(
-        docs, docs.columns, text_col, owner_col, owners_of_example, ("live", "shared")
+        docs, docs.columns, text_col, owner_col, owners_of_example, repositories_of_example
     )
     text = F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(
         masked(F.col(text_col), F.col("__spans"))
     )
-    rows = found.drop("__found", "__owner").join(spans, "__row", "left")
+    rows = found.drop("__found", "__owner", "__repository").join(spans, "__row", "left")
     return rows.withColumn(text_col, text).select(*docs.columns)

@@ -67,6 +67,26 @@ def test_a_key_of_two_owners_is_masked(docs):
     }
 
 
+def test_repositories_count_as_well_as_owners(docs):
+    often, copied = "ghp_abcdefghij0123456789often", "ghp_abcdefghij0123456789copied"
+    two = "ghp_abcdefghij0123456789twos"
+    rows = [(i, f"text {i} {often}", "s1") for i in range(10)]
+    rows += [(20 + i, f"one text {copied}", "s1") for i in range(10)]
+    rows += [(40 + i, f"text {i} {two}", f"s{i}") for i in range(2)]
+    found = {r.doc_id: (r.spans, r.n_live, r.n_example) for r in scan(docs(rows)).collect()}
+    assert found[0] == ("", 0, 0)  # ten different texts of one owner: an example
+    assert found[20][0].startswith("prefixed:9:") and found[20][1] > 0  # copies count once
+    assert found[40][0].startswith("prefixed:7:") and found[40][1:] == (0, 0)
+
+
+def test_very_many_matches_in_one_text(docs):
+    text = " ".join(f"{i:016x}" for i in range(100_000))
+    (row,) = scan(docs([(1, text, "s1")])).collect()
+    assert row.n_hex == 100_000
+    hexes = [s for s in row.spans.split(",") if s.startswith("hex:")]
+    assert hexes == [f"hex:{17 * i}:{17 * i + 16}" for i in range(100_000)]
+
+
 def test_empty_table(docs):
     assert scan(docs([])).count() == 0
     assert redact(docs([])).count() == 0
