@@ -64,6 +64,15 @@ def bound(value: Column, function: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), function)[0]
 
 
+def in_blocks(values: Column) -> Column:
+    """An array in slices of STRIDE elements."""
+    count = F.ceil(F.size(values) / STRIDE).cast("int")
+    number = F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(
+        F.array().cast("array<int>")
+    )
+    return F.transform(number, lambda b: F.slice(values, (b - 1) * STRIDE + 1, STRIDE))
+
+
 def running_sums(values: Column) -> Column:
     """For an array of integers, the sums up to each of them: sums within blocks of STRIDE values,
     then what came before each block."""
@@ -79,17 +88,12 @@ def running_sums(values: Column) -> Column:
             ),
         )["all"]
 
-    def blocks(all_values: Column) -> Column:
-        count = F.ceil(F.size(all_values) / STRIDE).cast("int")
-        number = F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(ints)
-        return F.transform(number, lambda b: F.slice(all_values, (b - 1) * STRIDE + 1, STRIDE))
-
     def joined_up(parts: Column) -> Column:
         totals = F.transform(parts, lambda p: F.aggregate(p, F.lit(0), lambda s, x: s + x))
         befores = F.concat(F.array(F.lit(0)), sums(totals, F.lit(0)))
         return F.flatten(F.zip_with(parts, F.slice(befores, 1, F.size(parts)), sums))
 
-    return bound(bound(values, blocks), joined_up)
+    return bound(bound(values, in_blocks), joined_up)
 
 
 def spans_of(text: Column, kind: str, pattern: str, group: int, least: int) -> Column:
@@ -227,25 +231,56 @@ def scan(
 
 
 def masked(text: Column, spans: Column) -> Column:
-    """The text with each stretch of overlapping spans replaced by a mask that names the first."""
-
-    def step(done: Column, s: Column) -> Column:
-        mask = F.concat(F.lit("[REDACTED:"), s["kind"], F.lit(":"), s["verdict"], F.lit("]"))
-        gap = F.substring(text, done["at"] + 1, s["at"] - done["at"])
-        return F.when(
-            s["at"] >= done["at"],
-            F.struct(s["till"].alias("at"), F.concat(done["out"], gap, mask).alias("out")),
-        ).otherwise(
-            F.struct(F.greatest(done["at"], s["till"]).alias("at"), done["out"].alias("out"))
+    """The text with each stretch of overlapping spans replaced by a mask that names the first.
+
+    Each block of spans masks the piece of text from where the blocks before it reach to where it
+    reaches itself, so a text is not copied at each span."""
+
+    def piece(part: Column, reach: Column) -> Column:
+        def step(own: Column, done: Column, s: Column) -> Column:
+            mask = F.concat(F.lit("[REDACTED:"), s["kind"], F.lit(":"), s["verdict"], F.lit("]"))
+            gap = F.substring(own, done["at"] - reach + 1, s["at"] - done["at"])
+            return F.when(
+                s["at"] >= done["at"],
+                F.struct(s["till"].alias("at"), F.concat(done["out"], gap, mask).alias("out")),
+            ).otherwise(
+                F.struct(F.greatest(done["at"], s["till"]).alias("at"), done["out"].alias("out"))
+            )
+
+        begin = F.struct(reach.alias("at"), F.lit("").alias("out"))
+        end = F.greatest(reach, F.array_max(F.transform(part, lambda s: s["till"])))
+        return bound(
+            F.substring(text, reach + 1, end - reach),
+            lambda own: F.aggregate(
+                part, begin, lambda done, s: step(own, done, s), lambda done: done["out"]
+            ),
         )
 
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    return F.aggregate(
-        spans,
-        begin,
-        step,
-        lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text))),
-    )
+    def reaches(parts: Column) -> Column:
+        begin = F.array(F.lit(0))
+        return F.aggregate(
+            parts,
+            begin,
+            lambda done, p: F.concat(
+                done,
+                F.array(
+                    F.greatest(
+                        F.element_at(done, -1), F.array_max(F.transform(p, lambda s: s["till"]))
+                    )
+                ),
+            ),
+        )
+
+    def pieces(parts: Column) -> Column:
+        return bound(
+            reaches(parts),
+            lambda reach: F.concat(
+                F.array_join(F.zip_with(parts, F.slice(reach, 1, F.size(parts)), piece), ""),
+                F.substring(text, F.element_at(reach, -1) + 1, F.length(text)),
+            ),
+        )
+
+    return bound(bound(spans, in_blocks), pieces)
 
 
 def redact(

@@ -87,6 +87,13 @@ def test_very_many_matches_in_one_text(docs):
     assert hexes == [f"hex:{17 * i}:{17 * i + 16}" for i in range(100_000)]
 
 
+def test_very_many_masks_in_one_text(docs):
+    parts = [f"{i:016x}" if i % 3 else f"token={i:016x}" for i in range(30_000)]
+    (row,) = redact(docs([(1, "é".join(parts), "s1")])).collect()
+    want = ["[REDACTED:hex:live]" if i % 3 else "[REDACTED:assign:live]" for i in range(30_000)]
+    assert row.text == "é".join(want)
+
+
 def test_empty_table(docs):
     assert scan(docs([])).count() == 0
     assert redact(docs([])).count() == 0
