@@ -2,7 +2,9 @@
 
 Records are range-sorted by id into shards.  The bounds come from the ids whose hash falls into a
 fixed residue class, weighted by size, so they depend on the rows alone and the same table gives
-the same files, byte for byte, on any cluster.  A task streams its shard into gzip members, one per
+the same files, byte for byte, on any cluster.  There are at most `MAX_SHARDS` shards, which bounds
+what the driver gets; beyond `MAX_SHARDS * SHARD_BYTES` of pages they grow instead.  Each shard is a
+partition of its own.  A task streams its shard into gzip members, one per
 record, and starts another file when the compressed size reaches `FILE_BYTES`.  Headers and SHA-1
 digests are made anew from the payload; dates are a parameter.
 
@@ -13,9 +15,12 @@ counted with partial sums, and its join is one that adaptive execution can split
 
 Task attempts write under names of their own and return manifest rows; Spark's commit decides which
 attempt counts.  A second pass, which may be repeated, moves the files of the manifest to their
-final names.  Files outside the manifest are leftovers of lost attempts and are never read.
+final names.  The manifest is then written beside the archives (`<prefix>-manifest`, JSON lines by
+shard and file), so whoever gets the folder knows which files count, and the folder of the attempts
+is cleared.  Files outside the manifest are leftovers of lost attempts and are never read.
 
-Null payloads are empty.  Null ids sort first and are kept.  Repeated rows with the same id and
+Ids are numbers or texts.  Null payloads are empty; very long ones are one record, held by the task
+that writes it.  Null ids sort first and are kept.  Repeated rows with the same id and
 payload give one response (or none) and revisits for the rest; one id's records stay in one shard,
 which streams them.  Line breaks and spaces in URLs are percent-encoded, null URLs left out.  An
 empty table gives an empty manifest.  Only the named columns are read.
@@ -27,20 +32,21 @@ import base64
 import hashlib
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import pairwise
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimweave.llm.common import map_rows, materialize
+from dimweave.llm.common import map_rows, materialize, remove
 
 SHARD_BYTES = 64 << 20
 FILE_BYTES = 16 << 20
 SAMPLES_PER_SHARD = 20
+MAX_SHARDS = 20_000
 DATE = "2024-01-01T00:00:00Z"
 LEVEL = 6
 SPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:dimweave:warc")
@@ -90,11 +96,13 @@ def safe_url(url: str | None) -> str | None:
 class Shard:
     """The files of one shard."""
 
-    def __init__(self, folder: str, shard: int, prefix: str, file_bytes: int, date: str):
+    def __init__(
+        self, folder: str, attempts: str, shard: int, prefix: str, file_bytes: int, date: str
+    ):
         self.files, self.root = fs.FileSystem.from_uri(folder)
-        self.folder, self.shard, self.prefix = folder, shard, prefix
+        self.shard, self.prefix = shard, prefix
         self.file_bytes, self.date = file_bytes, date
-        self.attempt = uuid.uuid4().hex
+        self.attempt = f"{attempts}/{uuid.uuid4().hex}"
         self.rows: list[tuple] = []
         self.stream = None
         self.page: str | None = None
@@ -105,7 +113,7 @@ class Shard:
     def _open(self) -> None:
         number = len(self.rows)
         self.name = f"{self.prefix}-{self.shard:06d}-{number:05d}.warc.gz"
-        path = f"{self.root}/_attempts/{self.attempt}"
+        path = f"{self.root}/{self.attempt}"
         self.files.create_dir(path, recursive=True)
         self.path = f"{path}/{self.name}"
         self.stream = self.files.open_output_stream(self.path, compression=None)
@@ -179,19 +187,18 @@ class Shard:
             self.close()
 
 
-def shard_bounds(pages: DataFrame, shard_bytes: int) -> list[float]:
-    """Ids at which shards of about `shard_bytes` begin.
+def shard_bounds(pages: DataFrame, shard_bytes: int, max_shards: int = MAX_SHARDS) -> list:
+    """Ids at which shards of about `shard_bytes` begin, or larger ones if there were too many.
 
-    The driver gets about SAMPLES_PER_SHARD ids for each shard."""
+    The driver gets about SAMPLES_PER_SHARD ids for each of at most `max_shards` shards."""
     sizes = pages.select("id", F.octet_length("payload").alias("n"))
     total, count = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    shards = -(-total // shard_bytes)
+    shards = min(-(-total // shard_bytes), max_shards)
     if shards < 2:
         return []
     step = max(1, count // (SAMPLES_PER_SHARD * shards))
     sample = (
         sizes.filter((F.pmod(F.xxhash64("id"), F.lit(step)) == 0) & F.col("id").isNotNull())
-        .select(F.col("id").cast("double").alias("id"), "n")
         .sort("id")
         .collect()
     )
@@ -203,6 +210,18 @@ def shard_bounds(pages: DataFrame, shard_bytes: int) -> list[float]:
     return bounds
 
 
+def shard_of(bounds: list) -> Column:
+    """The number of the shard of column `id`; null ids come first."""
+    if not bounds:
+        return F.lit(0)
+
+    def number(ids: pa.Array) -> pa.Array:
+        found = ids.to_pylist()
+        return pa.array([0 if i is None else bisect_right(bounds, i) for i in found], pa.int32())
+
+    return F.arrow_udf(number, "int")("id")
+
+
 def write(
     pages: DataFrame,
     folder: str,
@@ -215,8 +234,9 @@ def write(
     shard_bytes: int = SHARD_BYTES,
     file_bytes: int = FILE_BYTES,
     date: str = DATE,
+    max_shards: int = MAX_SHARDS,
 ) -> DataFrame:
-    """Write the pages (numeric ids) below `folder`, which all executors reach; the manifest."""
+    """Write the pages below `folder`, which the driver and all executors reach; the manifest."""
     rows = pages.select(
         F.col(id_col).alias("id"),
         F.col(url_col).alias("url"),
@@ -239,22 +259,16 @@ def write(
             F.col("refers").cast("string").alias("refers"),
         )
     )
-    bounds = shard_bounds(rows, shard_bytes)
-    low = float("-inf")
-    keyed = Bucketizer(
-        splits=[low, *bounds, float("inf")] if bounds else [low, 0.0, float("inf")],
-        inputCol="at",
-        outputCol="shard",
-    ).transform(both.withColumn("at", F.coalesce(F.col("id").cast("double"), F.lit(low))))
-    shard = F.col("shard").cast("int") if bounds else F.lit(0)
+    bounds = shard_bounds(rows, shard_bytes, max_shards)
     arranged = (
-        keyed.select(
-            shard.alias("shard"), F.col("id").cast("string").alias("page"), "kind", "url",
-            "payload", "refers", "id",
+        both.select(
+            shard_of(bounds).alias("shard"), F.col("id").cast("string").alias("page"), "kind",
+            "url", "payload", "refers", "id",
         )
-        .repartition(len(bounds) + 1, "shard")
+        .repartitionById(len(bounds) + 1, "shard")
         .sortWithinPartitions("shard", "id", "kind", "url", F.sha1("payload"))
     )
+    attempts = f"_attempts/{uuid.uuid4().hex}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         now: Shard | None = None
@@ -265,7 +279,7 @@ def write(
                     if now is not None:
                         now.close()
                         yield now.rows
-                    now = Shard(folder, number, prefix, file_bytes, date)
+                    now = Shard(folder, attempts, number, prefix, file_bytes, date)
                 now.turn(page)
                 if kind == 0:
                     digest = base64.b32encode(bytes.fromhex(url)).decode()
@@ -276,8 +290,21 @@ def write(
             now.close()
             yield now.rows
 
-    written = map_rows(arranged.drop("id"), run, MANIFEST)
-    return commit(materialize(written, "warc-attempts"), folder)
+    written = materialize(map_rows(arranged.drop("id"), run, MANIFEST), "warc-attempts")
+    manifest = commit(written, folder)
+    beside = manifest.drop("path").orderBy("shard", "file")
+    beside.write.mode("overwrite").json(f"{folder}/{prefix}-manifest")
+    clear(folder, attempts)
+    remove(written)
+    remove(first)
+    return manifest
+
+
+def clear(folder: str, attempts: str) -> None:
+    """Remove what is left of the attempts of a committed run."""
+    files, root = fs.FileSystem.from_uri(folder)
+    if files.get_file_info(f"{root}/{attempts}").type != fs.FileType.NotFound:
+        files.delete_dir(f"{root}/{attempts}")
 
 
 def spread(files: DataFrame) -> DataFrame:

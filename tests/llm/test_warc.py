@@ -1,11 +1,14 @@
 import base64
 import gzip
 import hashlib
+import json
 import random
 
 import pytest
 
-from dimweave.llm.warc import read_back, write
+from pyspark.sql import functions as F
+
+from dimweave.llm.warc import read_back, shard_bounds, write
 
 SCHEMA = "page_id long, url string, html string, digest string, shard int"
 
@@ -95,3 +98,49 @@ def test_damage_is_found(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     manifest, found = run(spark, [], str(tmp_path))
     assert manifest.count() == 0 and found == []
+
+
+def test_text_ids(spark, tmp_path):
+    """Texts in the place of numbers, over several shards in the order of the texts."""
+    pages = [(i, f"u{i}", f"{i} " * 400, "", 0) for i in range(60)]
+    frame = spark.createDataFrame(pages, SCHEMA)
+    frame = frame.withColumn("page_id", F.concat(F.lit("é-"), F.sha1(F.col("page_id").cast("string"))))
+    manifest = write(frame.repartition(3), str(tmp_path), shard_bytes=8000)
+    found = read_back(manifest, str(tmp_path)).collect()
+    assert {r.page: r.payload for r in found} == {r.page_id: r.html for r in frame.collect()}
+    names = sorted(r.name for r in manifest.collect())
+    assert len({r.shard for r in manifest.collect()}) > 3
+    order = [
+        line.split(": ")[1]
+        for n in names
+        for line in gzip.decompress((tmp_path / n).read_bytes()).decode().split("\r\n")
+        if line.startswith("X-Page-ID")
+    ]
+    assert order == sorted(r.page for r in found)
+
+
+def test_manifest_beside_the_archives(spark, tmp_path):
+    manifest, _ = run(spark, rows(), str(tmp_path), shard_bytes=8000, file_bytes=2000)
+    parts = sorted(tmp_path.glob("pages-manifest/part-*"))
+    lines = [json.loads(x) for part in parts for x in part.read_text().splitlines()]
+    assert [x["name"] for x in lines] == sorted(f.name for f in tmp_path.glob("*.warc.gz"))
+    for x in lines:
+        data = (tmp_path / x["name"]).read_bytes()
+        assert len(data) == x["bytes"] and hashlib.sha1(data).hexdigest() == x["sha1"]
+    assert not list(tmp_path.glob("_attempts/*"))
+    assert sum(x["records"] for x in lines) == len(rows())
+
+
+def test_shards_grow_beyond_their_number(spark, tmp_path):
+    pages = [(i, None, f"{i}" * 500, "", 0) for i in range(200)]
+    frame = spark.createDataFrame(pages, SCHEMA).select(F.col("page_id").alias("id"), F.encode("html", "UTF-8").alias("payload"))
+    assert len(shard_bounds(frame, 2000)) > 20
+    assert len(shard_bounds(frame, 2000, 4)) == 3
+    _, found = run(spark, pages, str(tmp_path), shard_bytes=2000, max_shards=4)
+    assert found == expected(pages)
+
+
+def test_very_long_payload(spark, tmp_path):
+    pages = [(1, "u", "é<p>" * 2_000_000, "", 0), (2, "u", "x", "", 0), (3, "u", "é<p>" * 2_000_000, "", 0)]
+    _, found = run(spark, pages, str(tmp_path), file_bytes=500)
+    assert found == expected(pages)
