@@ -1,17 +1,25 @@
-"""Near copies by the Jaccard similarity of their word shingles.
+"""Near copies by the Jaccard similarity of their word shingles, found by SimHash and min-hashes.
 
 Two documents are linked if the sets of their five-word shingles have a similarity of `LEAST` (4/5)
-or more.  Candidates meet by min-hashes: `BANDS` keys of `ROWS` min-hashes each, so two documents of
-a similarity of exactly 0.8 meet with a chance of 0.999997, and more similar ones sooner.  What meets
-is verified on the sets themselves, so nothing else is linked.
+or more.  Candidates come from two searches, and all are verified on the sets themselves:
 
-Documents with equal sets are one node from the start.  Buckets with the same members count once.
-Within a bucket a forest of the links is searched, so a group of copies takes one pass over it and
-gives one edge for each.  A bucket is held by one task.
+1. The generalised pigeonhole search of `simhash` on fingerprints of the five-word shingles, at its
+   production distance.  It meets copies with small edits, however many there are.
+2. Min-hashes, for what lies beyond: a pair of a similarity of exactly 0.8 differs in some 10 of 64
+   bits, at which a pigeonhole search would have to probe a constant share of all pairs.  `BANDS` keys
+   of `ROWS` min-hashes each; a pair at 0.8 meets with a chance of 0.999997, a closer one sooner.
+
+Documents with equal sets are one node from the start, and buckets with the same members count once.
+No bucket is held by one task and no step emits its pairs: buckets whose members the links so far
+connect are done; in the others each member is compared with one leader, whose members are dealt
+to several tasks, `ROUNDS` times; what is not connected then is compared in blocks, by tasks that give
+forest edges only.  So every pair that met has been linked, ruled out or lies in one group.
 
 Letters are lower-cased in ASCII and words end at ASCII white space, as in `simhash`.  A text of
-fewer words is one shingle; null and empty texts have none and are copies of each other.  Null ids
-count as the smallest.  Only the named columns are read; all are passed on.
+fewer words is one shingle; null and empty texts have none and are copies of each other.  Texts of any
+length are taken whole; a task holds the sets of a block.  Repeated rows are copies.  Null ids
+count as the smallest.  An empty table gives no rows.  Only the named columns are read; all are
+passed on.
 """
 
 from __future__ import annotations
@@ -25,27 +33,31 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimweave.llm.common import map_rows, materialize
+from dimweave.llm.common import map_rows, materialize, remove
 from dimweave.llm.components import components
+from dimweave.llm.hyperminhash import dealt, in_groups, labelled, linked, verified
+from dimweave.llm.simhash import DISTANCE, majority, search
 
 SHINGLE = 5
 LEAST = (4, 5)
 BANDS, ROWS = 24, 4
 PIECE = 1 << 14
+ROUNDS = 2
+CHUNK = 128
 FLUSH_BYTES = 8_000_000
 MIX = np.random.default_rng(42).integers(1, 2**63, (BANDS * ROWS, 2), dtype=np.uint64)
 MIX[:, 0] |= np.uint64(1)
 
 
-def shingles(text: str | None) -> np.ndarray:
-    """The sorted distinct hashes of the shingles."""
+def hashes_of(text: str | None) -> np.ndarray:
+    """The hashes of the shingles, repeats included."""
     words = (text or "").encode().lower().split()
     if not words:
         return np.zeros(0, np.uint64)
     digest = xxhash.xxh64_intdigest
     rows = zip(*(words[i:] for i in range(SHINGLE)), strict=False)
     hashes = [digest(b" ".join(s)) for s in rows] or [digest(b" ".join(words))]
-    return np.unique(np.array(hashes, dtype=np.uint64))
+    return np.array(hashes, dtype=np.uint64)
 
 
 def band_keys(found: np.ndarray) -> list[int]:
@@ -61,94 +73,129 @@ def band_keys(found: np.ndarray) -> list[int]:
     return np.array(keys, np.uint64).view(np.int64).tolist()
 
 
-def links(nodes: list[str], sets: list[np.ndarray]) -> list[tuple[str, str]]:
-    """The edges of a forest of what is linked among the members of a bucket."""
-    sizes = np.array([len(s) for s in sets])
-    num, den = LEAST
-    edges, waiting = [], np.arange(len(nodes))
-    while len(waiting):
-        todo, waiting = [waiting[0]], waiting[1:]
-        while todo and len(waiting):
-            at = todo.pop()
-            own, near = sets[at], np.zeros(len(waiting), bool)
-            low, high = num * sizes[waiting] <= den * len(own), num * len(own) <= den * sizes[waiting]
-            for k in np.flatnonzero(low & high):
-                other = sets[waiting[k]]
-                place = np.minimum(np.searchsorted(own, other), len(own) - 1)
-                both = int((own[place] == other).sum())
-                near[k] = den * both >= num * (len(own) + len(other) - both)
-            edges += ((nodes[at], nodes[x]) for x in waiting[near])
-            todo.extend(waiting[near])
-            waiting = waiting[~near]
-    return edges
-
-
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents with one of each group of near copies: the one with the smallest id, or the
-    first of equal ones.  All columns stay as they are."""
-    names = docs.columns
-    rows = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+def signatures(named: DataFrame) -> DataFrame:
+    """`__row`, `node` (digest of the set), `fp` (SimHash) and `keys` (bands) of each text."""
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         for batch in batches:
             out = []
             for row, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found = shingles(text.as_py())
-                out.append((row, xxhash.xxh3_128_hexdigest(found.tobytes()), band_keys(found)))
+                hashes = hashes_of(text.as_py())
+                found = np.unique(hashes)
+                fp = int(np.uint64(majority(hashes) if len(hashes) else 0).astype(np.int64))
+                out.append((row, xxhash.xxh3_128_digest(found.tobytes()), fp, band_keys(found)))
             yield out
 
-    named = rows.select("__row", F.col(text_col).alias("text"))
-    marked = map_rows(named, sign, "__row long, node string, keys array<long>")
-    marked = materialize(marked, "signatures")
-    keyed = rows.select("__row", F.struct(F.col(id_col).alias("id"), F.col("__row").alias("row")).alias("key"))
-    firsts = marked.select("__row", "node").join(keyed, "__row").groupBy("node").agg(F.min("key").alias("key"))
-    firsts = materialize(firsts, "firsts")
+    return map_rows(named, run, "__row long, node binary, fp long, keys array<long>")
 
-    one = marked.join(firsts.select(F.col("key.row").alias("__row")), "__row", "left_semi")
-    met = one.select("__row", "node", F.explode("keys").alias("band"))
+
+def simhash_pairs(nodes: DataFrame, distance: int) -> DataFrame:
+    """(u, v): nodes to compare, as their fingerprints are equal or connected by the search."""
+    prints = materialize(nodes.groupBy("fp").agg(F.min("node").alias("node")), "prints")
+    near = search(prints.select("fp"), distance)
+    for name in ("u", "v"):
+        end = prints.select(F.col("fp").alias(name), F.col("node").alias(f"{name}_node"))
+        near = near.join(end, name)
+    same = nodes.join(prints.withColumnRenamed("node", "first"), "fp").filter("node <> first")
+    both = near.select(F.col("u_node").alias("u"), F.col("v_node").alias("v")).union(
+        same.select("first", "node")
+    )
+    return materialize(both, "pairs")
+
+
+def buckets(nodes: DataFrame) -> DataFrame:
+    """`key`, `node` of the members of each bucket of two or more."""
+    met = nodes.select("node", F.explode("keys").alias("key"))
     mark = F.sum(F.xxhash64("node").cast("decimal(38,0)"))
-    buckets = met.groupBy("band").agg(F.count("*").alias("n"), mark.alias("members"))
-    buckets = buckets.filter("n > 1").groupBy("n", "members").agg(F.min("band").alias("band"))
-    met = materialize(met.join(buckets.select("band"), "band"), "buckets")
+    several = met.groupBy("key").agg(F.count("*").alias("n"), mark.alias("members"))
+    once = several.filter("n > 1").groupBy("n", "members").agg(F.min("key").alias("key"))
+    return materialize(met.join(once.select("key"), "key"), "buckets")
+
 
-    def read_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+def sets_of(texts: DataFrame) -> DataFrame:
+    """`node` and `found` (the bytes of the set) of rows of `node` and `text`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         out, held = [], 0
         for batch in batches:
-            columns = [c.to_pylist() for c in batch.columns[:2]]
-            for bands, node, text in zip(*columns, batch.column(2), strict=True):
-                found = shingles(text.as_py()).tobytes()
-                for band in bands:
-                    out.append((band, node, found))
-                    held += len(found)
-                    if held >= FLUSH_BYTES:
-                        yield out
-                        out, held = [], 0
+            for node, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                found = np.unique(hashes_of(text.as_py())).tobytes()
+                out.append((node, found))
+                held += len(found)
+                if held >= FLUSH_BYTES:
+                    yield out
+                    out, held = [], 0
         yield out
 
-    bands = met.groupBy("__row", "node").agg(F.collect_list("band").alias("bands"))
-    chosen = bands.join(named, "__row").select("bands", "node", "text")
-    sets = map_rows(chosen, read_sets, "band long, node string, found binary")
+    return materialize(map_rows(texts.select("node", "text"), run, "node binary, found binary"), "sets")
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
-        key, nodes, held = None, [], []
-        for batch in batches:
-            columns = [c.to_pylist() for c in batch.columns]
-            edges = []
-            for band, group in itertools.groupby(zip(*columns, strict=True), lambda r: r[0]):
-                if band != key:
-                    edges += links(nodes, held)
-                    key, nodes, held = band, [], []
-                for _, node, found in group:
-                    nodes.append(node)
-                    held.append(np.frombuffer(found, np.uint64))
-            yield edges
-        yield links(nodes, held)
-
-    arranged = sets.repartition("band").sortWithinPartitions("band", "node")
-    edges = map_rows(arranged, verify, "u string, v string")
-    roots = components(edges).select(F.col("u").alias("node"), F.col("v").alias("root"))
-    rooted = firsts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rooted = materialize(rooted, "rooted")
-    least = rooted.groupBy("root").agg(F.min("key").alias("least"))
+
+def leader_pairs(mixed: DataFrame, turn: int) -> DataFrame:
+    """(u, v): the leader of each bucket, another one each turn, and members of other groups."""
+    order = F.xxhash64("node", F.lit(turn))
+    first = mixed.groupBy("key").agg(F.min(F.struct(order.alias("at"), "node", "label")).alias("first"))
+    met = mixed.join(first, "key").filter(F.col("label") != F.col("first.label"))
+    return met.select(F.col("first.node").alias("u"), F.col("node").alias("v")).distinct()
+
+
+def blocks(mixed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between members of one bucket whose labels differ, block against block."""
+    units = dealt(mixed, CHUNK).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
+    )
+    units = units.select(
+        "key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
+        "node", "label",
+    )
+    held = units.join(sets, "node").select("key", "i", "j", "node", "label", "found")
+
+    def compare(key, nodes, labels, founds):
+        found = [np.frombuffer(f, np.uint64) for f in founds]
+        group = np.unique(np.array([x.hex() for x in labels]), return_inverse=True)[1]
+        edges = []
+        for a, b in itertools.combinations(range(len(nodes)), 2):
+            if group[a] != group[b] and linked(found[a], found[b], LEAST):
+                group[group == group[b]] = group[a]
+                edges.append((nodes[a], nodes[b]))
+        return edges
+
+    return in_groups(held, ["key", "i", "j"], compare, "u binary, v binary")
+
+
+def rooted(edges: DataFrame) -> DataFrame:
+    return components(edges).select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+
+def keep_one(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, distance: int = DISTANCE
+) -> DataFrame:
+    """The documents with one of each group of near copies: the one with the smallest id, or the
+    first of equal ones.  All columns stay as they are."""
+    names = docs.columns
+    rows = materialize(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    named = rows.select("__row", F.col(text_col).alias("text"))
+    marked = materialize(signatures(named), "signatures")
+    keyed = rows.select("__row", F.struct(F.col(id_col).alias("id"), F.col("__row").alias("row")).alias("key"))
+    nodes = marked.select("__row", "node").join(keyed, "__row").groupBy("node").agg(F.min("key").alias("key"))
+    one = nodes.select("node", "key", F.col("key.row").alias("__row"))
+    nodes = materialize(one.join(marked.drop("node"), "__row"), "nodes")
+
+    pairs, members = simhash_pairs(nodes, distance), buckets(nodes)
+    live = pairs.select("u").union(pairs.select("v")).union(members.select("node")).distinct()
+    wanted = live.select(F.col("u").alias("node")).join(nodes.select("node", "__row"), "node")
+    sets = sets_of(wanted.join(named, "__row"))
+
+    edges = materialize(verified(pairs, sets, LEAST), "links")
+    for turn in range(ROUNDS):
+        mixed = materialize(labelled(members, rooted(edges)), "mixed")
+        edges = edges.union(materialize(verified(leader_pairs(mixed, turn), sets, LEAST), "links"))
+    mixed = materialize(labelled(members, rooted(edges)), "mixed")
+    edges = edges.union(materialize(blocks(mixed, sets), "links"))
+    remove(sets)
+    remove(marked)
+
+    groups = nodes.select("node", "key").join(rooted(edges), "node", "left")
+    groups = groups.withColumn("root", F.coalesce("root", "node"))
+    least = groups.groupBy("root").agg(F.min("key").alias("least"))
     kept = least.select(F.col("least.row").alias("__row"))
     return rows.join(kept, "__row", "left_semi").select(*names)

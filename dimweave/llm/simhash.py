@@ -55,7 +55,12 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     digest = xxhash.xxh64_intdigest
     rows = zip(*(words[i:] for i in range(shingle)), strict=False)
     hashes = [digest(b" ".join(s), SEED) for s in rows] or [digest(b" ".join(words), SEED)]
-    table = np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8)
+    return majority(np.array(hashes, dtype="<u8"))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits set in over half of the hashes."""
+    table = hashes.view(np.uint8).reshape(-1, 8)
     if len(table) < 2048:
         counts = np.unpackbits(table, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     else:
@@ -370,6 +375,12 @@ def _bucket(held: list[tuple[np.ndarray, np.ndarray]], distance: int) -> list[tu
     return links(prints, probe, distance)
 
 
+def search(distinct: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET) -> DataFrame:
+    """Edges (u, v) that connect all distinct fingerprints `fp` within `distance` bits."""
+    parts = plan(distinct, distance)
+    return verify(divide(postings(distinct, parts), parts, distance, bucket), distance)
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -382,8 +393,7 @@ def near_duplicates(
     """`id`, `fp` and `component_id` (the smallest id reachable over links) of each document."""
     marked = materialize(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     distinct = materialize(marked.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
-    parts = plan(distinct, distance)
-    edges = verify(divide(postings(distinct, parts), parts, distance, bucket), distance)
+    edges = search(distinct, distance, bucket)
     roots = components(edges).select(F.col("u").alias("fp"), F.col("v").alias("root"))
     rooted = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     rooted = materialize(rooted, "rooted")

@@ -49,3 +49,39 @@ def test_the_stage_drops_edited_copies(spark, docs):
     frame = docs([(1, " ".join(words)), (2, " ".join(edited)), (3, "else")], extra=False)
     kept = corpus_pipeline.near_duplicates(spark, frame, "")
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
+
+
+def test_a_large_group_in_blocks(docs, monkeypatch):
+    """Chains and stars of copies, over several chunks, with and without leaders."""
+    from dimweave.llm import near_copies
+
+    rng = random.Random(3)
+    texts, own = [], [f"w{i}" for i in range(80)]
+    for i in range(90):  # each differs a little from the one before, so the ends are far apart
+        own = list(own)
+        own[rng.randrange(len(own))] = f"x{i}"
+        texts.append((i, " ".join(own)))
+    sets = {i: shingles(t) for i, t in texts}
+    linked = [
+        (a, b) for a, b in itertools.combinations(sets, 2)
+        if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])
+    ]
+    want = sorted(set(grouped(sets, linked).values()))
+    monkeypatch.setattr(near_copies, "CHUNK", 8)
+    for rounds in (0, 2):
+        monkeypatch.setattr(near_copies, "ROUNDS", rounds)
+        assert sorted(r.doc_id for r in keep_one(docs(texts)).collect()) == want
+
+
+def test_similar_fingerprints_alone_are_no_link(docs):
+    """At any distance the sets decide."""
+    texts = [(i, " ".join(f"v{i}x{k}" for k in range(30))) for i in range(20)]
+    kept = keep_one(docs([*texts, (50, texts[3][1])]), distance=8)
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(20))
+
+
+def test_very_long_texts(docs):
+    words = [f"w{i}" for i in range(300_000)]
+    edited = [*words[:100], "other", *words[101:]]
+    frame = docs([(1, " ".join(words)), (2, " ".join(edited)), (3, " ".join(words[:100_000]) + " z" * 200_000)])
+    assert sorted(r.doc_id for r in keep_one(frame).collect()) == [1, 3]
