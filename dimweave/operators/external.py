@@ -14,7 +14,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimweave.operators.lookup import _DIM, _KEY, Lookup, LookupOptions, as_lookup, join_unique
@@ -174,6 +174,16 @@ def fetch(
     return frame.withColumn(output, udf(F.col(key)))
 
 
+def _by_key(rows: DataFrame, key: Column) -> DataFrame:
+    """The rows sorted over ranges of a key, of which the longer follow the shorter ones."""
+    order = ["__size", "__near"]
+    named = rows.withColumns(
+        {"__near": key, "__size": F.length(key), "__spread": F.monotonically_increasing_id()}
+    )
+    placed = named.repartitionByRange(*order, "__spread").sortWithinPartitions(*order)
+    return placed.drop(*order, "__spread")
+
+
 def external_lookup_join(
     lines: DataFrame,
     open_store: Callable[[], object],
@@ -182,6 +192,7 @@ def external_lookup_join(
     batch_size: int | None = None,
     on_error: str = "fail",
     distinct_keys: bool = False,
+    near: bool = False,
     overlap: Overlap | None = None,
     **options,
 ) -> DataFrame:
@@ -191,18 +202,28 @@ def external_lookup_join(
     key in use is fetched once for the whole input and joined back, which spares the store at
     the price of a shuffle of the keys.  `overlap` is that of `fetch`.  Keys to a request are
     `batch_size`, else those of `LookupOptions`, else BATCH_SIZE.
+
+    `near` is for stores that hold neighbouring keys together, where a request for keys from all over
+    the table costs as much as reading it: what asks (lines, or distinct keys) is first sorted over
+    ranges of keys, shorter ones first, so that numbers after a prefix come in their order.  A hot key
+    is spread over several ranges.
     """
     configure(lines.sparkSession)
     size = batch_size or getattr(lookup, "batch_size", None) or BATCH_SIZE
     lookup = as_lookup(lookup, options)
-    keyed = lookup.keyed(lines)
     settings = {
         "dim_kind": lookup.dim_kind, "batch_size": size, "on_error": on_error, "overlap": overlap
     }
     if distinct_keys:
-        fetched = fetch(lookup.keys(lines), open_store, output=lookup.stored, **settings)
+        keys = lookup.keys(lines)
+        if near:
+            keys = _by_key(keys, F.col(_KEY))
+        fetched = fetch(keys, open_store, output=lookup.stored, **settings)
         found = lookup.dimension(fetched)
-        return lookup.emit(join_unique(keyed, found, [_KEY], lookup.join))
+        return lookup.emit(join_unique(lookup.keyed(lines), found, [_KEY], lookup.join))
+    if near:
+        lines = _by_key(*lookup.key_of(lines))
+    keyed = lookup.keyed(lines)
     fetched = fetch(keyed, open_store, output=lookup.stored, **settings)
     found = lookup.with_entry(fetched)
     if lookup.miss == "drop":

@@ -151,17 +151,22 @@ class Lookup:
             _KEY, lookup_key(F.col(_FIELDS), self.left_field, self.key_expr)
         )
 
+    def key_of(self, lines: DataFrame) -> tuple[DataFrame, Column]:
+        """The lines as text and, taken from the key field only, their lookup key."""
+        lines = text_of(lines, self.decode, self.line)
+        value = line_format(self.decode).field(F.col(self.line), self.left_field)
+        return lines, format_key(value, self.key_expr)
+
     def keys(self, lines: DataFrame, **extra: Column) -> DataFrame:
         """The distinct lookup keys of the lines, together with further columns.
 
         Reduced before the shuffle; only the key field is taken from a line.
         """
-        lines = text_of(lines, self.decode, self.line)
-        value = line_format(self.decode).field(F.col(self.line), self.left_field)
+        lines, key = self.key_of(lines)
         return (
             decodable(lines, self.decode, self.line)
             .select(
-                format_key(value, self.key_expr).alias(_KEY),
+                key.alias(_KEY),
                 *[column.alias(name) for name, column in extra.items()],
             )
             .distinct()

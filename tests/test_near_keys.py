@@ -1,0 +1,53 @@
+"""Lookups that ask a store in the order of keys, and the store on a parquet table."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from dimweave.operators import Lookup, external_lookup_join
+from dimweave.plans.store import FILE_ROWS, ParquetStore, laid_out
+
+LOOKUP = Lookup("user_id", "tp_%s")
+
+
+@pytest.fixture(scope="module")
+def numbers(spark, tmp_path_factory):
+    """Numbers dealt over the files of a table that is in no order."""
+    rows = spark.range(4000).select((F.col("id") * 1607 % 4000).alias("k"), F.col("id").alias("v"))
+    path = str(tmp_path_factory.mktemp("numbers") / "t")
+    rows.repartition(3).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_store_reads_a_piece_once(numbers, monkeypatch):
+    monkeypatch.setattr("dimweave.plans.store.FILE_ROWS", FILE_ROWS // 1000)
+    store = ParquetStore(laid_out(numbers, "k"), "k", "tp_", ["v"])
+    assert len(store._pieces) >= 16
+    want = {f"tp_{r.k}": f"v={r.v}" for r in numbers.collect()}
+    for start in range(0, 4000, 50):
+        asked = [f"tp_{x}" for x in range(start, start + 50)]
+        assert store.get_many([*asked, "tp_x", "tp_99999"]) == {k: want[k] for k in asked}
+    read = store._rows.cache_info()
+    assert read.misses == len(store._pieces) and read.currsize <= 2
+
+
+@pytest.mark.parametrize("distinct", [False, True])
+def test_near(spark, numbers, distinct, conf):
+    conf("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    path = laid_out(numbers, "k")
+    hot = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") * 2477 % 5000)
+    lines = spark.range(3000).select("id", F.concat(F.lit("user_id="), hot.cast("string")).alias("line"))
+
+    def open_store():
+        inner = ParquetStore(path, "k", "tp_", ["v"])
+
+        def get_many(keys):
+            asked = sorted(int(k[3:]) for k in keys)
+            # a request of 100 lines or keys out of 5000 numbers stays among neighbours
+            assert asked[-1] - asked[0] < 1000
+            return inner.get_many(keys)
+
+        return get_many
+
+    got = external_lookup_join(lines, open_store, LOOKUP, distinct_keys=distinct, near=True)
+    plain = external_lookup_join(lines, lambda: ParquetStore(path, "k", "tp_", ["v"]), LOOKUP)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
