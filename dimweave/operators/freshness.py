@@ -207,8 +207,10 @@ def fresh_lookup_join(
     lookup = as_lookup(lookup, options)
     width = (seconds or grid) * 1_000_000
 
-    history = lookup.with_entry(versions.select(_KEY, "effective_ts", lookup.stored)).select(
-        _KEY, micros(F.col("effective_ts")).alias(_AT), F.struct(_DIM).alias(_SEEN)
+    # Versions are aggregated by sorting them: dealt out first, so that no task sorts a whole file.
+    raw = versions.select(_KEY, micros(F.col("effective_ts")).alias(_AT), lookup.stored)
+    history = lookup.with_entry(raw.repartition(_KEY, _AT)).select(
+        _KEY, _AT, F.struct(_DIM).alias(_SEEN)
     )
     at = micros(F.col(ts))
     if by_range:
