@@ -251,14 +251,17 @@ def one_per_key(dim: DataFrame, stored: str, unique: str) -> DataFrame:
     """The dimension with each key once, settled inside the plan that uses it.
 
     `fail` ends the job at a key that repeats, `latest` takes its row with the newest `updated`, of
-    equal ones the one with the greatest value.  Both aggregate by key before the shuffle."""
+    equal ones the one with the greatest value.  Values are aggregated by sorting them, so rows are dealt
+    out first, for `latest` by time too: no task sorts a whole file, nor all rows of a key unreduced."""
     if unique == "fail":
+        dim = dim.repartition(_KEY)
         first = dim.groupBy(_KEY).agg(F.count(F.lit(1)).alias("__n"), F.any_value(stored).alias(stored))
         said = F.concat(F.lit("dimension key occurs more than once: "), F.col(_KEY))
         # The value depends on the check, so that no optimizer leaves it out.
         checked = F.when(F.col("__n") > 1, F.raise_error(said)).otherwise(F.col(stored))
         return first.select(_KEY, checked.cast(dim.schema[stored].dataType).alias(stored))
     if unique == "latest":
+        dim = dim.repartition(_KEY, "updated")
         value = F.col(stored)
         if dim.schema[stored].dataType.typeName() == "map":
             value = F.to_json(stored)
