@@ -16,9 +16,12 @@ No step emits the pairs of a group.  Documents with equal sets are one node from
 buckets with the same members count once.  A bucket is dealt out in chunks; in a chunk, members are
 assigned to few leaders, the ones with most estimated neighbours, and only (leader, member) is
 verified, with the leader's members dealt out as well.  The next round does the same with one member
-of each component so far.  Buckets that still hold members of different components with an estimated
-link are then compared in blocks, on the sets, by tasks that give forest edges only; so every pair
-that met has been linked, ruled out, or lies within one component.
+of each component so far.  Of buckets of over a chunk that still hold several components, members
+go of whose shingles so many are held by their own component alone that no set in the bucket can be
+linked to them, and the one with the fewest such shingles is verified against the others.  What still
+holds members of different components with an estimated link is compared in blocks, those outside the
+largest component of the bucket against all, on the sets, by tasks that give forest edges only; so
+every pair that met has been linked, ruled out, or lies within one component.
 
 Letters are lower-cased in ASCII and words end at ASCII white space.  A text of fewer words than a
 shingle is one shingle; null, empty and blank texts have none and link with nothing.  Sets of fewer
@@ -54,6 +57,7 @@ CHUNK = 256
 SHARD = 256
 OCTAVES = 53
 FLUSH_BYTES = 8_000_000
+HELD, MINOR, PROBE, BOTH = range(4)
 
 _CHANCE = np.random.default_rng(12)
 TIMES = _CHANCE.integers(1, 2**63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -329,29 +333,155 @@ def labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
     return named.join(mixed.filter("a <> b").select("key"), "key", "left_semi")
 
 
-def remaining(members: DataFrame, sets: DataFrame, least) -> DataFrame:
-    """Links between members of one bucket whose labels differ, exact, block against block."""
-    rows = dealt(members, CHUNK)
-    units = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
-        "key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
-        "node", "n", "registers", "label",
+def rooted(edges: DataFrame) -> DataFrame:
+    return components(edges).select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+
+def held_shingles(named: DataFrame) -> DataFrame:
+    """`shingle`, `node`, `low` and `high` (labels of holders) from `node`, `label` (long) and `found`.
+
+    Shingles that a task has met under several labels come once, without a node; others once for
+    each node."""
+
+    def rows(nodes: list, labels: list, founds: list) -> list[tuple]:
+        sizes = [len(f) for f in founds]
+        owner = np.repeat(np.arange(len(nodes)), sizes)
+        tokens = np.concatenate(founds).view(np.int64)
+        order = np.argsort(tokens, kind="stable")
+        tokens, owner = tokens[order], owner[order]
+        start = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+        held = np.array(labels, np.int64)[owner]
+        low, high = np.minimum.reduceat(held, start), np.maximum.reduceat(held, start)
+        several = low != high
+        out = [
+            (t, None, a, b) for t, a, b in zip(
+                tokens[start][several].tolist(), low[several].tolist(), high[several].tolist(), strict=True
+            )
+        ]
+        single = ~np.repeat(several, np.diff(np.append(start, len(tokens))))
+        out += (
+            (t, nodes[o], x, x) for t, o, x in zip(
+                tokens[single].tolist(), owner[single].tolist(), held[single].tolist(), strict=True
+            )
+        )
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+        nodes, labels, founds = [], [], []
+        for batch in batches:
+            for node, label, found in zip(*(c for c in batch.columns), strict=True):
+                nodes.append(node.as_py())
+                labels.append(label.as_py())
+                founds.append(np.frombuffer(found.as_py(), np.uint64))
+                if sum(map(len, founds)) * 8 >= FLUSH_BYTES:
+                    yield rows(nodes, labels, founds)
+                    nodes, labels, founds = [], [], []
+        if nodes:
+            yield rows(nodes, labels, founds)
+
+    return map_rows(
+        named.select("node", "label", "found"), run, "shingle long, node binary, low long, high long"
     )
 
-    def candidates(key, nodes, n, registers, labels):
-        if len(set(labels)) < 2:
-            return []
-        own, sizes = matrix(registers), np.array(n)
-        number = {x: i for i, x in enumerate(dict.fromkeys(labels))}
-        group = np.array([number[x] for x in labels])
-        near = estimated(own, own, sizes, sizes, least) & (group[:, None] != group[None, :])
-        return [(*key, nodes[x], labels[x]) for x in np.flatnonzero(near.any(axis=1))]
 
-    schema = "key long, i int, j int, node binary, label binary"
-    kept = materialize(in_groups(units, ["key", "i", "j"], candidates, schema), "units")
-    held = kept.join(sets, "node").select("key", "i", "j", "node", "label", "found")
+def open_members(crowd: DataFrame, sets: DataFrame, least) -> DataFrame:
+    """`key`, `node`, `label`, `own` of members that may be linked to another component.
+
+    `own` counts the shingles of a node that no member of another component has, in all of `crowd`
+    (`key`, `node`, `label`); two sets share at most the others, and a set in the bucket has at least
+    as many shingles as its smallest one."""
+    num, den = least
+    nodes = crowd.select("node", F.xxhash64("label").alias("label")).distinct()
+    found = nodes.join(sets, "node")
+    held = materialize(held_shingles(found), "held")
+    alone = held.groupBy("shingle").agg(F.min("low").alias("a"), F.max("high").alias("b")).filter("a = b")
+    own = held.filter("node IS NOT NULL").join(alone.select("shingle"), "shingle").groupBy("node").agg(
+        F.count("*").alias("own"))
+    sizes = found.select("node", F.expr("octet_length(found) div 8").alias("n"))
+    named = crowd.join(sizes.join(own, "node", "left"), "node").fillna(0, ["own"])
+    named = materialize(named, "bounds")
+    smallest = named.groupBy("key").agg(F.min("n").alias("fewest"))
+    may = F.lit(num) * (F.col("n") + F.col("fewest")) <= F.lit(num + den) * (F.col("n") - F.col("own"))
+    left = named.join(smallest, "key").filter(may).select("key", "node", "label", "own")
+    left = materialize(left, "open")
+    remove(held)
+    return left
+
+
+def central_pairs(left: DataFrame) -> DataFrame:
+    """(u, v): of each bucket the member with the fewest shingles of its own, and those of other
+    components."""
+    first = left.groupBy("key").agg(F.min(F.struct("own", "node", "label")).alias("first"))
+    met = left.join(first, "key").filter(F.col("label") != F.col("first.label"))
+    return met.select(F.col("first.node").alias("u"), F.col("node").alias("v")).distinct()
+
+
+def narrowed(mixed: DataFrame, edges: DataFrame, sets: DataFrame, least, most: int):
+    """Edges, with new ones, and the members of `mixed` that have to be compared yet.
+
+    Buckets of over `most` members lose those that cannot be linked to another component, and what
+    is left meets one member; each step emits at most a row for a member or a shingle."""
+    large = mixed.groupBy("key").count().filter(F.col("count") > most).select("key")
+    crowd = mixed.select("key", "node", "label").join(large, "key", "left_semi")
+    crowd = materialize(crowd, "crowd")
+    if crowd.isEmpty():
+        return edges, mixed
+    left = open_members(crowd, sets, least)
+    edges = edges.union(materialize(verified(central_pairs(left), sets, least), "links"))
+    again = labelled(left.select("key", "node"), rooted(edges)).select("key", "node", "label")
+    rest = mixed.drop("label").join(again, ["key", "node"])
+    few = mixed.join(large, "key", "left_anti")
+    return edges, materialize(few.unionByName(rest), "mixed")
+
+
+def units(mixed: DataFrame, most: int) -> DataFrame:
+    """Members dealt to units (`key`, `i`, `j`) in which each one outside the largest component of its
+    bucket meets every other one: members as `HELD` (`MINOR`, if outside) of chunk i, and the outside
+    ones as `PROBE` of chunk j.  In a bucket of one chunk they are `BOTH`."""
+    columns = mixed.columns
+    parts = mixed.groupBy("key", "label").agg(F.count("*").alias("count"))
+    chunks = parts.groupBy("key").agg(
+        F.max(F.struct("count", "label")).alias("main"), F.sum("count").alias("all")
+    ).select(
+        "key", F.col("main.label").alias("main"), F.ceil(F.col("all") / F.lit(most)).cast("int").alias("c"),
+        F.ceil((F.col("all") - F.col("main.count")) / F.lit(most)).cast("int").alias("d"),
+    )
+    placed = mixed.join(chunks, "key").withColumn("outside", F.col("label") != F.col("main"))
+    own, first = F.xxhash64("node"), F.lit(0)
+    role = F.when(~F.col("outside"), HELD).when(F.col("c") == 1, BOTH).otherwise(MINOR)
+    held = placed.withColumns({"i": F.pmod(own, F.col("c")).cast("int"), "role": role})
+    held = held.withColumn("j", F.explode(F.sequence(first, F.col("d") - 1)))
+    probe = placed.filter("outside AND c > 1").withColumns(
+        {"j": F.pmod(own, F.col("d")).cast("int"), "role": F.lit(PROBE)})
+    probe = probe.withColumn("i", F.explode(F.sequence(first, F.col("c") - 1)))
+    names = ["key", "i", "j", "role", *(c for c in columns if c != "key")]
+    return held.select(names).unionByName(probe.select(names))
+
+
+def meetings(roles: tuple[int, ...], labels: tuple[bytes, ...]):
+    """Of a unit sorted by node: the rows of probes, those of held members, and who meets whom."""
+    role = np.array(roles)
+    number = {x: i for i, x in enumerate(dict.fromkeys(labels))}
+    group = np.array([number[x] for x in labels])
+    probe, held = np.flatnonzero(role >= PROBE), np.flatnonzero(role != PROBE)
+    once = (role[held] == HELD)[None, :] | (probe[:, None] < held[None, :])
+    return probe, held, once & (group[probe][:, None] != group[held][None, :])
+
+
+def exact_links(rows: DataFrame, sets: DataFrame, least) -> DataFrame:
+    """Forest edges (u, v) of the links in units of `node`, `role` and `label`, on the sets."""
+    num, den = least
+    names = ["key", "i", "j", "node", "role", "label", "found"]
 
-    def compare(key, nodes, labels, founds):
+    def compare(key, nodes, roles, labels, founds):
+        probe, held, meet = meetings(roles, labels)
+        if not meet.any():
+            return []
         found = [np.frombuffer(f, np.uint64) for f in founds]
+        sizes = np.array([len(f) for f in found])
+        tokens = np.concatenate([found[x] for x in held])
+        order = np.argsort(tokens, kind="stable")
+        tokens, owner = tokens[order], np.repeat(np.arange(len(held)), sizes[held])[order]
         root = {x: x for x in labels}
 
         def top(x):
@@ -361,13 +491,39 @@ def remaining(members: DataFrame, sets: DataFrame, least) -> DataFrame:
             return x
 
         edges = []
-        for a, b in itertools.combinations(range(len(nodes)), 2):
-            if top(labels[a]) != top(labels[b]) and linked(found[a], found[b], least):
-                root[top(labels[a])] = top(labels[b])
-                edges.append((nodes[a], nodes[b]))
+        for at, x in enumerate(probe):
+            low = np.searchsorted(tokens, found[x], "left")
+            many = np.searchsorted(tokens, found[x], "right") - low
+            place = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
+            both = np.bincount(owner[place], minlength=len(held))
+            near = den * both >= num * (sizes[x] + sizes[held] - both)
+            for y in held[near & meet[at]]:
+                if top(labels[x]) != top(labels[y]):
+                    root[top(labels[x])] = top(labels[y])
+                    edges.append((nodes[x], nodes[y]))
         return edges
 
-    return in_groups(held, ["key", "i", "j"], compare, "u binary, v binary")
+    return in_groups(
+        rows.join(sets, "node").select(names), ["key", "i", "j"], compare, "u binary, v binary"
+    )
+
+
+def remaining(members: DataFrame, sets: DataFrame, least) -> DataFrame:
+    """Links between members of one bucket whose labels differ, exact, block against block."""
+
+    def candidates(key, nodes, role, label, n, registers):
+        probe, held, meet = meetings(role, label)
+        if not meet.any():
+            return []
+        own, sizes = matrix(registers), np.array(n)
+        near = meet & estimated(own[probe], own[held], sizes[probe], sizes[held], least)
+        rows = np.union1d(probe[near.any(axis=1)], held[near.any(axis=0)])
+        return [(*key, nodes[x], role[x], label[x]) for x in rows]
+
+    placed = units(members, CHUNK).select("key", "i", "j", "node", "role", "label", "n", "registers")
+    schema = "key long, i int, j int, node binary, role int, label binary"
+    kept = materialize(in_groups(placed, ["key", "i", "j"], candidates, schema), "units")
+    return exact_links(kept, sets, least)
 
 
 def near_duplicates(
@@ -395,19 +551,18 @@ def near_duplicates(
     for turn in range(ROUNDS):
         new = materialize(verified(leaders(asked, least), sets, least), "links")
         edges = new if edges is None else edges.union(new)
-        roots = components(edges).select(F.col("u").alias("node"), F.col("v").alias("root"))
-        mixed = materialize(labelled(members, roots), "mixed")
+        mixed = materialize(labelled(members, rooted(edges)), "mixed")
         one = mixed.groupBy("key", "label").agg(F.min("node").alias("node"))
         asked = mixed.join(one.select("key", "node"), ["key", "node"], "left_semi")
         if turn < ROUNDS - 1 and mixed.isEmpty():
             break
+    edges, mixed = narrowed(mixed, edges, sets, least, CHUNK)
     edges = edges.union(materialize(remaining(mixed, sets, least), "links"))
 
-    roots = components(edges).select(F.col("u").alias("node"), F.col("v").alias("root"))
-    rooted = nodes.select("node", "least").join(roots, "node", "left")
-    rooted = materialize(rooted.withColumn("root", F.coalesce("root", "node")), "rooted")
-    smallest_id = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    placed = materialize(rooted.join(smallest_id, "root").select("node", "component_id"), "components")
+    groups = nodes.select("node", "least").join(rooted(edges), "node", "left")
+    groups = materialize(groups.withColumn("root", F.coalesce("root", "node")), "rooted")
+    smallest_id = groups.groupBy("root").agg(F.min("least").alias("component_id"))
+    placed = materialize(groups.join(smallest_id, "root").select("node", "component_id"), "components")
     own = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return marked.join(placed, "node", "left").select(
         F.col("id").alias(id_col),
