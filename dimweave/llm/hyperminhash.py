@@ -18,8 +18,7 @@ assigned to few leaders, the ones with most estimated neighbours, and only (lead
 verified, with the leader's members dealt out as well.  The next round does the same with one member
 of each component so far.  Of buckets of over a chunk that still hold several components, members
 go of whose shingles so many are held by their own component alone that no set in the bucket can be
-linked to them, and the one with the fewest such shingles is verified against the others.  What still
-holds members of different components with an estimated link is compared in blocks, those outside the
+linked to them.  What still holds members of different components with an estimated link is compared in blocks, those outside the
 largest component of the bucket against all, on the sets, by tasks that give forest edges only; so
 every pair that met has been linked, ruled out, or lies within one component.
 
@@ -385,7 +384,7 @@ def held_shingles(named: DataFrame) -> DataFrame:
 
 
 def open_members(crowd: DataFrame, sets: DataFrame, least) -> DataFrame:
-    """`key`, `node`, `label`, `own` of members that may be linked to another component.
+    """`key`, `node`, `own` of members that may be linked to another component.
 
     `own` counts the shingles of a node that no member of another component has, in all of `crowd`
     (`key`, `node`, `label`); two sets share at most the others, and a set in the bucket has at least
@@ -402,36 +401,23 @@ def open_members(crowd: DataFrame, sets: DataFrame, least) -> DataFrame:
     named = materialize(named, "bounds")
     smallest = named.groupBy("key").agg(F.min("n").alias("fewest"))
     may = F.lit(num) * (F.col("n") + F.col("fewest")) <= F.lit(num + den) * (F.col("n") - F.col("own"))
-    left = named.join(smallest, "key").filter(may).select("key", "node", "label", "own")
+    left = named.join(smallest, "key").filter(may).select("key", "node", "own")
     left = materialize(left, "open")
     remove(held)
     return left
 
 
-def central_pairs(left: DataFrame) -> DataFrame:
-    """(u, v): of each bucket the member with the fewest shingles of its own, and those of other
-    components."""
-    first = left.groupBy("key").agg(F.min(F.struct("own", "node", "label")).alias("first"))
-    met = left.join(first, "key").filter(F.col("label") != F.col("first.label"))
-    return met.select(F.col("first.node").alias("u"), F.col("node").alias("v")).distinct()
-
-
-def narrowed(mixed: DataFrame, edges: DataFrame, sets: DataFrame, least, most: int):
-    """Edges, with new ones, and the members of `mixed` that have to be compared yet.
-
-    Buckets of over `most` members lose those that cannot be linked to another component, and what
-    is left meets one member; each step emits at most a row for a member or a shingle."""
+def narrowed(mixed: DataFrame, sets: DataFrame, least, most: int) -> DataFrame:
+    """`mixed` without the members of buckets of over `most` that cannot be linked to another
+    component; each step emits at most a row for a member or a shingle."""
     large = mixed.groupBy("key").count().filter(F.col("count") > most).select("key")
     crowd = mixed.select("key", "node", "label").join(large, "key", "left_semi")
     crowd = materialize(crowd, "crowd")
     if crowd.isEmpty():
-        return edges, mixed
+        return mixed
     left = open_members(crowd, sets, least)
-    edges = edges.union(materialize(verified(central_pairs(left), sets, least), "links"))
-    again = labelled(left.select("key", "node"), rooted(edges)).select("key", "node", "label")
-    rest = mixed.drop("label").join(again, ["key", "node"])
-    few = mixed.join(large, "key", "left_anti")
-    return edges, materialize(few.unionByName(rest), "mixed")
+    gone = crowd.select("key", "node").join(left.select("key", "node"), ["key", "node"], "left_anti")
+    return materialize(mixed.join(gone, ["key", "node"], "left_anti"), "mixed")
 
 
 def units(mixed: DataFrame, most: int) -> DataFrame:
@@ -445,7 +431,7 @@ def units(mixed: DataFrame, most: int) -> DataFrame:
     ).select(
         "key", F.col("main.label").alias("main"), F.ceil(F.col("all") / F.lit(most)).cast("int").alias("c"),
         F.ceil((F.col("all") - F.col("main.count")) / F.lit(most)).cast("int").alias("d"),
-    )
+    ).filter("d > 0")
     placed = mixed.join(chunks, "key").withColumn("outside", F.col("label") != F.col("main"))
     own, first = F.xxhash64("node"), F.lit(0)
     role = F.when(~F.col("outside"), HELD).when(F.col("c") == 1, BOTH).otherwise(MINOR)
@@ -556,7 +542,7 @@ def near_duplicates(
         asked = mixed.join(one.select("key", "node"), ["key", "node"], "left_semi")
         if turn < ROUNDS - 1 and mixed.isEmpty():
             break
-    edges, mixed = narrowed(mixed, edges, sets, least, CHUNK)
+    mixed = narrowed(mixed, sets, least, CHUNK)
     edges = edges.union(materialize(remaining(mixed, sets, least), "links"))
 
     groups = nodes.select("node", "least").join(rooted(edges), "node", "left")

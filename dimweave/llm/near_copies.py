@@ -12,8 +12,9 @@ or more.  Candidates come from two searches, and all are verified on the sets th
 Documents with equal sets are one node from the start, and buckets with the same members count once.
 No bucket is held by one task and no step emits its pairs: buckets whose members the links so far
 connect are done; in the others each member is compared with one leader, whose members are dealt
-to several tasks, `ROUNDS` times; what is not connected then is compared in blocks, by tasks that give
-forest edges only.  So every pair that met has been linked, ruled out or lies in one group.
+to several tasks, `ROUNDS` times; of what is not connected then, members of large buckets go that by an exact bound
+cannot be linked to others, and those outside the largest group of a bucket are compared with all, in
+blocks, by tasks that give forest edges only.  So every pair that met has been linked, ruled out or lies in one group.
 
 Letters are lower-cased in ASCII and words end at ASCII white space, as in `simhash`.  A text of
 fewer words is one shingle; null and empty texts have none and are copies of each other.  Texts of any
@@ -24,7 +25,6 @@ passed on.
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,8 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimweave.llm.common import map_rows, materialize, remove
-from dimweave.llm.components import components
-from dimweave.llm.hyperminhash import dealt, in_groups, labelled, linked, verified
+from dimweave.llm.hyperminhash import exact_links, labelled, narrowed, rooted, units, verified
 from dimweave.llm.simhash import DISTANCE, majority, search
 
 SHINGLE = 5
@@ -140,30 +139,7 @@ def leader_pairs(mixed: DataFrame, turn: int) -> DataFrame:
 
 def blocks(mixed: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between members of one bucket whose labels differ, block against block."""
-    units = dealt(mixed, CHUNK).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
-    )
-    units = units.select(
-        "key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
-        "node", "label",
-    )
-    held = units.join(sets, "node").select("key", "i", "j", "node", "label", "found")
-
-    def compare(key, nodes, labels, founds):
-        found = [np.frombuffer(f, np.uint64) for f in founds]
-        group = np.unique(np.array([x.hex() for x in labels]), return_inverse=True)[1]
-        edges = []
-        for a, b in itertools.combinations(range(len(nodes)), 2):
-            if group[a] != group[b] and linked(found[a], found[b], LEAST):
-                group[group == group[b]] = group[a]
-                edges.append((nodes[a], nodes[b]))
-        return edges
-
-    return in_groups(held, ["key", "i", "j"], compare, "u binary, v binary")
-
-
-def rooted(edges: DataFrame) -> DataFrame:
-    return components(edges).select(F.col("u").alias("node"), F.col("v").alias("root"))
+    return exact_links(units(mixed, CHUNK), sets, LEAST)
 
 
 def keep_one(
@@ -190,6 +166,7 @@ def keep_one(
         mixed = materialize(labelled(members, rooted(edges)), "mixed")
         edges = edges.union(materialize(verified(leader_pairs(mixed, turn), sets, LEAST), "links"))
     mixed = materialize(labelled(members, rooted(edges)), "mixed")
+    mixed = narrowed(mixed, sets, LEAST, CHUNK)
     edges = edges.union(materialize(blocks(mixed, sets), "links"))
     remove(sets)
     remove(marked)
